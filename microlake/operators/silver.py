@@ -80,7 +80,7 @@ def missing_required(columns: list[str], required: list[str] | None = None) -> l
 
 
 def to_silver(bronze: DataFrame, present: list[str] | None = None,
-              keep: list[str] | None = None) -> DataFrame:
+              keep: list | None = None) -> DataFrame:
     """Typed, validated silver rows; same row count as the input.
 
     ``present``: the columns of the year's source layout (defaults to the frame's).
@@ -89,4 +89,5 @@ def to_silver(bronze: DataFrame, present: list[str] | None = None,
     missing = missing_required(list(present) if present is not None else bronze.columns)
     if missing:
         raise ValueError(f"required columns absent: {missing}")
-    return bronze.select(*_typed_columns(bronze, present), *[F.col(k) for k in (keep or [])])
+    extra = [F.col(k) if isinstance(k, str) else k for k in (keep or [])]
+    return bronze.select(*_typed_columns(bronze, present), *extra)

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["marts"]
+MODULES = ["marts", "cleaning"]
 
 
 def _modules():
