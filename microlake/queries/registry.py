@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["marts", "cleaning"]
+MODULES = ["marts", "cleaning", "joins", "windows", "aggregates"]
 
 
 def _modules():
