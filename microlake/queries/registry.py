@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["marts", "cleaning", "joins", "windows", "aggregates"]
+MODULES = ["marts", "cleaning", "joins", "windows", "aggregates", "ingestion"]
 
 
 def _modules():
