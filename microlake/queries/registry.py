@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["marts", "cleaning", "joins", "windows", "aggregates", "ingestion"]
+MODULES = ["marts", "cleaning", "joins", "windows", "aggregates", "ingestion", "quality", "tables"]
 
 
 def _modules():
