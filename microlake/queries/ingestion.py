@@ -197,3 +197,19 @@ SELECT substring(CAST((11 + n_nationkey) * 100000 + n_nationkey AS VARCHAR), 1,
 FROM nation JOIN region ON n_regionkey = r_regionkey""",
 }
 SQL["landing_to_employment"] = mart_queries.SQL["mart_employment"]
+
+
+def incremental_bronze(spark, sf):
+    """Landed files loaded by availableNow streams (one per layout) into a parquet
+    bronze table; a second run finds nothing new and appends nothing."""
+    from microlake.streaming import incremental
+    target = scratch_path(spark, "bronze-stream")
+    ckpt = scratch_path(spark, "bronze-stream-ckpt")
+    root = _root(spark, sf)
+    incremental.load_landing_incrementally(spark, root, target, ckpt)
+    sinks = incremental.load_landing_incrementally(spark, root, target, ckpt)  # finds nothing new
+    return incremental.read_sinks(spark, sinks)
+
+
+QUERIES["incremental_bronze"] = incremental_bronze
+SQL["incremental_bronze"] = SQL["bronze_roundtrip"]

@@ -10,10 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from microlake.operators.silver import to_silver
+from microlake.sources import parquet
+
+
+# tables whose scans feed row-level work; small dimensions are read as they are
+_SPREAD = {"lineitem", "orders", "events"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return parquet.read(spark, path) if name in _SPREAD else spark.read.parquet(path)
 
 
 def _s(c):
