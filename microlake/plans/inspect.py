@@ -33,15 +33,16 @@ def uses_broadcast_join(df: DataFrame) -> bool:
 
 
 def pushed_filters(df: DataFrame) -> list[str]:
-    return re.findall(r"PushedFilters: \[([^\]]*)\]", plan_text(df))
+    return re.findall(r"PushedFilters: \[([^\n]*)\]", plan_text(df, "formatted"))
 
 
 def partition_filters(df: DataFrame) -> list[str]:
-    return [p for p in re.findall(r"PartitionFilters: \[([^\]]*)\]", plan_text(df)) if p]
+    return [p for p in re.findall(r"PartitionFilters: \[([^\n]*)\]", plan_text(df, "formatted")) if p]
 
 
 def read_schemas(df: DataFrame) -> list[str]:
-    return re.findall(r"ReadSchema: (struct<[^\n]*>)", plan_text(df))
+    """ReadSchema of every scan (formatted mode prints them untruncated)."""
+    return re.findall(r"ReadSchema: (struct<[^\n]*>)", plan_text(df, "formatted"))
 
 
 def has_window_group_limit(df: DataFrame) -> bool:
