@@ -100,3 +100,28 @@ def one_line(tables: DataFrame, actual: DataFrame, prefix: str = "gold.") -> Dat
     return tables.join(cols, "tabela", "inner").select(
         "tabela", F.concat(F.col("tabela"), F.lit(": "), F.col("descricao"), F.lit(" Grão: "),
                            F.col("grao"), F.lit(". Colunas: "), F.concat_ws(", ", "_c")).alias("texto"))
+
+
+def comments_for(columns: DataFrame, table: str) -> dict[str, str]:
+    """Column -> comment text (description plus unit) of one table. Only dictionary
+    rows (a few dozen) are collected."""
+    rows = columns.filter(F.col("tabela") == table).collect()
+    return {r["coluna"]: r["descricao"] + (f" Unidade: {r['unidade']}." if r["unidade"] else "")
+            for r in rows}
+
+
+def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
+    """Attach comments as column metadata. Parquet keeps Spark field metadata in the
+    file footer, so the comments travel with every rewrite of the table (a catalog
+    ``ALTER COLUMN … COMMENT`` would be lost when the table is recreated). Partition
+    columns are stored in folder names and lose their metadata on read."""
+    cols = [F.col(c).alias(c, metadata={**df.schema[c].metadata, "comment": comments[c]})
+            if c in comments else F.col(c) for c in df.columns]
+    return df.select(*cols)
+
+
+def comments_of(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
+    """(tabela, coluna, comentario) read back from a frame's schema."""
+    return spark.createDataFrame(
+        [(table, f.name, f.metadata.get("comment")) for f in df.schema.fields],
+        "tabela string, coluna string, comentario string")

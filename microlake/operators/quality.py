@@ -127,3 +127,12 @@ def suppress_small_cells(df: DataFrame, count_col: str, value_cols: list[str],
     for c in value_cols:
         out = out.withColumn(c, F.when(keep, F.col(c)))
     return out.withColumn("suprimido", ~keep)
+
+
+def check_stored_year(spark: SparkSession, silver_path: str, bronze_path: str, ano: int,
+                      by: str = "ano") -> int:
+    """Gate a stored year: both tables are read with a partition filter (pruned to the
+    year's folders), evaluated and enforced."""
+    s = spark.read.parquet(silver_path).filter(F.col(by) == ano)
+    b = spark.read.parquet(bronze_path).filter(F.col(by) == ano)
+    return enforce(layer_gate(s, b, by))

@@ -87,9 +87,24 @@ def sql_equals_df(spark, sf):
     return compare.multiset_difference(by_sql, by_api, "sql", "api")
 
 
+def dictionary_comments(spark, sf):
+    """Silver written with the dictionary's column comments as field metadata; the
+    comments are read back from the stored table's schema. The partition column lives
+    in folder names, not in the files, so it comes back without its comment."""
+    from microlake.session import scratch_path
+    from microlake.sinks import tables
+    _, columns = dictionary.load(spark)
+    s = dictionary.with_comments(inputs.silver(spark, sf),
+                                 dictionary.comments_for(columns, "silver.vinculos"))
+    path = scratch_path(spark, "silver-commented")
+    tables.write_table(s, path)
+    stored = tables.read_table(spark, path)
+    return dictionary.comments_of(spark, stored, "silver.vinculos")
+
+
 QUERIES = {f.__name__: f for f in [
     dictionary_violations, dictionary_conformance, dictionary_export, dictionary_search,
-    dictionary_text, row_sentences, sql_equals_df]}
+    dictionary_text, row_sentences, sql_equals_df, dictionary_comments]}
 
 # --- oracle ------------------------------------------------------------------------------
 
@@ -173,6 +188,11 @@ SELECT ano, cod_uf, 'Em ' || CAST(ano AS VARCHAR) || ', ' || coalesce(uf, 'UF n
   || translate(format('{:,}', qtd_vinculos), ',.', '.,') || ' vínculos ativos, remuneração média de R$ '
   || translate(format('{:,.2f}', CAST(remun_media_dez_nom AS DOUBLE)), ',.', '.,') || '.' AS frase
 FROM emp""",
+    "dictionary_comments": o.with_(*_CTES) + """
+SELECT a.tabela, a.coluna, CASE WHEN c.coluna IS NULL OR a.coluna = 'ano' THEN NULL ELSE c.descricao
+  || coalesce(' Unidade: ' || c.unidade || '.', '') END AS comentario
+FROM actual a LEFT JOIN cols c ON a.tabela = c.tabela AND a.coluna = c.coluna
+WHERE a.tabela = 'silver.vinculos'""",
     "sql_equals_df": o.with_(*o.BASE_ACTIVE) + """
 SELECT CAST(count(*) AS BIGINT) AS linhas_sql, CAST(count(*) AS BIGINT) AS linhas_api,
   CAST(0 AS BIGINT) AS so_sql, CAST(0 AS BIGINT) AS so_api, true AS iguais FROM (SELECT DISTINCT ano, cod_uf FROM active) g""",

@@ -72,6 +72,7 @@ def _write_layout(df: DataFrame, staging: str, headers: dict[str, str], sep: str
     cols = [F.col(k).alias(v) for k, v in headers.items()]
     (df.select("ano", "arquivo", *cols)
        .repartition("ano", "arquivo")          # one task, hence one file, per output file
+                                               # (a file name may carry a part suffix, below)
        .write.mode("overwrite")
        .partitionBy("ano", "arquivo")
        .option("header", True).option("sep", sep).option("encoding", "ISO-8859-1")
@@ -79,9 +80,18 @@ def _write_layout(df: DataFrame, staging: str, headers: dict[str, str], sep: str
        .csv(staging))
 
 
-def write_landing(spark: SparkSession, raw: DataFrame, root: str) -> str:
-    """root/<ano>/RAIS_VINC_PUB_<REGION>.<ext> with stable names."""
+def write_landing(spark: SparkSession, raw: DataFrame, root: str, parts_per_file: int = 1) -> str:
+    """root/<ano>/RAIS_VINC_PUB_<REGION>.<ext> with stable names.
+
+    With ``parts_per_file`` > 1 every (year, region) file is split by a row hash into
+    that many files (``..._<k>.<ext>``) so a region holding a large share of the rows
+    is written by several tasks; 1 reproduces the released one-file-per-region shape.
+    """
     staged = raw.withColumn("arquivo", file_name_of(F.col("municipio")))
+    if parts_per_file > 1:
+        part = F.pmod(F.xxhash64(*[F.col(c) for c in raw.columns]), F.lit(parts_per_file))
+        staged = staged.withColumn("arquivo", F.regexp_replace(
+            "arquivo", r"\.([^.]+)$", F.concat(F.lit("_"), part.cast("string"), F.lit(".$1"))))
     digit = F.substring("municipio", 1, 1)
     new = staged.filter(digit == NEW_LAYOUT_DIGIT).withColumn("ind_trab_intermitente", F.lit("0"))
     old = staged.filter(digit != NEW_LAYOUT_DIGIT)

@@ -162,3 +162,12 @@ def read_csv_export(spark: SparkSession, path: str, schema) -> DataFrame:
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(spark, path)
+
+
+def storage_bytes(spark: SparkSession, paths, fmt: str = "parquet", **options) -> int:
+    """Bytes on storage of a layer, summed by Spark from per-file metadata (one row
+    per file after the distinct; no data column is read)."""
+    r = spark.read.format(fmt).options(**options).load(paths)
+    per_file = r.select(F.col("_metadata.file_path").alias("f"),
+                        F.col("_metadata.file_size").alias("s")).distinct()
+    return int(per_file.agg(F.coalesce(F.sum("s"), F.lit(0))).first()[0])
