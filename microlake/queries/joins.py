@@ -62,17 +62,18 @@ def geo_enrich(spark, sf):
         F.count(F.lit(1)).alias("qtd_vinculos"))
 
 
-def _deflators(spark, sf):
-    """Year-keyed factors; one row per year of the data (years are a bounded domain)."""
-    years = inputs.silver(spark, sf).select("ano").distinct()
-    return years.select("ano", (F.lit(1) + (F.lit(2001) - F.col("ano")) * F.lit("0.05")
-                                .cast("decimal(9,6)")).cast("decimal(9,6)").alias("fator"))
+def _deflators(spark):
+    """Year-keyed price factors (a small reference table: one row per year of a fixed
+    range, so its size is bounded by construction and it is broadcast)."""
+    years = spark.range(1990, 2031).select(F.col("id").cast("int").alias("ano"))
+    factor = F.lit(1) + (F.lit(2001) - F.col("ano")) * F.lit("0.05").cast("decimal(9,6)")
+    return years.select("ano", factor.cast("decimal(9,6)").alias("fator"))
 
 
 def deflate_series(spark, sf):
     yearly = marts.year_totals(marts.employment(marts.active(inputs.silver(spark, sf)),
                                                 dims.state_dim(spark)))
-    return joins.apply_factor(yearly, _deflators(spark, sf), "ano", "massa_salarial_dez_nom",
+    return joins.apply_factor(yearly, _deflators(spark), "ano", "massa_salarial_dez_nom",
                               "fator", "massa_salarial_real")
 
 
@@ -111,7 +112,7 @@ SELECT ano, CAST(count(*) AS BIGINT) AS qtd_vinculos,
   CAST(sum(remun_dezembro_nom) AS DECIMAL(38,2)) AS massa_salarial_dez_nom
 FROM active GROUP BY ano)"""
 _DEFL = """defl AS (SELECT ano, CAST(1 + (2001 - ano) * CAST(0.05 AS DECIMAL(9,6)) AS DECIMAL(9,6)) AS fator
-FROM (SELECT DISTINCT ano FROM silver) y)"""
+FROM (SELECT CAST(range AS INT) AS ano FROM range(1990, 2031)) y)"""
 
 SQL = {
     "broadcast_left_join": o.with_(o.STATES) + """
