@@ -28,17 +28,34 @@ def domain_violations(df: DataFrame, dim: DataFrame, key: str, rule: str) -> Dat
             .select(F.lit(rule).alias("regra"), F.col(key).cast("string").alias("codigo"), "qtd"))
 
 
-def join_kind_counts(left: DataFrame, right: DataFrame, key_left: str, key_right: str,
-                     kinds=("inner", "left", "right", "full", "left_semi", "left_anti")) -> DataFrame:
-    """Row count produced by each join kind on the same key (sort-merge by default)."""
-    parts = []
-    for kind in kinds:
-        j = left.join(right, left[key_left] == right[key_right], kind)
-        parts.append(j.agg(F.count(F.lit(1)).alias("qtd")).select(F.lit(kind).alias("tipo"), "qtd"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def join_kind_counts(left: DataFrame, right: DataFrame, key_left: str, key_right: str) -> DataFrame:
+    """Rows each join kind would produce on this key, without joining the rows.
+
+    Each side is first reduced to (key, rows) — partial aggregation, so a key holding
+    a third of a table costs one row per task — and only the counts are joined (full
+    outer). inner = sum(l*r) over matched keys; left/right/full add the unmatched
+    rows; semi/anti split the left rows by match. NULL keys never match, as in SQL.
+    """
+    lc = left.groupBy(F.col(key_left).alias("_k")).agg(F.count(F.lit(1)).alias("_l"))
+    rc = right.groupBy(F.col(key_right).alias("_k")).agg(F.count(F.lit(1)).alias("_r"))
+    j = lc.join(rc, lc["_k"] == rc["_k"], "full")
+    matched = F.col("_l").isNotNull() & F.col("_r").isNotNull()
+    only_l = F.col("_l").isNotNull() & F.col("_r").isNull()
+    only_r = F.col("_r").isNotNull() & F.col("_l").isNull()
+
+    def total(cond, value):
+        return F.coalesce(F.sum(F.when(cond, value.cast("decimal(38,0)"))), F.lit(0))
+
+    one = j.agg(total(matched, F.col("_l") * F.col("_r")).alias("inner"),
+                total(only_l, F.col("_l")).alias("ul"), total(only_r, F.col("_r")).alias("ur"),
+                total(matched, F.col("_l")).alias("semi"))
+    kinds = [("inner", F.col("inner")), ("left", F.col("inner") + F.col("ul")),
+             ("right", F.col("inner") + F.col("ur")),
+             ("full", F.col("inner") + F.col("ul") + F.col("ur")),
+             ("left_semi", F.col("semi")), ("left_anti", F.col("ul"))]
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("tipo"), v.cast("bigint").alias("qtd"))
+                              for k, v in kinds]))
+    return one.select(rows.alias("r")).select("r.*")
 
 
 def top1_via_join(df: DataFrame, group: str, value: str) -> DataFrame:

@@ -29,7 +29,9 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
                         F.col("_total").alias("total"),
                         F.round(F.try_divide(F.col("_p.nulos") * 100, F.col("_total")), 2)
                         .alias("pct_nulo"))
-            .orderBy(F.desc("pct_nulo"), "coluna"))
+            # one row per column, all in the single partition of the global aggregate:
+            # a local sort orders it without a range-partitioning (sampling) job
+            .coalesce(1).sortWithinPartitions(F.desc("pct_nulo"), "coluna"))
 
 
 def describe_stats(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:

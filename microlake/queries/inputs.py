@@ -14,7 +14,7 @@ from microlake.sources import parquet
 
 
 # tables whose scans feed row-level work; small dimensions are read as they are
-_SPREAD = {"lineitem", "orders", "events"}
+_SPREAD = {"lineitem"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
