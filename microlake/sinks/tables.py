@@ -171,3 +171,15 @@ def storage_bytes(spark: SparkSession, paths, fmt: str = "parquet", **options) -
     per_file = r.select(F.col("_metadata.file_path").alias("f"),
                         F.col("_metadata.file_size").alias("s")).distinct()
     return int(per_file.agg(F.coalesce(F.sum("s"), F.lit(0))).first()[0])
+
+
+def restore_snapshot(spark: SparkSession, archive_path: str, snapshot_id: str, path: str,
+                     ano: int, col: str = PARTITION) -> None:
+    """Put a retained snapshot of one year back in place (guarded partition replace)."""
+    rows = read_snapshot(spark, archive_path, snapshot_id).filter(F.col(col) == ano)
+    replace_partition(rows, path, ano, col=col)
+
+
+def has_rows(df: DataFrame) -> bool:
+    """Cheap existence test: stops at the first row instead of counting the table."""
+    return not df.isEmpty()
