@@ -27,7 +27,8 @@ class _Presence:
         return name in self.present
 
 
-def _typed_columns(b: DataFrame, present: list[str] | None) -> list[Column]:
+def _typed_columns(b: DataFrame, present: list[str] | None,
+                   per_row: str | None = None) -> list[Column]:
     p = _Presence(b, present)
 
     def text(n):
@@ -37,7 +38,12 @@ def _typed_columns(b: DataFrame, present: list[str] | None) -> list[Column]:
         return clean.int_of(F.col(n)) if p.has(n) else F.lit(None).cast("int")
 
     def pay(n):
-        return clean.pay_of(F.col(n)) if p.has(n) else F.lit(None).cast("decimal(18,2)")
+        if not p.has(n):
+            return F.lit(None).cast("decimal(18,2)")
+        if per_row:
+            # the row's own file decides: absent there -> NULL, present but empty -> 0
+            return F.when(F.array_contains(F.col(per_row), n), clean.pay_of(F.col(n)))
+        return clean.pay_of(F.col(n))
 
     months = (clean.decimal_of(F.col("tempo_emprego"), 10, 1) if p.has("tempo_emprego")
               else F.lit(None).cast("decimal(10,1)"))
@@ -91,3 +97,21 @@ def to_silver(bronze: DataFrame, present: list[str] | None = None,
         raise ValueError(f"required columns absent: {missing}")
     extra = [F.col(k) if isinstance(k, str) else k for k in (keep or [])]
     return bronze.select(*_typed_columns(bronze, present), *extra)
+
+
+def to_silver_by_file(bronze: DataFrame, file_columns: DataFrame,
+                      keep: list | None = None) -> DataFrame:
+    """Silver where column presence is decided per source file.
+
+    After a union of layouts (or a bronze table with an evolved schema) a missing
+    column and an empty field are both NULL, but the pay rule differs: absent -> NULL,
+    empty -> 0. ``file_columns`` (ano, arquivo_origem, colunas) comes from the header
+    scan — one row per file — and is joined on the lineage key (AQE broadcasts it).
+    """
+    fc = file_columns.select("ano", "arquivo_origem", F.col("colunas").alias("_colunas_arquivo"))
+    j = bronze.join(fc, ["ano", "arquivo_origem"], "left")
+    missing = missing_required(bronze.columns)
+    if missing:
+        raise ValueError(f"required columns absent: {missing}")
+    extra = [F.col(k) if isinstance(k, str) else k for k in (keep or [])]
+    return j.select(*_typed_columns(j, None, per_row="_colunas_arquivo"), *extra)

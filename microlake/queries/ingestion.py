@@ -229,3 +229,15 @@ def storage_ratio(spark, sf):
 
 
 QUERIES["storage_ratio"] = storage_ratio
+
+
+def silver_by_file(spark, sf):
+    """Silver from the landed files with column presence decided per source file."""
+    from microlake.operators.silver import to_silver_by_file
+    root = _root(spark, sf)
+    return to_silver_by_file(_bronze(spark, sf), text.file_columns(spark, root + "/*/*"))
+
+
+QUERIES["silver_by_file"] = silver_by_file
+SQL["silver_by_file"] = o.with_(o.RAW, _BRONZE, o.SILVER.replace("FROM raw) s0", "FROM bronze) s0")) \
+    + "SELECT * FROM silver"

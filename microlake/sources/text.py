@@ -109,6 +109,14 @@ def prepare_bronze(df: DataFrame, ano: int | None) -> DataFrame:
         .withColumnRenamed("ano_origem", "ano")
 
 
+def file_columns(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(ano, arquivo_origem, colunas): canonical columns of every file, keyed like the
+    bronze lineage (year folder + file name)."""
+    lay = layouts(spark, paths)
+    return lay.select(F.regexp_extract("caminho", r"/(\d{4})/[^/]+$", 1).cast("int").alias("ano"),
+                      F.col("arquivo").alias(LINEAGE), "colunas")
+
+
 def read_layout_groups(spark: SparkSession, groups: dict[tuple[str, tuple], list[str]],
                        ano: int | None) -> DataFrame:
     parts = [prepare_bronze(read_delimited(spark, sorted(files), sep), ano)
