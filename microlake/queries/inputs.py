@@ -13,13 +13,15 @@ from microlake.operators.silver import to_silver
 from microlake.sources import parquet
 
 
-# tables whose scans feed row-level work; small dimensions are read as they are
-_SPREAD = {"lineitem"}
+# tables whose scans feed heavy row-level work, with their primary key
+_SPREAD = {"lineitem": ["l_orderkey", "l_linenumber"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return parquet.read(spark, path) if name in _SPREAD else spark.read.parquet(path)
+    if name in _SPREAD:
+        return parquet.read(spark, path, unique_key=_SPREAD[name])
+    return spark.read.parquet(path)
 
 
 def _s(c):

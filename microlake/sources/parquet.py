@@ -12,22 +12,28 @@ def scan_partitions(df: DataFrame) -> int | None:
         return None
 
 
-def spread(df: DataFrame, min_partitions: int) -> DataFrame:
-    """Round-robin repartition only when the scan yields fewer partitions than cores.
+def spread(df: DataFrame, min_partitions: int, unique_key: list[str] | None = None) -> DataFrame:
+    """Repartition only when the scan yields fewer partitions than cores.
 
     A large input already splits into many tasks (files x row groups) and is returned
     untouched, so on a cluster this adds no shuffle. A file written as a single row
     group cannot be split by Parquet, and would otherwise run every following narrow
-    operator (casts, regex, joins against broadcasts) in one task. Round robin cannot
-    be skewed by a hot key, and its local sort keeps it deterministic under retries.
+    operator (casts, regex, joins against broadcasts) in one task.
+
+    With ``unique_key`` (a primary key: no value can be hot) rows are hash-partitioned
+    on it, which is deterministic without the local sort round robin needs; otherwise
+    round robin, which no hot key can skew.
     """
     n = scan_partitions(df)
-    if n is not None and n < min_partitions:
-        return df.repartition(min_partitions)
-    return df
+    if n is None or n >= min_partitions:
+        return df
+    if unique_key:
+        return df.repartition(min_partitions, *unique_key)
+    return df.repartition(min_partitions)
 
 
-def read(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+def read(spark: SparkSession, path: str, min_partitions: int | None = None,
+         unique_key: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     target = min_partitions or spark.sparkContext.defaultParallelism
-    return spread(df, target)
+    return spread(df, target, unique_key)
