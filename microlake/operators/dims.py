@@ -56,3 +56,18 @@ def sex_dim(spark: SparkSession) -> DataFrame:
 def label(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Left join on ``key`` (kept once): unmatched and NULL keys keep the row, label NULL."""
     return df.join(dim, key, "left")
+
+
+def duplicate_keys(dim: DataFrame, key: str | list[str]) -> DataFrame:
+    """Keys that appear more than once: a left join to such a dimension multiplies
+    rows and inflates every total, so dimensions are checked before use."""
+    keys = [key] if isinstance(key, str) else key
+    return dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("qtd")).filter(F.col("qtd") > 1)
+
+
+def checked(dim: DataFrame, key: str | list[str]) -> DataFrame:
+    """The dimension itself, after verifying its key is unique (raises otherwise)."""
+    dup = duplicate_keys(dim, key).limit(5).collect()
+    if dup:
+        raise ValueError(f"dimension key not unique: {[r.asDict() for r in dup]}")
+    return dim

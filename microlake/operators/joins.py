@@ -14,9 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def orphan_codes(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Distinct non-NULL codes of ``df`` that the dimension lacks (left anti join)."""
+def orphan_codes(df: DataFrame, dim: DataFrame, key: str,
+                 allowed: list | None = None) -> DataFrame:
+    """Distinct non-NULL codes of ``df`` that the dimension lacks (left anti join).
+    ``allowed`` lists codes known to have no label (e.g. the 'not identified' code of a
+    release), so the check can be strict about everything else."""
     codes = df.select(key).filter(F.col(key).isNotNull()).distinct()
+    if allowed:
+        codes = codes.filter(~F.col(key).isin(*allowed))
     return codes.join(dim.select(key), key, "left_anti")
 
 

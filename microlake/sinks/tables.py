@@ -183,3 +183,17 @@ def restore_snapshot(spark: SparkSession, archive_path: str, snapshot_id: str, p
 def has_rows(df: DataFrame) -> bool:
     """Cheap existence test: stops at the first row instead of counting the table."""
     return not df.isEmpty()
+
+
+def publish_year(spark: SparkSession, silver: DataFrame, bronze: DataFrame, path: str, ano: int,
+                 staging: str, col: str = PARTITION) -> int:
+    """Gate before publish: the year's silver is written to a staging table, the gate
+    runs on what was written (staging vs bronze), and only a passing year replaces the
+    published partition. A failing gate raises and leaves the published table as it was.
+    """
+    from microlake.operators import quality
+    replace_partition(silver, staging, ano, col=col)
+    staged = spark.read.parquet(staging).filter(F.col(col) == ano)
+    quality.enforce(quality.layer_gate(staged, bronze.filter(F.col(col) == ano), col))
+    replace_partition(staged, path, ano, col=col)
+    return staged.count()

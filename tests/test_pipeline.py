@@ -56,3 +56,34 @@ def test_restore_snapshot_and_existence(spark, tmp_dir):
     tables.restore_snapshot(spark, arch, "v0", path, 2022)
     assert tables.read_table(spark, path).count() == 10
     assert tables.has_rows(base) and not tables.has_rows(base.filter("id < 0"))
+
+
+def test_publish_only_after_the_gate(spark, tmp_dir):
+    raw = inputs.raw(spark, SF).filter(F.col("ano") == 1997)
+    good = to_silver(raw)
+    n = tables.publish_year(spark, good, raw, tmp_dir + "/silver", 1997, tmp_dir + "/stage1")
+    assert n == raw.count()
+    bad = good.withColumn("cod_uf", F.lit(None).cast("string"))
+    try:
+        tables.publish_year(spark, bad, raw, tmp_dir + "/silver", 1997, tmp_dir + "/stage2")
+        raise AssertionError("gate should fail")
+    except quality.GateFailed:
+        pass
+    published = tables.read_table(spark, tmp_dir + "/silver")
+    assert published.filter(F.col("cod_uf").isNotNull()).count() > 0     # untouched
+
+
+def test_dimension_keys_and_orphan_allow_list(spark):
+    from microlake.operators import joins
+    dup = spark.createDataFrame([("26", "PE"), ("26", "XX")], "cod_uf string, uf string")
+    assert dims.duplicate_keys(dup, "cod_uf").count() == 1
+    try:
+        dims.checked(dup, "cod_uf")
+        raise AssertionError("duplicate key should raise")
+    except ValueError:
+        pass
+    assert dims.checked(dims.dim_state(spark), "cod_uf").count() == 27
+    s = inputs.silver(spark, SF)
+    all_orphans = {r[0] for r in joins.orphan_codes(s, dims.dim_state(spark), "cod_uf").collect()}
+    rest = {r[0] for r in joins.orphan_codes(s, dims.dim_state(spark), "cod_uf", ["18", "19"]).collect()}
+    assert rest == all_orphans - {"18", "19"}
