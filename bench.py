@@ -63,12 +63,20 @@ def main() -> None:
     cold = run_pass()          # includes JIT warm-up and code generation
     warm = run_pass()          # steady state: what a long-running cluster job sees
     times.update(warm)
+
+    # the production gold build: five marts written from two scans of silver
+    from microlake.queries import inputs
+    from microlake.session import scratch_path
+    from microlake.sinks import tables
+    t0 = time.perf_counter()
+    tables.write_gold(spark, inputs.silver(spark, sf_dir), scratch_path(spark, "bench-gold"))
+    times["write_gold_5_marts"] = round(time.perf_counter() - t0, 3)
     lineitem_rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
 
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     print(json.dumps({
         "metric": "total_query_seconds",
-        "value": round(sum(warm.values()), 3),
+        "value": round(sum(warm.values()) + times["write_gold_5_marts"], 3),
         "unit": "sec",
         "queries": times,
         "cold": cold,

@@ -59,6 +59,17 @@ def gold_all_separation(spark, sf):
     return marts.all_marts(inputs.silver(spark, sf), spark)["gold_desligamento_uf_ano"]
 
 
+def gold_top_industry_from_facts(spark, sf):
+    """Top-10 industries rebuilt from the re-aggregatable fine facts."""
+    fine = marts.fine_facts(_actives(spark, sf))
+    return marts.top_industry_from_facts(fine, dims.state_dim(spark), 10)
+
+
+def gold_schooling_from_facts(spark, sf):
+    fine = marts.fine_facts(_actives(spark, sf))
+    return marts.schooling_from_facts(fine, dims.schooling_dim(spark))
+
+
 QUERIES = {
     "mart_employment": mart_employment,
     "mart_pay_gap": mart_pay_gap,
@@ -72,6 +83,8 @@ QUERIES = {
     "year_totals": year_totals,
     "gold_all_employment": gold_all_employment,
     "gold_all_separation": gold_all_separation,
+    "gold_top_industry_from_facts": gold_top_industry_from_facts,
+    "gold_schooling_from_facts": gold_schooling_from_facts,
 }
 
 _EMP = f"""emp AS (
@@ -149,3 +162,5 @@ FROM emp GROUP BY ano""",
 }
 SQL["gold_all_employment"] = SQL["mart_employment"]
 SQL["gold_all_separation"] = SQL["mart_separation"]
+SQL["gold_top_industry_from_facts"] = SQL["mart_top_industry"]
+SQL["gold_schooling_from_facts"] = SQL["mart_schooling"]

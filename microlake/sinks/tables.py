@@ -197,3 +197,24 @@ def publish_year(spark: SparkSession, silver: DataFrame, bronze: DataFrame, path
     quality.enforce(quality.layer_gate(staged, bronze.filter(F.col(col) == ano), col))
     replace_partition(staged, path, ano, col=col)
     return staged.count()
+
+
+def write_gold(spark: SparkSession, silver: DataFrame, root: str, files_per_mart: int = 4) -> dict[str, str]:
+    """Build and write the five marts with two scans of silver instead of five.
+
+    The (ano, cod_uf) facts and the finer (ano, cod_uf, division, schooling) facts are
+    written first under ``root/_fatos_*`` (this also cuts the lineage: a lost executor
+    recomputes from these tables, not from silver); every mart is then derived from
+    them and written with a few files, partitioned by year.
+    """
+    from microlake.operators import marts
+    facts_path, fine_path = f"{root}/_fatos_uf_ano", f"{root}/_fatos_finos"
+    write_table(marts.state_year_facts(silver), facts_path)
+    write_table(marts.fine_facts(marts.active(silver)), fine_path)
+    out = {}
+    built = marts.marts_from_facts(read_table(spark, facts_path), read_table(spark, fine_path), spark)
+    for name, df in built.items():
+        path = f"{root}/{name}"
+        write_table(df, path, files_per_partition=files_per_mart)
+        out[name] = path
+    return out
