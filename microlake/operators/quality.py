@@ -24,28 +24,40 @@ def _rules(*items: tuple[str, Column, Column, Column]) -> Column:
         for n, v, lim, ok in items]))
 
 
-def layer_gate(silver: DataFrame, bronze: DataFrame, by: str = "ano",
+def silver_metrics(by: str = "ano") -> list[Column]:
+    """Aggregates the silver gate needs (usable in ``groupBy().agg`` or ``observe``)."""
+    return [F.count(F.lit(1)).alias("qtd_silver"),
+            F.count_if(F.col("remun_dezembro_nom").isNull()).alias("nulos_remun"),
+            F.count_if(F.col("cod_uf").isNull()).alias("nulos_uf")]
+
+
+def gate_rules(metrics: DataFrame, bronze_counts: DataFrame, by: str = "ano",
                max_null_pay: float = config.MAX_NULL_PAY,
                max_null_state: float = config.MAX_NULL_STATE) -> DataFrame:
-    """Silver gate per year: non-empty, same count as bronze, NULL share of pay and
-    of state under their limits. One aggregate per layer, joined on the year."""
-    s = silver.groupBy(by).agg(
-        F.count(F.lit(1)).alias("qtd_silver"),
-        F.avg(F.col("remun_dezembro_nom").isNull().cast("int")).alias("nulo_remun"),
-        F.avg(F.col("cod_uf").isNull().cast("int")).alias("nulo_uf"))
-    b = bronze.groupBy(by).agg(F.count(F.lit(1)).alias("qtd_bronze"))
-    j = s.join(b, by, "full")
+    """Rule rows (regra, valor, limite, ok) from per-year silver metrics
+    (qtd_silver, nulos_remun, nulos_uf) and bronze counts (qtd_bronze)."""
+    j = metrics.join(bronze_counts, by, "full")
     qs, qb = F.coalesce("qtd_silver", F.lit(0)), F.coalesce("qtd_bronze", F.lit(0))
+    nr = F.try_divide(F.col("nulos_remun"), F.col("qtd_silver"))
+    nu = F.try_divide(F.col("nulos_uf"), F.col("qtd_silver"))
     return j.select(by, _rules(
         ("silver_nao_vazia", qs, F.lit(1), qs >= 1),
         ("silver_igual_bronze", qs, qb, qs == qb),
-        ("nulo_remuneracao", F.col("nulo_remun"), F.lit(max_null_pay),
-         F.coalesce(F.col("nulo_remun") <= max_null_pay, F.lit(False))),
-        ("nulo_uf", F.col("nulo_uf"), F.lit(max_null_state),
-         F.coalesce(F.col("nulo_uf") <= max_null_state, F.lit(False))),
+        ("nulo_remuneracao", nr, F.lit(max_null_pay), F.coalesce(nr <= max_null_pay, F.lit(False))),
+        ("nulo_uf", nu, F.lit(max_null_state), F.coalesce(nu <= max_null_state, F.lit(False))),
     ).alias("r")).select(by, "r.*")
 
 
+def layer_gate(silver: DataFrame, bronze: DataFrame, by: str = "ano",
+               max_null_pay: float = config.MAX_NULL_PAY,
+               max_null_state: float = config.MAX_NULL_STATE) -> DataFrame:
+    """Silver gate per year: non-empty, same count as bronze, NULL share of pay and
+    of state under their limits. One aggregate per layer, joined on the year."""
+    s = silver.groupBy(by).agg(*silver_metrics(by))
+    b = bronze.groupBy(by).agg(F.count(F.lit(1)).alias("qtd_bronze"))
+    return gate_rules(s, b, by, max_null_pay, max_null_state)
+
+
 def enforce(results: DataFrame, ok: str = "ok") -> int:
     """Raise with every failed rule; returns the number of rules checked. Only the
     (small) rule rows are collected."""

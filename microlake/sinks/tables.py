@@ -187,34 +187,24 @@ def has_rows(df: DataFrame) -> bool:
 
 def publish_year(spark: SparkSession, silver: DataFrame, bronze: DataFrame, path: str, ano: int,
                  staging: str, col: str = PARTITION) -> int:
-    """Gate before publish: the year's silver is written to a staging table, the gate
-    runs on what was written (staging vs bronze), and only a passing year replaces the
-    published partition. A failing gate raises and leaves the published table as it was.
-    """
-    from microlake.operators import quality
-    replace_partition(silver, staging, ano, col=col)
-    staged = spark.read.parquet(staging).filter(F.col(col) == ano)
-    quality.enforce(quality.layer_gate(staged, bronze.filter(F.col(col) == ano), col))
-    replace_partition(staged, path, ano, col=col)
-    return staged.count()
-
+    """Gate before publish, in one pass over silver.
 
-def write_gold(spark: SparkSession, silver: DataFrame, root: str, files_per_mart: int = 4) -> dict[str, str]:
-    """Build and write the five marts with two scans of silver instead of five.
-
-    The (ano, cod_uf) facts and the finer (ano, cod_uf, division, schooling) facts are
-    written first under ``root/_fatos_*`` (this also cuts the lineage: a lost executor
-    recomputes from these tables, not from silver); every mart is then derived from
-    them and written with a few files, partitioned by year.
+    The year's silver is written to a staging table while an ``Observation`` collects
+    the gate metrics in that same job (no second scan); the gate compares them with
+    the bronze count, and only a passing year replaces the published partition. A
+    failing gate raises and leaves the published table as it was.
     """
-    from microlake.operators import marts
-    facts_path, fine_path = f"{root}/_fatos_uf_ano", f"{root}/_fatos_finos"
-    write_table(marts.state_year_facts(silver), facts_path)
-    write_table(marts.fine_facts(marts.active(silver)), fine_path)
-    out = {}
-    built = marts.marts_from_facts(read_table(spark, facts_path), read_table(spark, fine_path), spark)
-    for name, df in built.items():
-        path = f"{root}/{name}"
-        write_table(df, path, files_per_partition=files_per_mart)
-        out[name] = path
-    return out
+    from pyspark.sql import Observation
+
+    from microlake.operators import quality
+    obs = Observation(f"gate_{ano}")
+    replace_partition(silver.observe(obs, *quality.silver_metrics(col)), staging, ano, col=col)
+    m = obs.get
+    metrics = spark.createDataFrame(
+        [(ano, m["qtd_silver"], m["nulos_remun"], m["nulos_uf"])],
+        f"{col} int, qtd_silver bigint, nulos_remun bigint, nulos_uf bigint")
+    bronze_counts = (bronze.filter(F.col(col) == ano).groupBy(col)
+                     .agg(F.count(F.lit(1)).alias("qtd_bronze")))
+    quality.enforce(quality.gate_rules(metrics, bronze_counts, col))
+    replace_partition(spark.read.parquet(staging).filter(F.col(col) == ano), path, ano, col=col)
+    return int(m["qtd_silver"])
