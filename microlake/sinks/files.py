@@ -46,3 +46,18 @@ def delete(spark: SparkSession, path: str) -> bool:
     """Recursive delete of a table/partition directory on the cluster file system."""
     fs, Path = _fs(spark, path)
     return bool(fs.delete(Path(path), True))
+
+
+def list_data_files(spark: SparkSession, patterns: str | list[str]) -> list[tuple[str, str, int]]:
+    """(path, name, size) of the data files matched by glob patterns; like Spark's own
+    listing, names starting with '.' or '_' are hidden. Metadata only."""
+    out = []
+    for pattern in [patterns] if isinstance(patterns, str) else patterns:
+        fs, Path = _fs(spark, pattern)
+        for st in fs.globStatus(Path(pattern)) or []:
+            sts = [st] if st.isFile() else list(fs.listStatus(st.getPath()) or [])
+            for f in sts:
+                name = f.getPath().getName()
+                if f.isFile() and not name.startswith((".", "_")):
+                    out.append((f.getPath().toString(), name, int(f.getLen())))
+    return sorted(set(out))
