@@ -221,8 +221,8 @@ def storage_ratio(spark, sf):
     root = _root(spark, sf)
     path = scratch_path(spark, "bronze-parquet")
     tables.write_table(_bronze(spark, sf), path)
-    text_bytes = tables.storage_bytes(spark, root + "/*/*", "csv", sep="\u0001", quote="")
-    parquet_bytes = tables.storage_bytes(spark, path)
+    text_bytes = tables.storage_bytes(spark, root + "/*/*")
+    parquet_bytes = tables.storage_bytes(spark, path + "/*/*")
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("linhas")).select(
         "linhas", F.lit(text_bytes).alias("bytes_texto"), F.lit(parquet_bytes).alias("bytes_parquet"),
         F.round(F.lit(text_bytes) / F.lit(max(parquet_bytes, 1)), 2).alias("razao"))

@@ -67,11 +67,8 @@ def partition_stats(df: DataFrame, by: str = PARTITION) -> DataFrame:
 
 
 def partition_bytes(spark: SparkSession, path: str, ano: int, col: str = PARTITION) -> int:
-    """Bytes of one partition, from file metadata aggregated by Spark."""
-    t = spark.read.parquet(path).filter(F.col(col) == ano)
-    files_ = t.select(F.col("_metadata.file_path").alias("f"),
-                      F.col("_metadata.file_size").alias("s")).distinct()
-    return int(files_.agg(F.coalesce(F.sum("s"), F.lit(0))).first()[0])
+    """Bytes of one partition, from the file listing (no data is read)."""
+    return sum(size for _, _, size in files.list_data_files(spark, f"{path}/{col}={ano}/*"))
 
 
 def compact_partition(spark: SparkSession, path: str, ano: int, staging: str,
@@ -164,13 +161,15 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(spark, path)
 
 
-def storage_bytes(spark: SparkSession, paths, fmt: str = "parquet", **options) -> int:
-    """Bytes on storage of a layer, summed by Spark from per-file metadata (one row
-    per file after the distinct; no data column is read)."""
-    r = spark.read.format(fmt).options(**options).load(paths)
-    per_file = r.select(F.col("_metadata.file_path").alias("f"),
-                        F.col("_metadata.file_size").alias("s")).distinct()
-    return int(per_file.agg(F.coalesce(F.sum("s"), F.lit(0))).first()[0])
+def storage_bytes(spark: SparkSession, paths) -> int:
+    """Bytes on storage of a layer (files under the paths, recursively by glob
+    level), from the file listing — no data is read."""
+    patterns = [paths] if isinstance(paths, str) else list(paths)
+    total = 0
+    for p in patterns:
+        for _, _, size in files.list_data_files(spark, p):
+            total += size
+    return total
 
 
 def restore_snapshot(spark: SparkSession, archive_path: str, snapshot_id: str, path: str,
