@@ -195,7 +195,7 @@ FROM silver GROUP BY ano""",
     "basic_projection": """
 SELECT o_orderkey, o_orderstatus AS status, CAST(o_totalprice AS DECIMAL(18,2)) AS total,
   CAST(o_orderdate AS DATE) AS data,
-  CAST(o_totalprice AS DECIMAL(18,2)) * 13 AS total_13,
+  CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 13 AS DECIMAL(21,2)) AS total_13,
   CAST(CAST(o_totalprice AS DECIMAL(18,2)) / 2 AS DECIMAL(20,3)) AS metade
 FROM orders
 WHERE (o_orderstatus = 'F' OR NOT (o_totalprice < 100000)) AND o_orderpriority IS NOT NULL""",

@@ -172,10 +172,10 @@ WHERE r.coluna IS NULL OR (d.coluna IS NULL AND coalesce(t.completa, true))""",
     "dictionary_search": o.with_(*o.BASE_ACTIVE, o.STATES, mart_queries._EMP, *_CTES) + """
 , nulls AS (
   SELECT 'silver.vinculos' AS tabela, 'remun_dezembro_nom' AS coluna, CAST(count_if(remun_dezembro_nom IS NULL) AS BIGINT) AS nulos FROM silver
-  UNION ALL SELECT 'silver.vinculos', 'remun_media_nom', count_if(remun_media_nom IS NULL) FROM silver
-  UNION ALL SELECT 'gold.emprego_uf_ano', 'massa_salarial_dez_nom', count_if(massa_salarial_dez_nom IS NULL) FROM emp
-  UNION ALL SELECT 'gold.emprego_uf_ano', 'remun_media_dez_nom', count_if(remun_media_dez_nom IS NULL) FROM emp)
-SELECT c.tabela, c.coluna, a.tipo, c.unidade, n.nulos FROM cols c
+  UNION ALL SELECT 'silver.vinculos', 'remun_media_nom', CAST(count_if(remun_media_nom IS NULL) AS BIGINT) FROM silver
+  UNION ALL SELECT 'gold.emprego_uf_ano', 'massa_salarial_dez_nom', CAST(count_if(massa_salarial_dez_nom IS NULL) AS BIGINT) FROM emp
+  UNION ALL SELECT 'gold.emprego_uf_ano', 'remun_media_dez_nom', CAST(count_if(remun_media_dez_nom IS NULL) AS BIGINT) FROM emp)
+SELECT c.tabela, c.coluna, a.tipo, c.unidade, CAST(n.nulos AS BIGINT) AS nulos FROM cols c
 JOIN actual a ON c.tabela = a.tabela AND c.coluna = a.coluna
 JOIN nulls n ON c.tabela = n.tabela AND c.coluna = n.coluna
 WHERE c.unidade = 'R$'""",

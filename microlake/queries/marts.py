@@ -121,7 +121,7 @@ SELECT ano, cod_uf,
   {o.avg_dec(_F)} AS rem_mulher_sm, {o.avg_dec(_M)} AS rem_homem_sm,
   quantile_disc({_F}, 0.5) AS mediana_mulher_sm, quantile_disc({_M}, 0.5) AS mediana_homem_sm,
   {o.ratio_round(o.units6(_F), o.units6(_M))} AS razao_mulher_homem,
-  {o.dec_ratio_round(f'quantile_disc({_F}, 0.5)', f'quantile_disc({_M}, 0.5)')} AS razao_mediana_mulher_homem
+  {o.dec_ratio_round(f'quantile_disc({_F}, 0.5)', f'quantile_disc({_M}, 0.5)', out_precision=22)} AS razao_mediana_mulher_homem
 FROM active GROUP BY ano, cod_uf) x LEFT JOIN dim_uf d ON x.cod_uf = d.cod_uf""",
     "mart_top_industry": o.with_(*o.BASE_ACTIVE, o.STATES) + """
 SELECT r.*, d.uf FROM (

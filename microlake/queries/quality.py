@@ -136,7 +136,7 @@ FROM (SELECT DISTINCT ano FROM silver) s FULL JOIN (SELECT DISTINCT ano FROM act
     "unit_consistency": o.with_(*o.BASE) + f"""
 SELECT ano, razao, {MIN_WAGE_RATIO}::DOUBLE AS esperado,
   coalesce(abs(CAST(razao AS DOUBLE) - {MIN_WAGE_RATIO}) <= {MIN_WAGE_RATIO * 0.01}, false) AS ok
-FROM (SELECT ano, {o.dec_ratio_round('sum(remun_dezembro_nom)', 'sum(remun_dezembro_sm)', 2)} AS razao
+FROM (SELECT ano, {o.dec_ratio_round('sum(remun_dezembro_nom)', 'sum(remun_dezembro_sm)', 2, out_precision=31)} AS razao
       FROM silver GROUP BY ano) x""",
     "check_rollup": """
 WITH h AS (SELECT CAST(user_id AS INT) AS aula, event_type AS "check", ts,
