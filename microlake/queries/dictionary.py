@@ -137,7 +137,7 @@ _SEP_DDL = ("cod_uf string, ano int, qtd_vinculos_no_ano bigint, qtd_desligados
             "taxa_desligamento double, uf string")
 _ESC_DDL = ("escolaridade int, ano int, qtd_vinculos bigint, remun_media_dez_sm decimal(19,2), "
             "escolaridade_desc string")
-_ACTUAL = (_ddl_rows("silver.vinculos", config.SILVER_CONTRACT.replace("decimal(10,1)", "decimal(10,1)"))
+_ACTUAL = (_ddl_rows("silver.vinculos", config.SILVER_CONTRACT)
            + _ddl_rows("gold.emprego_uf_ano", _EMP_DDL)
            + _ddl_rows("gold.desligamento_uf_ano", _SEP_DDL)
            + _ddl_rows("gold.escolaridade_ano", _ESC_DDL))
