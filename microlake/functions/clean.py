@@ -66,13 +66,7 @@ def flag_of(c: Column) -> Column:
 
 def date_of(c: Column, fmt: str | None = None) -> Column:
     """Text -> date; malformed text is NULL (plain to_date raises under ANSI)."""
-    if fmt is None:
-        return F.try_to_date(c) if hasattr(F, "try_to_date") else F.expr(f"try_to_date({_sql(c)})")
-    return F.try_to_date(c, F.lit(fmt))
-
-
-def _sql(c: Column) -> str:  # pragma: no cover - only for very old pyspark
-    return str(c)
+    return F.try_to_date(c) if fmt is None else F.try_to_date(c, F.lit(fmt))
 
 
 def keep_if_matches(c: Column, pattern: str) -> Column:

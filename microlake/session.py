@@ -1,7 +1,6 @@
 """Session builder and shared-folder helpers."""
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,10 +66,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def local_path(path: str) -> str:
     """Path without a ``file:`` scheme (for the local-mode test helpers only)."""
     return path[5:] if path.startswith("file:") else path
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
