@@ -61,8 +61,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/microlake/{name}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str:
-    """Path without a ``file:`` scheme (for the local-mode test helpers only)."""
-    return path[5:] if path.startswith("file:") else path
