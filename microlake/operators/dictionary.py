@@ -83,7 +83,8 @@ def export_json(tables: DataFrame, columns: DataFrame, actual: DataFrame) -> Dat
         .alias("colunas"))
     doc = tables.join(cols, "tabela", "inner")
     return doc.select("tabela", F.to_json(F.struct("tabela", "descricao", "grao", "atualizacao",
-                                                   "colunas")).alias("json"))
+                                                   "colunas"),
+                                          {"ignoreNullFields": "false"}).alias("json"))
 
 
 def search_by_unit(columns: DataFrame, actual: DataFrame, unit: str) -> DataFrame:

@@ -145,6 +145,33 @@ _CTES = (f"tabs AS (SELECT * FROM {_values(catalog.TABLES, ['tabela', 'descricao
          f"cols AS (SELECT * FROM {_values(catalog.COLUMNS, ['tabela', 'coluna', 'descricao', 'unidade'])})",
          f"actual AS (SELECT * FROM {_values(_ACTUAL, ['tabela', 'coluna', 'tipo'])})")
 
+def _null_counts_sql():
+    parts = []
+    emp = f"""(SELECT e.*, d.uf FROM (SELECT ano, cod_uf, CAST(count(*) AS BIGINT) AS qtd_vinculos,
+      CAST(sum(remun_dezembro_nom) AS DECIMAL(28,2)) AS massa_salarial_dez_nom,
+      {o.round_avg_dec('remun_dezembro_nom')} AS remun_media_dez_nom,
+      {o.round_avg_dec('remun_dezembro_sm')} AS remun_media_dez_sm,
+      quantile_disc(remun_dezembro_sm, 0.5) AS remun_mediana_dez_sm
+      FROM active GROUP BY ano, cod_uf) e LEFT JOIN dim_uf d ON e.cod_uf = d.cod_uf)"""
+    sep = f"""(SELECT s.*, {o.rate_round('qtd_desligados', 'qtd_vinculos_no_ano')} AS taxa_desligamento, d.uf FROM (
+      SELECT ano, cod_uf, count(*) AS qtd_vinculos_no_ano,
+      sum(CAST(desligado_no_ano AS INT)) AS qtd_desligados FROM silver GROUP BY ano, cod_uf) s
+      LEFT JOIN dim_uf d ON s.cod_uf = d.cod_uf)"""
+    esc = f"""(SELECT a.*, d.escolaridade_desc FROM (SELECT ano, escolaridade, count(*) AS qtd_vinculos,
+      {o.round_avg_dec('remun_dezembro_sm')} AS remun_media_dez_sm FROM active GROUP BY ano, escolaridade) a
+      LEFT JOIN dim_esc d ON a.escolaridade = d.escolaridade)"""
+    frames = {"silver.vinculos": "silver", "gold.emprego_uf_ano": emp,
+              "gold.desligamento_uf_ano": sep, "gold.escolaridade_ano": esc}
+    for table, rel in frames.items():
+        for t, c, _ in _ACTUAL:
+            if t == table:
+                parts.append(f"SELECT '{t}' AS tabela, '{c}' AS coluna, CAST(count_if({c} IS NULL) AS BIGINT) "
+                             f"AS nulos, CAST(count(*) AS BIGINT) AS total FROM {rel} x")
+    return " UNION ALL ".join(parts)
+
+
+_NULL_COUNTS = _null_counts_sql()
+
 SQL = {
     "dictionary_violations": o.with_(*_CTES) + f"""
 SELECT tabela, CAST(NULL AS VARCHAR) AS coluna, regra FROM tabs, LATERAL (SELECT * FROM (VALUES
@@ -188,6 +215,16 @@ SELECT ano, cod_uf, 'Em ' || CAST(ano AS VARCHAR) || ', ' || coalesce(uf, 'UF n
   || translate(format('{:,}', qtd_vinculos), ',.', '.,') || ' vínculos ativos, remuneração média de R$ '
   || translate(format('{:,.2f}', CAST(remun_media_dez_nom AS DOUBLE)), ',.', '.,') || '.' AS frase
 FROM emp""",
+    "dictionary_export": o.with_(*o.BASE_ACTIVE, o.STATES, o.SCHOOLING, *_CTES) + f"""
+, nulls AS ({_NULL_COUNTS}),
+d AS (SELECT c.tabela, c.coluna, a.tipo, c.descricao, c.unidade,
+        {o.rate_round('n.nulos * 100', 'n.total', 2)} AS pct_nulo
+      FROM cols c JOIN actual a ON c.tabela = a.tabela AND c.coluna = a.coluna
+      JOIN nulls n ON c.tabela = n.tabela AND c.coluna = n.coluna)
+SELECT t.tabela, to_json({{'tabela': t.tabela, 'descricao': t.descricao, 'grao': t.grao,
+  'atualizacao': t.atualizacao, 'colunas': x.colunas}}) AS json
+FROM tabs t JOIN (SELECT tabela, list_sort(list({{'coluna': coluna, 'tipo': tipo, 'descricao': descricao,
+  'unidade': unidade, 'pct_nulo': pct_nulo}})) AS colunas FROM d GROUP BY tabela) x ON t.tabela = x.tabela""",
     "dictionary_comments": o.with_(*_CTES) + """
 SELECT a.tabela, a.coluna, CASE WHEN c.coluna IS NULL OR a.coluna = 'ano' THEN NULL ELSE c.descricao
   || coalesce(' Unidade: ' || c.unidade || '.', '') END AS comentario
