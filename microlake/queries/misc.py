@@ -8,12 +8,20 @@ from microlake.queries import inputs
 from microlake.session import scratch_path
 
 
-def hash_sample(df: DataFrame, keys: list[str], percent: int, seed: int = 42) -> DataFrame:
+def hash_sample(df: DataFrame, keys: list[str], percent: int, seed: int = 42,
+                portable: bool = False) -> DataFrame:
     """Deterministic ~percent% sample: a row is kept when the hash of its key falls in
     the first ``percent`` of 100 buckets. Unlike ``head``, it does not depend on file
     order (sorted sources make ``head`` a biased sample); unlike ``sample`` it picks
-    the same rows on every run and every engine layout."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(100))
+    the same rows on every run and every partitioning.
+
+    ``portable``: bucket from the first 32 bits of md5('seed|k1|k2..'), which any SQL
+    engine can recompute (slower than the default xxhash64)."""
+    if portable:
+        text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+        bucket = F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), F.lit(100))
+    else:
+        bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(100))
     return df.filter(bucket < percent)
 
 
@@ -30,12 +38,15 @@ def range_smoke(spark, sf):
 
 def sample_one_percent(spark, sf):
     li = inputs.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    return hash_sample(li, ["l_orderkey", "l_linenumber"], 1)
+    return hash_sample(li, ["l_orderkey", "l_linenumber"], 1, portable=True)
 
 
 QUERIES = {"range_smoke": range_smoke, "hash_sample": sample_one_percent}
 
 SQL = {
+    "hash_sample": """SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+WHERE CAST(('0x' || substr(md5('42|' || CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)), 1, 8))
+           AS BIGINT) % 100 < 1""",
     "range_smoke": """SELECT CAST(count(*) AS BIGINT) AS qtd, CAST(sum(l_orderkey * 10 + l_linenumber) AS BIGINT) AS soma,
   min(l_orderkey * 10 + l_linenumber) AS minimo, max(l_orderkey * 10 + l_linenumber) AS maximo FROM lineitem""",
 }
