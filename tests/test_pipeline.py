@@ -87,3 +87,23 @@ def test_dimension_keys_and_orphan_allow_list(spark):
     all_orphans = {r[0] for r in joins.orphan_codes(s, dims.dim_state(spark), "cod_uf").collect()}
     rest = {r[0] for r in joins.orphan_codes(s, dims.dim_state(spark), "cod_uf", ["18", "19"]).collect()}
     assert rest == all_orphans - {"18", "19"}
+
+
+def test_load_years_end_to_end_and_rerun(spark, tmp_dir):
+    from microlake import stages
+    from microlake.operators import manifest as mf
+    root = landing.landing(spark, SF)
+    lake = tmp_dir + "/lake"
+    stages.load_year(spark, root, 1995, lake, "r1", "2024-01-01 00:00:00")
+    stages.load_year(spark, root, 1999, lake, "r2", "2024-01-02 00:00:00")
+    stages.load_year(spark, root, 1995, lake, "r3", "2024-01-03 00:00:00")   # rerun
+    p = stages.paths(lake)
+    raw = inputs.raw(spark, SF)
+    silver = tables.read_table(spark, p["silver"])
+    got = {r["ano"]: r["count"] for r in silver.groupBy("ano").count().collect()}
+    exp = {r["ano"]: r["count"] for r in raw.filter(F.col("ano").isin(1995, 1999)).groupBy("ano").count().collect()}
+    assert got == exp
+    emp = tables.read_table(spark, p["gold"] + "/gold_emprego_uf_ano")
+    assert emp.agg(F.sum("qtd_vinculos")).first()[0] == silver.filter("vinculo_ativo").count()
+    runs = {r["ano"]: r for r in mf.rerun_consistency(mf.read_manifest(spark, p["manifest"])).collect()}
+    assert runs[1995]["execucoes"] == 2 and runs[1995]["ok"] and runs[1999]["execucoes"] == 1
