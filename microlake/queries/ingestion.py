@@ -241,3 +241,19 @@ def silver_by_file(spark, sf):
 QUERIES["silver_by_file"] = silver_by_file
 SQL["silver_by_file"] = o.with_(o.RAW, _BRONZE, o.SILVER.replace("FROM raw) s0", "FROM bronze) s0")) \
     + "SELECT * FROM silver"
+
+
+def lake_gold_employment(spark, sf):
+    """Every landed year loaded through the composed stages (bronze, gated silver with
+    per-file presence, two-scan gold); the published employment mart is returned."""
+    from microlake import stages
+    from microlake.sinks import tables
+    root = _root(spark, sf)
+    years = sorted(r[0] for r in text.file_columns(spark, root + "/*/*").select("ano").distinct().collect())
+    lake = scratch_path(spark, "lake")
+    gold = stages.load_years(spark, root, years, lake, "run-1", "2024-01-01 00:00:00")
+    return tables.read_table(spark, gold["gold_emprego_uf_ano"])
+
+
+QUERIES["lake_gold_employment"] = lake_gold_employment
+SQL["lake_gold_employment"] = mart_queries.SQL["mart_employment"]

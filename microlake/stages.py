@@ -63,3 +63,18 @@ def load_year(spark: SparkSession, raw_root: str, ano: int, lake_root: str, run_
     silver_year(spark, folder, ano, p["bronze"], p["silver"])
     gold_all(spark, p["silver"], p["gold"])
     record_run(spark, p, run_id, ts, ano)
+
+
+def load_years(spark: SparkSession, raw_root: str, years: list[int], lake_root: str,
+               run_id: str, ts: str) -> dict[str, str]:
+    """Several years: bronze and silver per year, the gold marts once, one manifest
+    row per year."""
+    p = paths(lake_root)
+    for ano in years:
+        folder = f"{raw_root.rstrip('/')}/{ano}"
+        bronze_year(spark, folder, ano, p["bronze"])
+        silver_year(spark, folder, ano, p["bronze"], p["silver"])
+    gold = gold_all(spark, p["silver"], p["gold"])
+    for ano in years:
+        record_run(spark, p, run_id, ts, ano)
+    return gold
