@@ -126,7 +126,7 @@ QUERIES = {f.__name__: f for f in [
 # --- oracle ------------------------------------------------------------------------------
 
 _DIGIT = "substring(municipio, 1, 1)"
-_FILE = (f"'RAIS_VINC_PUB_' || coalesce(CASE {_DIGIT} WHEN '1' THEN 'NORTE' WHEN '2' THEN 'NORDESTE' "
+_FILE = (f"'VINCULOS_' || coalesce(CASE {_DIGIT} WHEN '1' THEN 'NORTE' WHEN '2' THEN 'NORDESTE' "
          f"WHEN '3' THEN 'SUDESTE' WHEN '4' THEN 'SUL' WHEN '5' THEN 'CENTRO-OESTE' END, 'IGNORADO') "
          f"|| CASE WHEN {_DIGIT} = '2' THEN '.COMT' ELSE '.txt' END")
 _TEXT_COLS = ["municipio", "cnae_2_0_classe", "cbo_ocupacao_2002", "vinculo_ativo_31_12",

@@ -64,7 +64,7 @@ def file_name_of(municipio) -> F.Column:
                            for x in (k, v.upper())])
     region = F.coalesce(F.try_element_at(names, digit), F.lit(UNKNOWN_REGION))
     ext = F.when(digit == NEW_LAYOUT_DIGIT, F.lit(".COMT")).otherwise(F.lit(".txt"))
-    return F.concat(F.lit("RAIS_VINC_PUB_"), region, ext)
+    return F.concat(F.lit("VINCULOS_"), region, ext)
 
 
 def _write_layout(df: DataFrame, staging: str, headers: dict[str, str], sep: str,
@@ -81,7 +81,7 @@ def _write_layout(df: DataFrame, staging: str, headers: dict[str, str], sep: str
 
 
 def write_landing(spark: SparkSession, raw: DataFrame, root: str, parts_per_file: int = 1) -> str:
-    """root/<ano>/RAIS_VINC_PUB_<REGION>.<ext> with stable names.
+    """root/<ano>/VINCULOS_<REGION>.<ext> with stable names.
 
     With ``parts_per_file`` > 1 every (year, region) file is split by a row hash into
     that many files (``..._<k>.<ext>``) so a region holding a large share of the rows
