@@ -16,11 +16,28 @@ from microlake.sources import parquet
 # tables whose scans feed heavy row-level work, with their primary key
 _SPREAD = {"lineitem": ["l_orderkey", "l_linenumber"]}
 
+# declared schemas of the driver's tables: reading with a schema skips the footer
+# inference job that spark.read.parquet would otherwise run for every read
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                 "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                 "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if name in _SPREAD:
-        return parquet.read(spark, path, unique_key=_SPREAD[name])
+        return parquet.read(spark, path, unique_key=_SPREAD[name], schema=SCHEMAS.get(name))
+    if name in SCHEMAS:
+        return spark.read.schema(SCHEMAS[name]).parquet(path)
     return spark.read.parquet(path)
 
 

@@ -33,7 +33,9 @@ def spread(df: DataFrame, min_partitions: int, unique_key: list[str] | None = No
 
 
 def read(spark: SparkSession, path: str, min_partitions: int | None = None,
-         unique_key: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+         unique_key: list[str] | None = None, schema: str | None = None) -> DataFrame:
+    """Parquet read (with a declared schema when known: no inference job), spread to
+    at least ``min_partitions`` (default: the cluster's parallelism) when needed."""
+    df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     target = min_partitions or spark.sparkContext.defaultParallelism
     return spread(df, target, unique_key)
