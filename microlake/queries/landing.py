@@ -8,6 +8,7 @@ every field quoted, other header names, no 'Tempo Emprego', one extra column, ex
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from microlake import config
@@ -88,6 +89,9 @@ def write_landing(spark: SparkSession, raw: DataFrame, root: str, parts_per_file
     is written by several tasks; 1 reproduces the released one-file-per-region shape.
     """
     staged = raw.withColumn("arquivo", file_name_of(F.col("municipio")))
+    # both layout writes read the same rows: keep them once instead of recomputing the
+    # joins (an evicted or lost block is recomputed from lineage)
+    staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
     if parts_per_file > 1:
         part = F.pmod(F.xxhash64(*[F.col(c) for c in raw.columns]), F.lit(parts_per_file))
         staged = staged.withColumn("arquivo", F.regexp_replace(
@@ -107,6 +111,7 @@ def write_landing(spark: SparkSession, raw: DataFrame, root: str, parts_per_file
             return f"{root}/{ano}/{arq}"
 
         publish_single_files(spark, staging, "ano=*/arquivo=*/part-*", target)
+    staged.unpersist()
     return root
 
 
