@@ -127,18 +127,16 @@ def run_history(spark, sf):
 
 
 def snapshot_compare(spark, sf):
-    """Archive year 1996 as snapshot s1, replace it (open orders removed, prices rounded),
-    then compare the snapshot with the current partition by key."""
+    """Archive the whole table as snapshot s1, replace every year (open orders removed,
+    prices rounded), then compare the snapshot with the current table by key."""
     path = _orders_table(spark, sf)
     archive = scratch_path(spark, "orders-archive")
-    current = tables.read_table(spark, path).filter(F.col("ano") == REPLACED_YEAR)
-    tables.archive_snapshot(current, archive, "s1")
-    fix = (_orders(spark, sf).filter((F.col("ano") == REPLACED_YEAR) & (F.col("o_orderstatus") != "O"))
+    tables.archive_snapshot(tables.read_table(spark, path), archive, "s1")
+    fix = (_orders(spark, sf).filter(F.col("o_orderstatus") != "O")
            .withColumn("o_totalprice", F.round("o_totalprice", 0).cast("decimal(18,2)")))
-    tables.replace_partition(fix, path, REPLACED_YEAR)
+    tables.replace_partition(fix, path, _years(spark, sf))
     before = tables.read_snapshot(spark, archive, "s1")
-    after = tables.read_table(spark, path).filter(F.col("ano") == REPLACED_YEAR)
-    return tables.compare_versions(before, after, ["o_orderkey"])
+    return tables.compare_versions(before, tables.read_table(spark, path), ["o_orderkey"])
 
 
 def snapshot_retention(spark, sf):
@@ -199,9 +197,9 @@ SELECT s.ano, b.bronze, s.silver, a.gold_vinculos_ativos FROM
 SELECT ano, CAST(2 AS BIGINT) AS execucoes, CAST(1 AS BIGINT) AS contagens_distintas_silver, true AS ok
 FROM silver GROUP BY ano""",
     "snapshot_compare": o.with_(_OD) + f"""
-, b AS (SELECT * FROM od WHERE ano = {REPLACED_YEAR}),
+, b AS (SELECT * FROM od),
 a AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(round(o_totalprice, 0) AS DECIMAL(18,2)) AS o_totalprice,
-      o_orderpriority, ano FROM od WHERE ano = {REPLACED_YEAR} AND o_orderstatus <> 'O'),
+      o_orderpriority, ano FROM od WHERE o_orderstatus <> 'O'),
 j AS (SELECT b.o_custkey AS b1, a.o_custkey AS a1, b.o_orderstatus AS b2, a.o_orderstatus AS a2,
         b.o_totalprice AS b3, a.o_totalprice AS a3, b.o_orderpriority AS b4, a.o_orderpriority AS a4,
         b.ano AS b5, a.ano AS a5, b.o_orderkey IS NOT NULL AS hb, a.o_orderkey IS NOT NULL AS ha
