@@ -39,10 +39,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     from microlake.queries import landing, registry
-    from microlake.session import build_session
+    from microlake.session import build_session, shuffle_partitions_for
 
+    input_bytes = sum(os.path.getsize(os.path.join(sf_dir, f)) for f in os.listdir(sf_dir)
+                      if f.endswith(".parquet"))
     spark = build_session(
-        "microlake-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
+        "microlake-bench", master=f"local[{cpus}]",
+        shuffle_partitions=shuffle_partitions_for(input_bytes, int(cpus)),
         extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g"),
                "spark.ui.showConsoleProgress": "false"})
     qs = registry.all_queries()

@@ -7,6 +7,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions_for(shuffle_bytes: int, cores: int,
+                           target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Shuffle width so each partition holds about ``target_bytes`` (fits executor
+    memory without spilling), rounded up to a multiple of the cores so the last wave
+    is full: 6 GB on 4 cores -> 48. AQE then coalesces partitions that turn out small."""
+    n = max(1, -(-shuffle_bytes // target_bytes))
+    return max(cores, -(-n // cores) * cores)
+
+
 def build_session(
     app_name: str = "microlake",
     master: str | None = None,
@@ -29,6 +41,7 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.files.maxPartitionBytes": "128m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     if shuffle_partitions:

@@ -93,3 +93,10 @@ def test_bands(spark):
     ages = spark.createDataFrame([(24,), (25,), (39,), (40,), (60,)], "a int")
     assert [r[0] for r in ages.select(clean.age_band(F.col("a"))).collect()] == \
         ["ate_24", "25_39", "25_39", "40_59", "60_mais"]
+
+
+def test_shuffle_partition_rule():
+    from microlake.session import shuffle_partitions_for
+    assert shuffle_partitions_for(6 * 1024 ** 3, 4) == 48
+    assert shuffle_partitions_for(10, 8) == 8
+    assert shuffle_partitions_for(100 * 1024 ** 4, 4000) == 820000
