@@ -45,7 +45,7 @@ def main() -> None:
                       if f.endswith(".parquet"))
     spark = build_session(
         "microlake-bench", master=f"local[{cpus}]",
-        shuffle_partitions=shuffle_partitions_for(input_bytes, int(cpus)),
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", 0)) or shuffle_partitions_for(input_bytes, int(cpus)),
         extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g"),
                "spark.ui.showConsoleProgress": "false"})
     qs = registry.all_queries()

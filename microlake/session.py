@@ -14,9 +14,10 @@ def shuffle_partitions_for(shuffle_bytes: int, cores: int,
                            target_bytes: int = TARGET_PARTITION_BYTES) -> int:
     """Shuffle width so each partition holds about ``target_bytes`` (fits executor
     memory without spilling), rounded up to a multiple of the cores so the last wave
-    is full: 6 GB on 4 cores -> 48. AQE then coalesces partitions that turn out small."""
+    is full: 6 GB on 4 cores -> 48; never fewer than two waves, so one slow task does
+    not idle the other cores. AQE then coalesces partitions that turn out small."""
     n = max(1, -(-shuffle_bytes // target_bytes))
-    return max(cores, -(-n // cores) * cores)
+    return max(2 * cores, -(-n // cores) * cores)
 
 
 def build_session(

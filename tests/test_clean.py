@@ -98,5 +98,5 @@ def test_bands(spark):
 def test_shuffle_partition_rule():
     from microlake.session import shuffle_partitions_for
     assert shuffle_partitions_for(6 * 1024 ** 3, 4) == 48
-    assert shuffle_partitions_for(10, 8) == 8
+    assert shuffle_partitions_for(10, 8) == 16
     assert shuffle_partitions_for(100 * 1024 ** 4, 4000) == 820000
