@@ -96,8 +96,10 @@ def headers(spark: SparkSession, paths: str | list[str],
     """
     from microlake.sinks.files import list_data_files
     files = list_data_files(spark, paths)
+    if not files:
+        return spark.createDataFrame([], "caminho string, arquivo string, header string")
     if sum(f[2] for f in files) <= small_scan_bytes:
-        return _headers_by_scan(spark, [f[0] for f in files] or paths)
+        return _headers_by_scan(spark, [f[0] for f in files])
     return _headers_by_file(spark, files)
 
 
