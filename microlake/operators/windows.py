@@ -63,3 +63,47 @@ def previous_value(df: DataFrame, by: list[str], order: str, value: str,
     w = Window.partitionBy(*by).orderBy(order)
     return (df.withColumn(out, F.lag(value).over(w))
               .withColumn(f"variacao_{value}", F.col(value) - F.col(out)))
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def ranks_at_scale(df: DataFrame, by: list[str], order: list[tuple[str, bool]],
+                   partitions: int | None = None) -> DataFrame:
+    """``rank`` and ``dense_rank`` without putting a whole group in one task.
+
+    ``order`` is [(column, descending)]. Rows are first reduced to (group, value) with
+    counts (partial aggregation), range-partitioned on (group, value) so a hot group
+    is spread over many tasks, ranked inside each range partition, and shifted by the
+    rows/values of the earlier partitions of the same group (a table with one row per
+    partition and group). The ranks are joined back on (group, value). With a unique
+    ordering, ``rank`` equals ``row_number``.
+    """
+    keys = [c for c, _ in order]
+    sort = [F.col(c).desc() if d else F.col(c).asc() for c, d in order]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("_c"))
+    ranged = (counts.repartitionByRange(n, *[F.col(b).asc() for b in by], *sort)
+              .withColumn("_p", F.spark_partition_id()))
+    local = Window.partitionBy("_p", *by).orderBy(*sort)
+    before = local.rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (ranged.withColumn("_rows_before", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+              .withColumn("_vals_before", F.row_number().over(local) - 1))
+    seg = ranged.groupBy("_p", *by).agg(F.sum("_c").alias("_seg_rows"),
+                                         F.count(F.lit(1)).alias("_seg_vals"))
+    earlier = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    seg = (seg.withColumn("_off_rows", F.coalesce(F.sum("_seg_rows").over(earlier), F.lit(0)))
+              .withColumn("_off_vals", F.coalesce(F.sum("_seg_vals").over(earlier), F.lit(0)))
+              .select("_p", *by, "_off_rows", "_off_vals"))
+    table = _null_safe_join(ranked, seg, ["_p", *by]).select(
+        *by, *keys,
+        (F.col("_off_rows") + F.col("_rows_before") + 1).cast("int").alias("rank"),
+        (F.col("_off_vals") + F.col("_vals_before") + 1).cast("int").alias("dense_rank"))
+    return _null_safe_join(df, table, [*by, *keys], "left")

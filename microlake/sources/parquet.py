@@ -12,7 +12,7 @@ def scan_partitions(df: DataFrame) -> int | None:
         return None
 
 
-def spread(df: DataFrame, min_partitions: int, unique_key: list[str] | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int, spread_key: list[str] | None = None) -> DataFrame:
     """Repartition only when the scan yields fewer partitions than cores.
 
     A large input already splits into many tasks (files x row groups) and is returned
@@ -20,22 +20,22 @@ def spread(df: DataFrame, min_partitions: int, unique_key: list[str] | None = No
     group cannot be split by Parquet, and would otherwise run every following narrow
     operator (casts, regex, joins against broadcasts) in one task.
 
-    With ``unique_key`` (a primary key: no value can be hot) rows are hash-partitioned
-    on it, which is deterministic without the local sort round robin needs; otherwise
-    round robin, which no hot key can skew.
+    With ``spread_key`` (a key with at most a few rows per value, so no value can be
+    hot) rows are hash-partitioned on it, which is deterministic without the local sort
+    round robin needs; otherwise round robin, which no hot key can skew.
     """
     n = scan_partitions(df)
     if n is None or n >= min_partitions:
         return df
-    if unique_key:
-        return df.repartition(min_partitions, *unique_key)
+    if spread_key:
+        return df.repartition(min_partitions, *spread_key)
     return df.repartition(min_partitions)
 
 
 def read(spark: SparkSession, path: str, min_partitions: int | None = None,
-         unique_key: list[str] | None = None, schema: str | None = None) -> DataFrame:
+         spread_key: list[str] | None = None, schema: str | None = None) -> DataFrame:
     """Parquet read (with a declared schema when known: no inference job), spread to
     at least ``min_partitions`` (default: the cluster's parallelism) when needed."""
     df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     target = min_partitions or spark.sparkContext.defaultParallelism
-    return spread(df, target, unique_key)
+    return spread(df, target, spread_key)

@@ -68,3 +68,17 @@ def test_join_kind_counts_match_pandas(spark):
     assert got["inner"] == inner == 151
     assert got["left"] == inner + 2 and got["right"] == inner + 2 and got["full"] == inner + 4
     assert got["left_semi"] == 51 and got["left_anti"] == 2
+
+
+def test_ranks_at_scale_equal_window_ranks_on_a_hot_group(spark):
+    base = spark.createDataFrame([(0 if i % 3 else i, (i * 7) % 11, i) for i in range(600)]
+                                 + [(None, 5, 1000), (None, None, 1001)], "g int, v int, id int")
+    a = windows.rank_variants(base, ["g"], [F.col("v").desc()]).drop("row_number")
+    b = windows.ranks_at_scale(base, ["g"], [("v", True)], partitions=5)
+    r = multiset_difference_cols(a, b)
+    assert r["iguais"], r
+
+
+def multiset_difference_cols(a, b):
+    from microlake.operators.compare import multiset_difference
+    return multiset_difference(a.select(*b.columns), b).first()
