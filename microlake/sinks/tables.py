@@ -50,6 +50,14 @@ def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> Da
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
+def read_partition(spark: SparkSession, path: str, ano: int, merge_schema: bool = False,
+                   col: str = PARTITION) -> DataFrame:
+    """One partition only: its folder is read with ``basePath`` (so ``ano`` stays a
+    column), and a schema merge touches only that year's file footers."""
+    return (spark.read.option("basePath", path).option("mergeSchema", merge_schema)
+            .parquet(f"{path.rstrip('/')}/{col}={ano}"))
+
+
 def content_hash(df: DataFrame) -> Column:
     """Order-insensitive checksum of all rows (exact decimal sum of 64-bit row hashes)."""
     return F.sum(F.xxhash64(*[F.col(c) for c in sorted(df.columns)]).cast("decimal(38,0)"))

@@ -31,7 +31,7 @@ def silver_year(spark: SparkSession, folder: str, ano: int, bronze_path: str,
                 silver_path: str) -> int:
     """Typed silver of the year, column presence decided per source file, contract
     checked, gated on a staging copy and only then published."""
-    b = tables.read_table(spark, bronze_path, merge_schema=True).filter(F.col("ano") == ano)
+    b = tables.read_partition(spark, bronze_path, ano, merge_schema=True)
     s = to_silver_by_file(b, text.file_columns(spark, folder.rstrip("/") + "/*"))
     quality.check_contract(spark, s, config.SILVER_CONTRACT, "silver")
     return tables.publish_year(spark, s, b, silver_path, ano, scratch_path(spark, f"silver-stage-{ano}"))
