@@ -44,8 +44,8 @@ def gold_all(spark: SparkSession, silver_path: str, gold_root: str) -> dict[str,
 
 def record_run(spark: SparkSession, p: dict[str, str], run_id: str, ts: str, ano: int) -> DataFrame:
     layers = {
-        "bronze": tables.read_table(spark, p["bronze"], merge_schema=True).filter(F.col("ano") == ano),
-        "silver": tables.read_table(spark, p["silver"]).filter(F.col("ano") == ano),
+        "bronze": tables.read_partition(spark, p["bronze"], ano),
+        "silver": tables.read_partition(spark, p["silver"], ano),
         "gold_vinculos_ativos": tables.read_table(spark, f"{p['gold']}/gold_emprego_uf_ano")
         .filter(F.col("ano") == ano),
     }
