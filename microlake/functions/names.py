@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 import re
-import unicodedata
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,10 +9,24 @@ from pyspark.sql import functions as F
 from microlake import config
 
 
+# fixed values: latin-1 letters with their ASCII base letter (headers are latin-1 text)
+ACCENTED = "áàâãäåçéèêëíìîïñóòôõöúùûüýÿªº¹²³"
+PLAIN = "aaaaaaceeeeiiiinooooouuuuyyao123"
+_FOLD = str.maketrans(ACCENTED, PLAIN)
+_NON_ASCII = re.compile(r"[^\x00-\x7f]")
+_SEPARATORS = re.compile(r"[^a-z0-9]+")
+
+
 def normalize_name(name: str) -> str:
-    """'Vl Remun Média (SM)' -> 'vl_remun_media_sm'."""
-    ascii_name = unicodedata.normalize("NFKD", name).encode("ascii", "ignore").decode()
-    return re.sub(r"[^a-z0-9]+", "_", ascii_name.lower().strip()).strip("_")
+    """'Vl Remun Média (SM)' -> 'vl_remun_media_sm'.
+
+    Lower case, accented letters folded to their base letter, any other non-ASCII
+    character dropped, every run of other characters turned into one '_', edges
+    trimmed. The same rule as ``normalize_name_expr``, so names normalised on the
+    driver and header strings normalised by Spark always agree.
+    """
+    folded = _NON_ASCII.sub("", name.strip().lower().translate(_FOLD))
+    return _SEPARATORS.sub("_", folded).strip("_")
 
 
 def normalized_names(names: list[str]) -> list[str]:
@@ -43,14 +56,8 @@ def canonicalize(df: DataFrame, renames: dict[str, str] | None = None) -> DataFr
 
 
 def normalize_name_expr(c: Column) -> Column:
-    """The same normalisation as a Column expression, for headers held as data.
-
-    Accents are folded with a translate table (latin-1 letters), then everything that
-    is not [a-z0-9] becomes '_' and the edges are trimmed.
-    """
-    # fixed values: latin-1 accented letters and their ASCII base letters
-    accented = "áàâãäåçéèêëíìîïñóòôõöúùûüýÿ"
-    plain = "aaaaaaceeeeiiiinooooouuuuyy"
-    s = F.translate(F.lower(F.trim(c)), accented, plain)
+    """``normalize_name`` as a Column expression, for header strings held as data."""
+    s = F.translate(F.lower(F.trim(c)), ACCENTED, PLAIN)
+    s = F.regexp_replace(s, r"[^\x00-\x7f]", "")
     s = F.regexp_replace(s, r"[^a-z0-9]+", "_")
     return F.regexp_replace(s, r"^_+|_+$", "")
