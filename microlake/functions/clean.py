@@ -49,9 +49,9 @@ def safe_decimal(df: DataFrame, name: str, precision: int = 18, scale: int = 2)
 
 
 def pay_of(c: Column) -> Column:
-    """Pay: empty or NULL text means no pay in the period (0); invalid text is NULL."""
-    empty = c.isNull() | (F.trim(c) == "")
-    return F.when(empty, F.lit(0).cast("decimal(18,2)")).otherwise(decimal_of(c))
+    """Pay: empty or NULL text means no pay in the period (0); invalid text is NULL.
+    Missing text is read as the text '0' before the decimal rule."""
+    return decimal_of(F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit("0")))
 
 
 def pay_amount(df: DataFrame, name: str) -> Column:
