@@ -71,7 +71,7 @@ def sql_equals_df(spark, sf):
     """The employment mart written in SQL over a temp view equals the DataFrame API
     version: both directions of exceptAll are empty."""
     s = inputs.silver(spark, sf)
-    view = "silver_sql_" + spark.sparkContext.applicationId.replace("-", "_").replace(".", "_")
+    view = "silver_sql_" + spark.conf.get("spark.app.id").replace("-", "_").replace(".", "_")
     s.createOrReplaceTempView(view)
     dims.dim_state(spark).createOrReplaceTempView(view + "_uf")
     by_sql = spark.sql(f"""

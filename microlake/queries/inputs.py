@@ -40,7 +40,7 @@ def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
     """Reuse an analysed plan (not data) per Spark application: every call gets a fresh
     projection of it, so it is planned again under the current configuration and
     every query still reads the tables."""
-    k = (spark.sparkContext.applicationId, id(spark), *key)
+    k = (spark.conf.get("spark.app.id"), id(spark), *key)
     if k not in _PLANS:
         _PLANS[k] = (spark, build())        # the session is kept alive with its plans
     df = _PLANS[k][1]

@@ -120,7 +120,7 @@ _CACHE: dict = {}
 
 def landing(spark: SparkSession, sf: str) -> str:
     """Landing folder for these tables, written once per Spark application."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.conf.get("spark.app.id"), sf)
     if key not in _CACHE:
         root = scratch_path(spark, "landing")
         _CACHE[key] = write_landing(spark, inputs.raw(spark, sf), root)
