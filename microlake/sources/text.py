@@ -163,20 +163,41 @@ def read_layout_groups(spark: SparkSession, groups: dict[tuple[str, tuple], list
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def layout_groups(spark: SparkSession, paths: str | list[str]) -> dict:
-    """(separator, normalised header) -> file paths. Only header metadata is collected:
-    one short row per file."""
-    rows = layouts(spark, paths).select("caminho", "sep", "colunas_normalizadas").collect()
+def layout_rows(spark: SparkSession, paths: str | list[str]) -> list:
+    """The per-file layout rows, collected once (header metadata: one short row per
+    file), to group the reads and to feed per-file column presence."""
+    return layouts(spark, paths).select("caminho", "arquivo", "sep", "colunas_normalizadas",
+                                        "colunas").collect()
+
+
+def groups_of(rows: list) -> dict:
+    """(separator, normalised header) -> file paths."""
     groups: dict = {}
     for r in rows:
         groups.setdefault((r["sep"], tuple(r["colunas_normalizadas"])), []).append(r["caminho"])
     return groups
 
 
-def read_year(spark: SparkSession, folder: str, ano: int) -> DataFrame:
+def file_columns_of(spark: SparkSession, rows: list) -> DataFrame:
+    """(ano, arquivo_origem, colunas) from collected layout rows."""
+    import re as _re
+    data = []
+    for r in rows:
+        m = _re.search(r"/(\d{4})/[^/]+$", r["caminho"])
+        data.append((int(m.group(1)) if m else None, r["arquivo"], list(r["colunas"])))
+    return spark.createDataFrame(data, f"ano int, {LINEAGE} string, colunas array<string>")
+
+
+def layout_groups(spark: SparkSession, paths: str | list[str]) -> dict:
+    """(separator, normalised header) -> file paths."""
+    return groups_of(layout_rows(spark, paths))
+
+
+def read_year(spark: SparkSession, folder: str, ano: int, rows: list | None = None) -> DataFrame:
     """Every file of a year folder (any extension; names starting with '.' or '_' are
-    hidden for Spark), grouped by layout, prepared and united by name."""
-    groups = layout_groups(spark, folder.rstrip("/") + "/*")
+    hidden for Spark), grouped by layout, prepared and united by name. ``rows``: layout
+    rows already collected for the folder."""
+    groups = groups_of(rows) if rows is not None else layout_groups(spark, folder.rstrip("/") + "/*")
     if not groups:
         raise FileNotFoundError(f"no files in {folder}")
     return read_layout_groups(spark, groups, ano)

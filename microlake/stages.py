@@ -21,18 +21,21 @@ def paths(lake_root: str) -> dict[str, str]:
             "manifest": f"{root}/ops_manifest"}
 
 
-def bronze_year(spark: SparkSession, folder: str, ano: int, bronze_path: str) -> None:
+def bronze_year(spark: SparkSession, folder: str, ano: int, bronze_path: str,
+                rows: list | None = None) -> None:
     """Every file of the year's folder, in whatever layouts, replaces that year in the
     bronze table (new columns are merged into the table schema)."""
-    tables.replace_partition(text.read_year(spark, folder, ano), bronze_path, ano, merge_schema=True)
+    tables.replace_partition(text.read_year(spark, folder, ano, rows), bronze_path, ano,
+                             merge_schema=True)
 
 
 def silver_year(spark: SparkSession, folder: str, ano: int, bronze_path: str,
-                silver_path: str) -> int:
+                silver_path: str, rows: list | None = None) -> int:
     """Typed silver of the year, column presence decided per source file, contract
     checked, gated on a staging copy and only then published."""
     b = tables.read_partition(spark, bronze_path, ano, merge_schema=True)
-    s = to_silver_by_file(b, text.file_columns(spark, folder.rstrip("/") + "/*"))
+    rows = rows if rows is not None else text.layout_rows(spark, folder.rstrip("/") + "/*")
+    s = to_silver_by_file(b, text.file_columns_of(spark, rows))
     quality.check_contract(spark, s, config.SILVER_CONTRACT, "silver")
     return tables.publish_year(spark, s, b, silver_path, ano, scratch_path(spark, f"silver-stage-{ano}"))
 
@@ -59,8 +62,9 @@ def load_year(spark: SparkSession, raw_root: str, ano: int, lake_root: str, run_
     """raw_root/<ano>/ (any files, any extension) -> bronze, silver, gold, manifest."""
     p = paths(lake_root)
     folder = f"{raw_root.rstrip('/')}/{ano}"
-    bronze_year(spark, folder, ano, p["bronze"])
-    silver_year(spark, folder, ano, p["bronze"], p["silver"])
+    rows = text.layout_rows(spark, folder + "/*")          # headers read once per year
+    bronze_year(spark, folder, ano, p["bronze"], rows)
+    silver_year(spark, folder, ano, p["bronze"], p["silver"], rows)
     gold_all(spark, p["silver"], p["gold"])
     record_run(spark, p, run_id, ts, ano)
 
@@ -72,8 +76,9 @@ def load_years(spark: SparkSession, raw_root: str, years: list[int], lake_root:
     p = paths(lake_root)
     for ano in years:
         folder = f"{raw_root.rstrip('/')}/{ano}"
-        bronze_year(spark, folder, ano, p["bronze"])
-        silver_year(spark, folder, ano, p["bronze"], p["silver"])
+        rows = text.layout_rows(spark, folder + "/*")      # headers read once per year
+        bronze_year(spark, folder, ano, p["bronze"], rows)
+        silver_year(spark, folder, ano, p["bronze"], p["silver"], rows)
     gold = gold_all(spark, p["silver"], p["gold"])
     for ano in years:
         record_run(spark, p, run_id, ts, ano)
