@@ -14,7 +14,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 # a fast, representative subset; tools/oracle_check.py runs all of them
 SAMPLE = ["mart_employment", "mart_pay_gap", "mart_top_industry", "silver_invalid_to_null",
           "safe_decimal", "orphan_state_codes", "group_avg_per_row", "null_profile", "layer_gate",
-          "rows_per_source_file", "replace_partition", "dictionary_conformance", "row_sentences"]
+          "rows_per_source_file", "replace_partition", "dictionary_conformance", "row_sentences",
+          "rank_variants", "hash_sample", "dictionary_export", "join_kinds"]
 
 
 def _norm(v):
