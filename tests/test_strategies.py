@@ -7,7 +7,8 @@ from microlake.operators.compare import multiset_difference
 
 SF = "/root/testdata/sf0.001"
 NAMES = ["mart_employment", "mart_top_industry", "geo_enrich", "top1_via_join", "group_avg_per_row",
-         "join_kinds", "upsert_by_join", "per_capita", "domain_violations", "dictionary_conformance"]
+         "join_kinds", "upsert_by_join", "per_capita", "domain_violations", "dictionary_conformance",
+         "rank_variants", "silver_by_file"]
 SCALE_CONF = {"spark.sql.autoBroadcastJoinThreshold": "-1",
               "spark.sql.adaptive.enabled": "false",
               "spark.sql.shuffle.partitions": "7"}
