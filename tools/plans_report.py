@@ -29,6 +29,9 @@ NOTES = {
     "join_kinds": "Each side is reduced to (key, rows) before the full outer join of the counts.",
     "partition_pruned_read": "PartitionFilters on ano: only one year's folder is listed and read.",
     "layer_gate": "One aggregate per layer joined on the year; rules unpivoted into rows.",
+    "rank_variants": "Skew-safe ranking: rows reduced to (order, quantity) counts, range-partitioned "
+                     "(RangePartitioning) so a hot group spans several tasks, ranked per range partition, "
+                     "shifted by per-partition offsets and joined back; no window sees a whole raw group.",
 }
 
 
