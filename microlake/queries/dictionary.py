@@ -221,8 +221,8 @@ d AS (SELECT c.tabela, c.coluna, a.tipo, c.descricao, c.unidade,
         {o.rate_round('n.nulos * 100', 'n.total', 2)} AS pct_nulo
       FROM cols c JOIN actual a ON c.tabela = a.tabela AND c.coluna = a.coluna
       JOIN nulls n ON c.tabela = n.tabela AND c.coluna = n.coluna)
-SELECT t.tabela, to_json({{'tabela': t.tabela, 'descricao': t.descricao, 'grao': t.grao,
-  'atualizacao': t.atualizacao, 'colunas': x.colunas}}) AS json
+SELECT t.tabela, CAST(to_json({{'tabela': t.tabela, 'descricao': t.descricao, 'grao': t.grao,
+  'atualizacao': t.atualizacao, 'colunas': x.colunas}}) AS VARCHAR) AS json
 FROM tabs t JOIN (SELECT tabela, list_sort(list({{'coluna': coluna, 'tipo': tipo, 'descricao': descricao,
   'unidade': unidade, 'pct_nulo': pct_nulo}})) AS colunas FROM d GROUP BY tabela) x ON t.tabela = x.tabela""",
     "dictionary_comments": o.with_(*_CTES) + """
