@@ -2,21 +2,84 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, token_planes
+from . import decontam, packing, secrets, sharding, simhash, token_planes, url_rules
 from .common import table
 
+#: The rules of op4's contract.
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item found in it."""
+    return decontam.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(spark, table(spark, sf_dir, "documents"))
+
 
 def op3_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_planes(token_planes.write_planes(spark, table(spark, sf_dir, "documents")))
 
 
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return url_rules.judge(spark, table(spark, sf_dir, "pages"), rules)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def listed(spans):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"),
+                                                                         s["end"].cast("string"))))
+
+    def number(kind):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("found", lambda s: s["kind"].isin(*secrets.BASE))
+    return found.select("doc_id", number("assign").alias("n_assign"), number("access").alias("n_access"),
+                        number("hex").alias("n_hex"), F.sha2(listed(base), 256).alias("base_sha256"),
+                        listed(F.col("found")).alias("spans"))
+
+
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op2_sharding": op2_sharding,
     "op3_token_planes": op3_token_planes,
+    "op4_url_rules": op4_url_rules,
     "op6_packing": op6_packing,
+    "op7_simhash": op7_simhash,
+    "op10_secrets": op10_secrets,
+}
+
+#: op4 for DuckDB: every rule that fits, longest first.
+SQL: dict[str, str] = {
+    "op4_url_rules": r"""
+        WITH parts AS (
+            SELECT page_id,
+                   translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+            FROM pages),
+        rules(rule, rhost, rpath, verdict) AS (VALUES
+            ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+            ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+        judged AS (
+            SELECT p.page_id, p.host, p.path,
+                   (SELECT max_by(r.rule, length(r.rule)) FROM rules r
+                    WHERE (p.host = r.rhost OR ends_with(p.host, '.' || r.rhost)) AND starts_with(p.path, r.rpath)) AS rule
+            FROM parts p)
+        SELECT j.page_id, j.host, j.path, j.rule, coalesce(r.verdict, 'allow') AS verdict
+        FROM judged j LEFT JOIN rules r ON j.rule = r.rule""",
 }
-SQL: dict[str, str] = {}

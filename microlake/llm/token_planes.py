@@ -33,8 +33,7 @@ TOKENIZER, KIND, END_ID = "word_bpe_49k.json", "lower_words", 2
 CHUNK_IDS = 65_536
 SEGMENT_IDS = 1 << 20
 _MAGIC = b"BPS1"
-_HEAD = struct.Struct("<4sHHIQII")
-_TAIL = struct.Struct("<QQ4s")
+_HEAD, _TAIL = "<4sHHIQII", "<QQ4s"
 _PLANES = {"byte": 4, "bit": 32}
 
 SEGMENTS = "part int, seq int, n_docs long, n_ids long, image binary"
@@ -68,7 +67,7 @@ def write_segment(ids: np.ndarray, doc_ids: list[int | None], n_tokens: list[int
     press = zstandard.ZstdCompressor(level=level).compress
     count = _PLANES[planes]
     n_chunks = -(-len(ids) // chunk_ids)
-    out = bytearray(_HEAD.pack(_MAGIC, 1, count, chunk_ids, len(ids), len(doc_ids), n_chunks))
+    out = bytearray(struct.pack(_HEAD, _MAGIC, 1, count, chunk_ids, len(ids), len(doc_ids), n_chunks))
     index = bytearray()
     for k in range(n_chunks):
         block = ids[k * chunk_ids:(k + 1) * chunk_ids]
@@ -83,12 +82,12 @@ def write_segment(ids: np.ndarray, doc_ids: list[int | None], n_tokens: list[int
     out += press(np.array([d or 0 for d in doc_ids], "<i8").tobytes()
                  + np.array([d is None for d in doc_ids], np.uint8).tobytes()
                  + np.array(n_tokens, "<i8").tobytes())
-    return bytes(out + _TAIL.pack(at_index, at_docs, _MAGIC))
+    return bytes(out + struct.pack(_TAIL, at_index, at_docs, _MAGIC))
 
 
 def _open(image: bytes):
-    magic, version, count, chunk_ids, n_ids, n_docs, n_chunks = _HEAD.unpack_from(image)
-    at_index, at_docs, tail = _TAIL.unpack_from(image, len(image) - _TAIL.size)
+    magic, version, count, chunk_ids, n_ids, n_docs, n_chunks = struct.unpack_from(_HEAD, image)
+    at_index, at_docs, tail = struct.unpack_from(_TAIL, image, len(image) - struct.calcsize(_TAIL))
     if magic != _MAGIC or tail != _MAGIC or version != 1:
         raise ValueError("not a bit-plane segment, or a truncated one")
     return count, chunk_ids, n_ids, n_docs, n_chunks, at_index, at_docs
@@ -114,7 +113,7 @@ def read_ids(image: bytes, start: int = 0, stop: int | None = None) -> np.ndarra
 def read_docs(image: bytes) -> tuple[list[int | None], np.ndarray]:
     """doc_ids and tokens of each document of a segment, in order."""
     _, _, _, n, _, _, at_docs = _open(image)
-    raw = zstandard.ZstdDecompressor().decompress(image[at_docs:len(image) - _TAIL.size])
+    raw = zstandard.ZstdDecompressor().decompress(image[at_docs:len(image) - struct.calcsize(_TAIL)])
     doc_ids = np.frombuffer(raw, "<i8", n).tolist()
     null = np.frombuffer(raw, np.uint8, n, 8 * n)
     return [None if x else d for d, x in zip(doc_ids, null)], np.frombuffer(raw, "<i8", n, 9 * n)
