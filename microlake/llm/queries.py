@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, packing, secrets, sharding, simhash, token_planes, url_rules
+from . import decontam, packing, secrets, sharding, simhash, token_planes, toxicity, url_rules
 from .common import table
 
 #: The rules of op4's contract.
@@ -29,6 +29,10 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(spark, table(spark, sf_dir, "pages"), rules)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_token_planes": op3_token_planes,
     "op4_url_rules": op4_url_rules,
+    "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
     "op10_secrets": op10_secrets,
