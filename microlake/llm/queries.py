@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, packing, secrets, sharding, simhash, token_planes, toxicity, url_rules
+from . import chat, decontam, packing, quality_llr, secrets, sharding, simhash, token_planes, toxicity, url_rules
 from .common import table
 
 #: The rules of op4's contract.
@@ -41,6 +41,23 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(
+        spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string"))
+    back = chat.read_back(chat.render(chat.fold(chat.message_log(rows))))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss_texts", "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
+                       F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_llr.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")) \
+        .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -65,11 +82,31 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
+    "op8_chat": op8_chat,
+    "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
 }
 
-#: op4 for DuckDB: every rule that fits, longest first.
+#: DuckDB SQL where it can say the same. op4: of the rules that fit, the longest; op8: the turns in order, with the
+#: template's length and escapes.
 SQL: dict[str, str] = {
+    "op8_chat": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        escaped AS (
+            SELECT *, regexp_replace(role, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g') AS erole,
+                   regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g') AS etext
+            FROM turns),
+        joined AS (
+            SELECT conv_id, count(*) AS n_turns,
+                   string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, erole, etext) AS said,
+                   coalesce(string_agg(text, '' ORDER BY turn, erole, etext) FILTER (role = 'assistant'), '') AS loss,
+                   sum(length(erole) + length(etext) + 20) AS formatted_chars
+            FROM escaped GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+               CAST(formatted_chars AS BIGINT) AS formatted_chars
+        FROM joined""",
     "op4_url_rules": r"""
         WITH parts AS (
             SELECT page_id,
