@@ -13,10 +13,10 @@ most ``BUCKETS`` rows a task; the weight table of ``BUCKETS`` rows is broadcast.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_BREAK, text_or_empty
+from .common import WORD_BREAK, stored, text_or_empty
 
 BUCKETS, TRUSTED, THRESHOLD = 1 << 14, 5000, -0.3
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -72,7 +72,7 @@ def with_buckets(docs: DataFrame, buckets: int) -> DataFrame:
         .withColumn("grams_", F.concat(single, F.coalesce(pairs, F.array().cast("array<int>")))).drop("tokens_")
 
 
-def weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def weights(spark: SparkSession, docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """(bucket, weight): log ratio of the trusted to the corpus multinomial, both add-one smoothed.
 
     ``docs``: doc_id, text. ``trusted_ids``: doc_id, bounded. Buckets that no document has
@@ -81,8 +81,11 @@ def weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS) ->
     marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text_")) \
         .join(F.broadcast(trusted_ids.select(F.col("doc_id").alias("trusted_")).distinct()),
               F.col("doc_id") == F.col("trusted_"), "left")
-    counts = with_buckets(marked, buckets).select(F.explode("grams_").alias("bucket"), F.col("trusted_").isNotNull().alias("good")) \
-        .groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("good")).alias("t"))
+    # outer: a plain explode infers a filter on the array, which would cut every text a second time for each of its tokens
+    counts = with_buckets(marked, buckets) \
+        .select(F.explode_outer("grams_").alias("bucket"), F.col("trusted_").isNotNull().alias("good")) \
+        .groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("good")).alias("t")).where(F.col("bucket").isNotNull())
+    counts = stored(spark, counts, "ngram-counts")
     totals = counts.agg(F.sum("n").alias("all_n"), F.sum("t").alias("all_t")).first()
     all_n, all_t = totals["all_n"] or 0, totals["all_t"] or 0
     if not all_t:
@@ -98,7 +101,7 @@ def trusted_sample(labels: DataFrame, trusted: int = TRUSTED) -> DataFrame:
     return good.where("least = 1 AND most = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted).select("doc_id")
 
 
-def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, trusted: int = TRUSTED,
+def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, trusted: int = TRUSTED,
           threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept).
 
@@ -106,7 +109,7 @@ def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, trusted: i
     0. Repeated rows and null doc_ids are judged like any (rows are told apart by their place
     in the scan while their n-grams are summed). Empty tables work; other columns are not read.
     """
-    table = weights(docs, trusted_sample(labels, trusted), buckets)
+    table = weights(spark, docs, trusted_sample(labels, trusted), buckets)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text_")) \
         .withColumn("row_", F.monotonically_increasing_id())
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

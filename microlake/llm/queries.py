@@ -54,7 +54,7 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_llr.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")) \
+    return quality_llr.judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")) \
         .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
