@@ -329,7 +329,7 @@ class Scorer(dict):
         return np.concatenate([forward(self.net, windows[k:k + 2048], self.table) for k in range(0, len(windows), 2048)])
 
     def scores(self, texts) -> np.ndarray:
-        """Score of each text, from 0 to 1. Texts are gathered until enough windows wait, long ones go in slices."""
+        """Score of each text, from 0 to 1; 0 for a text without a word. Texts are gathered until enough windows wait, long ones go in slices."""
         out = np.full(len(texts), -np.inf)
         waiting, owners, number = [], [], 0
 
@@ -344,7 +344,7 @@ class Scorer(dict):
         for k, text in enumerate(texts):
             words = words_of(text)
             step = 512 * STRIDE
-            for a in range(0, max(len(words) - STRIDE, 1), step):       # slices share a window's overlap
+            for a in range(0, max(len(words) - STRIDE, min(len(words), 1)), step):       # slices share a window's overlap
                 part = words[a:a + step + WINDOW - STRIDE]
                 ids = np.fromiter(map(self.__getitem__, part), np.int64, len(part))
                 waiting.append(_windows(ids))
@@ -354,7 +354,7 @@ class Scorer(dict):
                     settle()
         settle()
         slope, offset = self.net["scale"].astype(np.float64)
-        return _sigmoid(slope * out + offset)
+        return np.where(np.isneginf(out), 0.0, _sigmoid(slope * out + offset))
 
 
 def _score_batches(at: int, net, names):
@@ -362,7 +362,7 @@ def _score_batches(at: int, net, names):
         scorer = Scorer(net.value) if net.value is not None else None
         for batch in batches:
             texts = batch.column(at).to_pylist()
-            scores = scorer.scores(texts) if scorer else np.zeros(len(texts))
+            scores = scorer.scores(texts) if scorer is not None else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=names)
 
     return run
@@ -371,7 +371,7 @@ def _score_batches(at: int, net, names):
 def with_scores(spark: SparkSession, docs: DataFrame, net, name: str = "score") -> DataFrame:
     """``docs`` with a column of scores from their ``text`` alone. Without a network every score is 0.
 
-    Null, empty and blank texts are one window of padding; rows are scored each on their own.
+    Null, empty and blank texts score 0; rows are scored each on their own.
     """
     shared = spark.sparkContext.broadcast(net)          # a network of fixed size, about 2 MB
     fields = docs.schema.fieldNames()
