@@ -12,7 +12,9 @@ from microlake import config
 # fixed values: latin-1 letters with their ASCII base letter (headers are latin-1 text)
 ACCENTED = "áàâãäåçéèêëíìîïñóòôõöúùûüýÿªº¹²³"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyyao123"
-_FOLD = str.maketrans(ACCENTED, PLAIN)
+# latin-1 spacing characters outside ASCII (no-break space, next line): separators
+SPACING = "\u00a0\u0085"
+_FOLD = str.maketrans(ACCENTED + SPACING, PLAIN + " " * len(SPACING))
 _NON_ASCII = re.compile(r"[^\x00-\x7f]")
 _SEPARATORS = re.compile(r"[^a-z0-9]+")
 
@@ -20,8 +22,8 @@ _SEPARATORS = re.compile(r"[^a-z0-9]+")
 def normalize_name(name: str) -> str:
     """'Vl Remun Média (SM)' -> 'vl_remun_media_sm'.
 
-    Lower case, accented letters folded to their base letter, any other non-ASCII
-    character dropped, every run of other characters turned into one '_', edges
+    Lower case, accented letters folded to their base letter, non-ASCII spacing read as a
+    blank, any other non-ASCII character dropped, every run of other characters turned into one '_', edges
     trimmed. The same rule as ``normalize_name_expr``, so names normalised on the
     driver and header strings normalised by Spark always agree.
     """
@@ -57,7 +59,7 @@ def canonicalize(df: DataFrame, renames: dict[str, str] | None = None) -> DataFr
 
 def normalize_name_expr(c: Column) -> Column:
     """``normalize_name`` as a Column expression, for header strings held as data."""
-    s = F.translate(F.lower(F.trim(c)), ACCENTED, PLAIN)
+    s = F.translate(F.lower(F.trim(c)), ACCENTED + SPACING, PLAIN + " " * len(SPACING))
     s = F.regexp_replace(s, r"[^\x00-\x7f]", "")
     s = F.regexp_replace(s, r"[^a-z0-9]+", "_")
     return F.regexp_replace(s, r"^_+|_+$", "")

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from microlake import catalog, config
 
 
-def load(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+def load(spark: SparkSession, tables: list = catalog.TABLES, columns: list = catalog.COLUMNS) -> tuple[DataFrame, DataFrame]:
     """(tables, columns) of the dictionary with explicit schemas."""
-    return (spark.createDataFrame(catalog.TABLES, catalog.TABLE_SCHEMA),
-            spark.createDataFrame(catalog.COLUMNS, catalog.COLUMN_SCHEMA))
+    return (spark.createDataFrame(tables, catalog.TABLE_SCHEMA),
+            spark.createDataFrame(columns, catalog.COLUMN_SCHEMA))
 
 
 def violations(tables: DataFrame, columns: DataFrame) -> DataFrame:
@@ -76,14 +76,15 @@ def described(columns: DataFrame, actual: DataFrame) -> DataFrame:
 
 
 def export_json(tables: DataFrame, columns: DataFrame, actual: DataFrame) -> DataFrame:
-    """One JSON document per table: description, grain, refresh and its columns with
-    real type, unit and NULL share (columns sorted by name)."""
+    """One JSON document per table: place, owner, description, question, grain, refresh, the
+    business rules, and its columns with real type, unit and NULL share (by name)."""
     cols = described(columns, actual).groupBy("tabela").agg(
         F.array_sort(F.collect_list(F.struct("coluna", "tipo", "descricao", "unidade", "pct_nulo")))
         .alias("colunas"))
     doc = tables.join(cols, "tabela", "inner")
-    return doc.select("tabela", F.to_json(F.struct("tabela", "descricao", "grao", "atualizacao",
-                                                   "colunas"),
+    rules = F.array(*[F.lit(r) for r in catalog.RULES])
+    return doc.select("tabela", F.to_json(F.struct("tabela", "caminho", F.lit(catalog.OWNER).alias("dono"), "descricao",
+                                                   "pergunta", "grao", "atualizacao", rules.alias("regras"), "colunas"),
                                           {"ignoreNullFields": "false"}).alias("json"))
 
 
@@ -111,18 +112,48 @@ def comments_for(columns: DataFrame, table: str) -> dict[str, str]:
             for r in rows}
 
 
-def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
-    """Attach comments as column metadata. Parquet keeps Spark field metadata in the
-    file footer, so the comments travel with every rewrite of the table (a catalog
-    ``ALTER COLUMN … COMMENT`` would be lost when the table is recreated). Partition
-    columns are stored in folder names and lose their metadata on read."""
-    cols = [F.col(c).alias(c, metadata={**df.schema[c].metadata, "comment": comments[c]})
-            if c in comments else F.col(c) for c in df.columns]
-    return df.select(*cols)
-
-
-def comments_of(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
-    """(tabela, coluna, comentario) read back from a frame's schema."""
-    return spark.createDataFrame(
-        [(table, f.name, f.metadata.get("comment")) for f in df.schema.fields],
-        "tabela string, coluna string, comentario string")
+def properties_for(tables: DataFrame, table: str) -> dict[str, str]:
+    """Table properties of one dictionary entry."""
+    r = tables.filter(F.col("tabela") == table).first()
+    own = {"comment": r["descricao"], "catalogo.nome": catalog.NAME, "catalogo.dono": catalog.OWNER,
+           "catalogo.grao": r["grao"], "catalogo.atualizacao": r["atualizacao"], "catalogo.pergunta": r["pergunta"]}
+    return {k: v for k, v in own.items() if v}
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def register(spark: SparkSession, name: str, path: str, comments: dict[str, str], properties: dict[str, str],
+             partition: str = "ano") -> None:
+    """Catalog table ``name`` over the files at ``path``, with column comments (the partition
+    column's too) and properties. The catalog holds names only; the files stay as they are."""
+    df = spark.read.option("mergeSchema", True).parquet(path)
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                     + (f" COMMENT {_literal(comments[f.name])}" if f.name in comments else "") for f in df.schema.fields)
+    props = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in properties.items() if k != "comment")
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet PARTITIONED BY (`{partition}`) LOCATION {_literal(path)}"
+              + (f" COMMENT {_literal(properties['comment'])}" if "comment" in properties else "")
+              + (f" TBLPROPERTIES ({props})" if props else ""))
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def stored_comments(spark: SparkSession, name: str, table: str) -> DataFrame:
+    """(tabela, coluna, comentario, preenchidas) of a catalog table: comments read back from
+    the catalog, filled values counted over its rows (one scan)."""
+    df = spark.table(name)
+    one = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    rows = F.explode(F.array(*[F.struct(F.lit(f.name).alias("coluna"),
+                                        F.lit(f.metadata.get("comment")).cast("string").alias("comentario"),
+                                        F.col(f"`{f.name}`").alias("preenchidas")) for f in df.schema.fields]))
+    return one.select(rows.alias("r")).select(F.lit(table).alias("tabela"), "r.*")
+
+
+def stored_properties(spark: SparkSession, name: str, table: str) -> DataFrame:
+    """(tabela, chave, valor, linhas) of a catalog table's own properties, with its row count."""
+    said = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    comment = spark.catalog.getTable(name).description
+    own = {k: v for k, v in said.items() if k.startswith("catalogo.")} | ({"comment": comment} if comment else {})
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("chave"), F.lit(v).alias("valor")) for k, v in sorted(own.items())]))
+    return spark.table(name).agg(F.count(F.lit(1)).alias("linhas")) \
+        .select(F.lit(table).alias("tabela"), rows.alias("r"), "linhas").select("tabela", "r.*", "linhas")

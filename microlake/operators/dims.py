@@ -26,31 +26,23 @@ def dim_schooling(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(config.SCHOOLING, "escolaridade int, escolaridade_desc string")
 
 
-def dim_region(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(sorted(config.REGIONS.items()), "digito string, regiao string")
-
-
 def bounded(dim: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint for a side whose row count is bounded by ``max_rows`` by construction.
-
-    The bound is part of the call so every broadcast in the library states its size
-    argument; literal dimensions pass their literal length.
-    """
-    if max_rows > 1_000_000:
-        raise ValueError("broadcast bound too large; join without a hint and let AQE decide")
-    return F.broadcast(dim)
+    """``dim`` with a broadcast hint if it has at most ``max_rows`` rows (counted, reading no
+    more than that), else ``dim`` as it is: the join then shuffles, with the same result."""
+    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
 
 
 def state_dim(spark: SparkSession) -> DataFrame:
-    return bounded(dim_state(spark), len(config.STATES))
+    """A literal of config, broadcast: its rows are in the program."""
+    return F.broadcast(dim_state(spark))
 
 
 def schooling_dim(spark: SparkSession) -> DataFrame:
-    return bounded(dim_schooling(spark), len(config.SCHOOLING))
+    return F.broadcast(dim_schooling(spark))
 
 
 def sex_dim(spark: SparkSession) -> DataFrame:
-    return bounded(dim_sex(spark), len(config.SEXES))
+    return F.broadcast(dim_sex(spark))
 
 
 def label(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:

@@ -10,9 +10,15 @@ Strategy notes for large inputs:
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from microlake.operators import dims
+
+MAX_FACTORS = 10_000
+
 
 def orphan_codes(df: DataFrame, dim: DataFrame, key: str,
                  allowed: list | None = None) -> DataFrame:
@@ -25,42 +31,41 @@ def orphan_codes(df: DataFrame, dim: DataFrame, key: str,
     return codes.join(dim.select(key), key, "left_anti")
 
 
-def domain_violations(df: DataFrame, dim: DataFrame, key: str, rule: str) -> DataFrame:
-    """Rows per code outside the dimension's domain: (regra, codigo, qtd)."""
-    counts = (df.filter(F.col(key).isNotNull()).groupBy(key)
-              .agg(F.count(F.lit(1)).alias("qtd")))
-    return (counts.join(dim.select(key), key, "left_anti")
-            .select(F.lit(rule).alias("regra"), F.col(key).cast("string").alias("codigo"), "qtd"))
+def domain_violations(df: DataFrame, rules: dict[str, tuple[str, DataFrame]]) -> DataFrame:
+    """(regra, codigo, qtd): codes outside their dimension, with counts; NULL is no violation.
 
+    ``rules``: name -> (column, dimension that has that column). Every row gives one
+    (rule, code) pair per rule, counted next to the scan; only the counts meet the domains.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("regra"), F.col(key).cast("string").alias("codigo"))
+                               for name, (key, _) in rules.items()]))
+    counts = (df.select(pairs.alias("p")).select("p.*").filter(F.col("codigo").isNotNull())
+              .groupBy("regra", "codigo").agg(F.count(F.lit(1)).alias("qtd")))
+    domains = reduce(DataFrame.unionByName, [
+        dim.select(F.lit(name).alias("regra"), F.col(key).cast("string").alias("codigo")) for name, (key, dim) in rules.items()])
+    return counts.join(domains, ["regra", "codigo"], "left_anti")
+
+
+JOIN_KINDS = ("inner", "left", "right", "full", "left_semi", "left_anti")
 
-def join_kind_counts(left: DataFrame, right: DataFrame, key_left: str, key_right: str) -> DataFrame:
-    """Rows each join kind would produce on this key, without joining the rows.
 
-    Each side is first reduced to (key, rows) — partial aggregation, so a key holding
-    a third of a table costs one row per task — and only the counts are joined (full
-    outer). inner = sum(l*r) over matched keys; left/right/full add the unmatched
-    rows; semi/anti split the left rows by match. NULL keys never match, as in SQL.
+def join_rows(left: DataFrame, right: DataFrame, key_left: str, key_right: str, kind: str,
+              sort_merge: bool = False) -> DataFrame:
+    """Rows of ``left`` and ``right`` joined on equal keys. NULL keys never match, as in SQL.
+
+    No hint by default: Spark broadcasts a side it knows to be small and else sorts and
+    merges, splitting skewed partitions. ``sort_merge`` asks for the latter.
     """
-    lc = left.groupBy(F.col(key_left).alias("_k")).agg(F.count(F.lit(1)).alias("_l"))
-    rc = right.groupBy(F.col(key_right).alias("_k")).agg(F.count(F.lit(1)).alias("_r"))
-    j = lc.join(rc, lc["_k"] == rc["_k"], "full")
-    matched = F.col("_l").isNotNull() & F.col("_r").isNotNull()
-    only_l = F.col("_l").isNotNull() & F.col("_r").isNull()
-    only_r = F.col("_r").isNotNull() & F.col("_l").isNull()
-
-    def total(cond, value):
-        return F.coalesce(F.sum(F.when(cond, value.cast("decimal(38,0)"))), F.lit(0))
-
-    one = j.agg(total(matched, F.col("_l") * F.col("_r")).alias("inner"),
-                total(only_l, F.col("_l")).alias("ul"), total(only_r, F.col("_r")).alias("ur"),
-                total(matched, F.col("_l")).alias("semi"))
-    kinds = [("inner", F.col("inner")), ("left", F.col("inner") + F.col("ul")),
-             ("right", F.col("inner") + F.col("ur")),
-             ("full", F.col("inner") + F.col("ul") + F.col("ur")),
-             ("left_semi", F.col("semi")), ("left_anti", F.col("ul"))]
-    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("tipo"), v.cast("bigint").alias("qtd"))
-                              for k, v in kinds]))
-    return one.select(rows.alias("r")).select("r.*")
+    if kind not in JOIN_KINDS:
+        raise ValueError(f"unknown join kind {kind!r}")
+    return left.join(right.hint("merge") if sort_merge else right, left[key_left] == right[key_right], kind)
+
+
+def join_kind_counts(left: DataFrame, right: DataFrame, key_left: str, key_right: str) -> DataFrame:
+    """(tipo, qtd): rows of the join of each kind. The joins run; only counts leave them."""
+    parts = [join_rows(left, right, key_left, key_right, k).agg(F.count(F.lit(1)).alias("qtd"))
+             .select(F.lit(k).alias("tipo"), "qtd") for k in JOIN_KINDS]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def top1_via_join(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -74,9 +79,10 @@ def apply_factor(df: DataFrame, factors: DataFrame, key: str, value: str, factor
                  out: str, result_type: str = "decimal(28,2)") -> DataFrame:
     """Multiply a measure by a key-keyed factor (deflator / unit conversion).
 
-    ``factors`` has one row per key (years): bounded, so it is broadcast.
+    ``factors`` must have one row per key (checked, else the measure would be counted
+    twice); it is broadcast if it is found to have few rows.
     """
-    return (df.join(F.broadcast(factors), key, "left")
+    return (df.join(dims.bounded(dims.checked(factors, key), MAX_FACTORS), key, "left")
             .withColumn(out, (F.col(value) * F.col(factor)).cast(result_type)))
 
 
@@ -85,8 +91,3 @@ def rate_per(df: DataFrame, population: DataFrame, keys: list[str], count: str,
     """count / population * per, rounded; missing or zero population gives NULL."""
     j = df.join(population, keys, "left")
     return j.withColumn(out, F.round(F.try_divide(F.col(count) * per, F.col(pop)), digits))
-
-
-def enrich(df: DataFrame, dim: DataFrame, left_key: Column, dim_key: str) -> DataFrame:
-    """Left join on a derived key (e.g. first 6 chars of a 7-digit code)."""
-    return df.join(dim, left_key == dim[dim_key], "left").drop(dim[dim_key])

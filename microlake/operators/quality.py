@@ -86,6 +86,23 @@ def contract_diff(spark: SparkSession, actual: StructType, expected: StructType
     return j.withColumn("problema", problem).filter(F.col("problema").isNotNull())
 
 
+def type_failures(df: DataFrame, rules: dict[str, tuple[str, Column]], table: str) -> DataFrame:
+    """(tabela, coluna, tipo_esperado, linhas, preenchidas, falhas) of stored text columns.
+
+    ``rules``: column -> (expected type, its parsed value). A row fails where it holds
+    something but blanks that does not parse. One aggregate, one scan.
+    """
+    def filled(c: str) -> Column:
+        return F.coalesce(F.trim(F.col(c)) != "", F.lit(False))
+
+    one = df.agg(F.count(F.lit(1)).alias("linhas"), *[x for c, (_, parsed) in rules.items() for x in (
+        F.count_if(filled(c)).alias(f"p_{c}"), F.count_if(filled(c) & parsed.isNull()).alias(f"f_{c}"))])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("coluna"), F.lit(t).alias("tipo_esperado"), F.col("linhas"),
+                                        F.col(f"p_{c}").alias("preenchidas"), F.col(f"f_{c}").alias("falhas"))
+                               for c, (t, _) in rules.items()]))
+    return one.select(rows.alias("r")).select(F.lit(table).alias("tabela"), "r.*")
+
+
 def check_contract(spark: SparkSession, df: DataFrame, expected: StructType | str,
                    table: str) -> DataFrame:
     """Raise before a write when the frame does not match its contract."""

@@ -5,6 +5,8 @@ whole-stage-codegen span next to the scan, so it scales with the number of files
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +29,11 @@ class _Presence:
         return name in self.present
 
 
+_PAY_COLUMNS = ("vl_remun_dezembro_nom", "vl_remun_media_nom", "vl_remun_dezembro_sm", "vl_remun_media_sm")
+
+
 def _typed_columns(b: DataFrame, present: list[str] | None,
-                   per_row: str | None = None) -> list[Column]:
+                   absent: dict[str, list[str]] | None = None) -> list[Column]:
     p = _Presence(b, present)
 
     def text(n):
@@ -40,9 +45,9 @@ def _typed_columns(b: DataFrame, present: list[str] | None,
     def pay(n):
         if not p.has(n):
             return F.lit(None).cast("decimal(18,2)")
-        if per_row:
+        if absent and absent[n]:
             # the row's own file decides: absent there -> NULL, present but empty -> 0
-            return F.when(F.array_contains(F.col(per_row), n), clean.pay_of(F.col(n)))
+            return F.when(~F.col("arquivo_origem").isin(absent[n]), clean.pay_of(F.col(n)))
         return clean.pay_of(F.col(n))
 
     months = (clean.decimal_of(F.col("tempo_emprego"), 10, 1) if p.has("tempo_emprego")
@@ -99,19 +104,41 @@ def to_silver(bronze: DataFrame, present: list[str] | None = None,
     return bronze.select(*_typed_columns(bronze, present), *extra)
 
 
-def to_silver_by_file(bronze: DataFrame, file_columns: DataFrame,
-                      keep: list | None = None) -> DataFrame:
+def file_problems(rows: list) -> dict[str, list[str]]:
+    """File -> required columns its own layout lacks (``rows``: layout rows, one per file)."""
+    return {r["caminho"]: m for r in rows if (m := missing_required(r["colunas"]))}
+
+
+def to_silver_by_file(parts: list[DataFrame], rows: list, keep: list | None = None) -> DataFrame:
     """Silver where column presence is decided per source file.
 
-    After a union of layouts (or a bronze table with an evolved schema) a missing
-    column and an empty field are both NULL, but the pay rule differs: absent -> NULL,
-    empty -> 0. ``file_columns`` (ano, arquivo_origem, colunas) comes from the header
-    scan — one row per file — and is joined on the lineage key (AQE broadcasts it).
+    After a union of layouts a missing column and an empty field are both NULL, but the pay
+    rule differs: absent -> NULL, empty -> 0. So each layout's frame (``parts``) is
+    transformed on its own, before the union: presence is a property of the scan, and no
+    row is shuffled. A file without a required column fails before anything is read.
     """
-    fc = file_columns.select("ano", "arquivo_origem", F.col("colunas").alias("_colunas_arquivo"))
-    j = bronze.join(fc, ["ano", "arquivo_origem"], "left")
-    missing = missing_required(bronze.columns)
-    if missing:
-        raise ValueError(f"required columns absent: {missing}")
+    problems = file_problems(rows)
+    if problems:
+        raise ValueError(f"required columns absent: {problems}")
+    return reduce(DataFrame.unionByName, [to_silver(p, keep=keep) for p in parts])
+
+
+def to_silver_stored(bronze: DataFrame, rows: list, keep: list | None = None) -> DataFrame:
+    """Silver of a stored bronze table: presence by layout, from the lineage column.
+
+    ``rows`` hold one entry per file of the year. Rows of files with the same columns are
+    told apart by a literal list of names in the plan - no join - and the tables of files
+    are as long as the listing that the load holds anyway.
+    """
+    problems = file_problems(rows)
+    if problems:
+        raise ValueError(f"required columns absent: {problems}")
+    by_columns: dict[tuple, set] = {}
+    for r in rows:
+        by_columns.setdefault(tuple(sorted(set(r["colunas"]) & set(_PAY_COLUMNS))), set()).add(r["arquivo"])
+    names = sorted(by_columns)
+    if len(names) == 1:
+        return to_silver(bronze, present=[c for c in bronze.columns if c not in _PAY_COLUMNS or c in names[0]], keep=keep)
+    absent = {c: sorted(f for n in names if c not in n for f in by_columns[n]) for c in _PAY_COLUMNS}
     extra = [F.col(k) if isinstance(k, str) else k for k in (keep or [])]
-    return j.select(*_typed_columns(j, None, per_row="_colunas_arquivo"), *extra)
+    return bronze.select(*_typed_columns(bronze, None, absent), *extra)

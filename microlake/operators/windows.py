@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from microlake.session import scratch_path
+
 
 def top_n(df: DataFrame, by: list[str], order: list[Column], n: int,
           rank_col: str = "posicao") -> DataFrame:
@@ -81,7 +83,9 @@ def ranks_at_scale(df: DataFrame, by: list[str], order: list[tuple[str, bool]],
 
     ``order`` is [(column, descending)]. Rows are first reduced to (group, value) with
     counts (partial aggregation), range-partitioned on (group, value) so a hot group
-    is spread over many tasks, ranked inside each range partition, and shifted by the
+    is spread over many tasks, and written once to the shared folder with the number of
+    their range partition (bounds are sampled, so a second evaluation may cut elsewhere);
+    then they are ranked inside each range partition, and shifted by the
     rows/values of the earlier partitions of the same group (a table with one row per
     partition and group). The ranks are joined back on (group, value). With a unique
     ordering, ``rank`` equals ``row_number``.
@@ -92,6 +96,9 @@ def ranks_at_scale(df: DataFrame, by: list[str], order: list[tuple[str, bool]],
     counts = df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("_c"))
     ranged = (counts.repartitionByRange(n, *[F.col(b).asc() for b in by], *sort)
               .withColumn("_p", F.spark_partition_id()))
+    path = scratch_path(df.sparkSession, "ranks")
+    ranged.write.parquet(path)
+    ranged = df.sparkSession.read.schema(ranged.schema).parquet(path)
     local = Window.partitionBy("_p", *by).orderBy(*sort)
     before = local.rowsBetween(Window.unboundedPreceding, -1)
     ranked = (ranged.withColumn("_rows_before", F.coalesce(F.sum("_c").over(before), F.lit(0)))

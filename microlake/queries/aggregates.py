@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from microlake.operators import dims, marts, profile
 from microlake.queries import inputs
 from microlake.queries import oracle as o
+from microlake.session import scratch_path
 
 
 def avg_by_category(spark, sf):
@@ -45,26 +46,26 @@ def control_totals(spark, sf):
     employment-mart total (must equal active), separation-mart total (must equal
     silver), payroll of silver and of the mart, max rank of the top-industry mart."""
     s = inputs.silver(spark, sf)
-    states = dims.state_dim(spark)
-
-    def metric(df, name, agg):
-        return df.agg(agg.cast("decimal(38,2)").alias("valor")).select(
-            F.lit(name).alias("metrica"), "valor")
-
-    act = marts.active(s)
-    parts = [
-        metric(s, "qtd_silver", F.count(F.lit(1))),
-        metric(s, "qtd_ativos", F.count_if("vinculo_ativo")),
-        metric(s, "massa_silver_ativos", F.sum(F.when(F.col("vinculo_ativo"), F.col("remun_dezembro_nom")))),
-        metric(marts.employment(act, states), "qtd_gold_emprego", F.sum("qtd_vinculos")),
-        metric(marts.employment(act, states), "massa_gold_emprego", F.sum("massa_salarial_dez_nom")),
-        metric(marts.separation(s, states), "qtd_gold_desligamento", F.sum("qtd_vinculos_no_ano")),
-        metric(marts.top_industry(act, states), "max_posicao", F.max("posicao")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    path = scratch_path(spark, "control-facts")
+    (s.groupBy("ano", "cod_uf", "cnae_divisao")
+     .agg(F.count(F.lit(1)).alias("n"), F.count_if("vinculo_ativo").alias("qtd"),
+          F.sum(F.when(F.col("vinculo_ativo"), F.col("remun_dezembro_nom"))).alias("massa"))
+     .write.parquet(path))
+    facts = spark.read.parquet(path)
+    emp = facts.groupBy("ano", "cod_uf").agg(F.sum("n").alias("n"), F.sum("qtd").alias("qtd"), F.sum("massa").alias("massa"))
+    top = marts.top_industry_from_facts(facts.filter("qtd > 0"), dims.state_dim(spark))
+
+    def rows(df, **metrics):
+        one = df.agg(*[v.cast("decimal(38,2)").alias(k) for k, v in metrics.items()])
+        pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("metrica"), F.col(k).alias("valor")) for k in metrics]))
+        return one.select(pairs.alias("r")).select("r.*")
+
+    active = F.col("vinculo_ativo")
+    return (rows(s, qtd_silver=F.count(F.lit(1)), qtd_ativos=F.count_if(active),
+                 massa_silver_ativos=F.sum(F.when(active, F.col("remun_dezembro_nom"))))
+            .unionByName(rows(emp, qtd_gold_emprego=F.sum("qtd"), massa_gold_emprego=F.sum("massa"),
+                              qtd_gold_desligamento=F.sum("n")))
+            .unionByName(rows(top, max_posicao=F.max("posicao"))))
 
 
 QUERIES = {f.__name__: f for f in [

@@ -2,47 +2,66 @@
 the whole silver table and the marts computed from it."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from microlake import catalog, config
 from microlake.functions import clean
 from microlake.operators import compare, dictionary, dims, marts
+from microlake.operators.silver import to_silver
 from microlake.queries import inputs
 from microlake.queries import marts as mart_queries
 from microlake.queries import oracle as o
+from microlake.session import scratch_path
+from microlake.sinks import tables
 
 
-def _frames(spark, sf):
-    s = inputs.silver(spark, sf)
-    states = dims.state_dim(spark)
-    act = marts.active(s)
-    return {
-        "silver.vinculos": s,
-        "gold.emprego_uf_ano": marts.employment(act, states),
-        "gold.desligamento_uf_ano": marts.separation(s, states),
-        "gold.escolaridade_ano": marts.schooling(act, dims.schooling_dim(spark)),
-    }
+#: Entries that break the rules, so that the checks have something to find.
+DEFECT_TABLES = [("gold.faixa_etaria_ano", "Vínculos ativos por faixa etária e ano.", "ano x faixa", "por ano", True, "gold/x", None),
+                 ("Gold.Tamanho", "Curta", "", "por ano", True, "gold/y", None)]
+DEFECT_COLUMNS = [("gold.emprego_uf_ano", "remun_media_anual", "Média anual (não existe na tabela).", "R$"),
+                  ("gold.escolaridade_ano", "Remun", "Curta", None)]
+_LAKE: dict = {}
+
+
+def _lake(spark, sf):
+    """Bronze, silver and the marts as stored tables, written once per application: name -> path."""
+    key = (spark.conf.get("spark.app.id"), sf)
+    if key not in _LAKE:
+        bronze, silver = scratch_path(spark, "dict-bronze"), scratch_path(spark, "dict-silver")
+        tables.write_table(inputs.raw(spark, sf), bronze)
+        tables.write_table(to_silver(tables.read_table(spark, bronze)), silver)
+        gold = tables.write_gold(spark, tables.read_table(spark, silver), scratch_path(spark, "dict-gold"))
+        _LAKE[key] = {"bronze.vinculos": bronze, "silver.vinculos": silver,
+                      **{name.replace("gold_", "gold.", 1): path for name, path in gold.items()}}
+    return _LAKE[key]
 
 
 def _actual(spark, sf):
-    return dictionary.actual_columns(_frames(spark, sf))
+    return dictionary.actual_columns({n: tables.read_table(spark, p) for n, p in _lake(spark, sf).items()})
+
+
+def _defective(spark):
+    return dictionary.load(spark, catalog.TABLES + DEFECT_TABLES, catalog.COLUMNS + DEFECT_COLUMNS)
 
 
 def dictionary_violations(spark, sf):
-    tables, columns = dictionary.load(spark)
+    """Broken naming and description rules of the entries and of the stored columns."""
+    entries, columns = _defective(spark)
     real = _actual(spark, sf).select("tabela", "coluna", F.lit("coluna real").alias("descricao"),
                                      F.lit(None).cast("string").alias("unidade"))
-    return dictionary.violations(tables, columns.unionByName(real))
+    return dictionary.violations(entries, columns.unionByName(real))
 
 
 def dictionary_conformance(spark, sf):
-    tables, columns = dictionary.load(spark)
-    return dictionary.conformance(tables, columns, _actual(spark, sf))
+    entries, columns = _defective(spark)
+    return dictionary.conformance(entries, columns, _actual(spark, sf))
 
 
 def dictionary_export(spark, sf):
-    tables, columns = dictionary.load(spark)
-    return dictionary.export_json(tables, columns, _actual(spark, sf))
+    entries, columns = dictionary.load(spark)
+    return dictionary.export_json(entries, columns, _actual(spark, sf))
 
 
 def dictionary_search(spark, sf):
@@ -87,27 +106,38 @@ def sql_equals_df(spark, sf):
     return compare.multiset_difference(by_sql, by_api, "sql", "api")
 
 
+def _registered(spark, sf, table):
+    """A catalog table over the stored one, with the dictionary's comments and properties."""
+    entries, columns = dictionary.load(spark)
+    name = "dict_" + uuid.uuid4().hex
+    dictionary.register(spark, name, _lake(spark, sf)[table], dictionary.comments_for(columns, table),
+                        dictionary.properties_for(entries, table))
+    return name
+
+
 def dictionary_comments(spark, sf):
-    """Silver written with the dictionary's column comments as field metadata; the
-    comments are read back from the stored table's schema. The partition column lives
-    in folder names, not in the files, so it comes back without its comment."""
-    from microlake.session import scratch_path
-    from microlake.sinks import tables
-    _, columns = dictionary.load(spark)
-    s = dictionary.with_comments(inputs.silver(spark, sf),
-                                 dictionary.comments_for(columns, "silver.vinculos"))
-    path = scratch_path(spark, "silver-commented")
-    tables.write_table(s, path)
-    stored = tables.read_table(spark, path)
-    return dictionary.comments_of(spark, stored, "silver.vinculos")
+    """Column comments read back from the catalog, the partition column's too."""
+    return dictionary.stored_comments(spark, _registered(spark, sf, "silver.vinculos"), "silver.vinculos")
+
+
+def dictionary_properties(spark, sf):
+    """Descriptions, owner, grain, refresh and question read back from two catalog tables."""
+    a, b = ("silver.vinculos", "gold.emprego_uf_ano")
+    return dictionary.stored_properties(spark, _registered(spark, sf, a), a) \
+        .unionByName(dictionary.stored_properties(spark, _registered(spark, sf, b), b))
 
 
 QUERIES = {f.__name__: f for f in [
     dictionary_violations, dictionary_conformance, dictionary_export, dictionary_search,
-    dictionary_text, row_sentences, sql_equals_df, dictionary_comments]}
+    dictionary_text, row_sentences, sql_equals_df, dictionary_comments, dictionary_properties]}
 
 # --- oracle ------------------------------------------------------------------------------
 
+RAW_COLUMNS = ["municipio", "cnae_2_0_classe", "cbo_ocupacao_2002", "vinculo_ativo_31_12", "sexo_trabalhador",
+               "escolaridade_apos_2005", "raca_cor", "idade", "tempo_emprego", "mes_desligamento", "motivo_desligamento",
+               "tamanho_estabelecimento", "natureza_juridica", "vl_remun_dezembro_nom", "vl_remun_media_nom",
+               "vl_remun_dezembro_sm", "vl_remun_media_sm"]
+
 
 def _q(v):
     if v is None:
@@ -133,47 +163,49 @@ def _ddl_rows(table, ddl):
 _EMP_DDL = ("cod_uf string, ano int, qtd_vinculos bigint, massa_salarial_dez_nom decimal(28,2), "
             "remun_media_dez_nom decimal(19,2), remun_media_dez_sm decimal(19,2), "
             "remun_mediana_dez_sm decimal(18,2), uf string")
+_GAP_DDL = ("cod_uf string, ano int, rem_mulher_sm decimal(22,6), rem_homem_sm decimal(22,6), "
+            "razao_mulher_homem decimal(26,3), uf string")
+_TOP_DDL = ("cod_uf string, ano int, cnae_divisao string, qtd_vinculos bigint, massa_salarial_dez_nom decimal(28,2), "
+            "posicao int, uf string")
 _SEP_DDL = ("cod_uf string, ano int, qtd_vinculos_no_ano bigint, qtd_desligados bigint, "
             "taxa_desligamento double, uf string")
 _ESC_DDL = ("escolaridade int, ano int, qtd_vinculos bigint, remun_media_dez_sm decimal(19,2), "
             "escolaridade_desc string")
-_ACTUAL = (_ddl_rows("silver.vinculos", config.SILVER_CONTRACT)
+_RAW_DDL = "ano int, " + ", ".join(f"{c} string" for c in RAW_COLUMNS)
+_ACTUAL = (_ddl_rows("bronze.vinculos", _RAW_DDL)
+           + _ddl_rows("silver.vinculos", config.SILVER_CONTRACT)
            + _ddl_rows("gold.emprego_uf_ano", _EMP_DDL)
+           + _ddl_rows("gold.gap_sexo_uf_ano", _GAP_DDL)
+           + _ddl_rows("gold.top_cnae_uf_ano", _TOP_DDL)
            + _ddl_rows("gold.desligamento_uf_ano", _SEP_DDL)
            + _ddl_rows("gold.escolaridade_ano", _ESC_DDL))
-_CTES = (f"tabs AS (SELECT * FROM {_values(catalog.TABLES, ['tabela', 'descricao', 'grao', 'atualizacao', 'completa'])})",
-         f"cols AS (SELECT * FROM {_values(catalog.COLUMNS, ['tabela', 'coluna', 'descricao', 'unidade'])})",
-         f"actual AS (SELECT * FROM {_values(_ACTUAL, ['tabela', 'coluna', 'tipo'])})")
+_T, _C = ["tabela", "descricao", "grao", "atualizacao", "completa", "caminho", "pergunta"], ["tabela", "coluna", "descricao", "unidade"]
+_REAL = f"actual AS (SELECT * FROM {_values(_ACTUAL, ['tabela', 'coluna', 'tipo'])})"
+_CTES = (f"tabs AS (SELECT * FROM {_values(catalog.TABLES, _T)})", f"cols AS (SELECT * FROM {_values(catalog.COLUMNS, _C)})", _REAL)
+_DEFECTIVE = (f"tabs AS (SELECT * FROM {_values(catalog.TABLES + DEFECT_TABLES, _T)})",
+              f"cols AS (SELECT * FROM {_values(catalog.COLUMNS + DEFECT_COLUMNS, _C)})", _REAL)
+
 
 def _null_counts_sql():
+    """NULLs of every stored column, one pass per table."""
+    marts_sql = {"gold.emprego_uf_ano": "mart_employment", "gold.gap_sexo_uf_ano": "mart_pay_gap",
+                 "gold.top_cnae_uf_ano": "mart_top_industry", "gold.desligamento_uf_ano": "mart_separation",
+                 "gold.escolaridade_ano": "mart_schooling"}
+    frames = {"bronze.vinculos": "raw", "silver.vinculos": "silver",
+              **{t: f"({mart_queries.SQL[q]})" for t, q in marts_sql.items()}}
     parts = []
-    emp = f"""(SELECT e.*, d.uf FROM (SELECT ano, cod_uf, CAST(count(*) AS BIGINT) AS qtd_vinculos,
-      CAST(sum(remun_dezembro_nom) AS DECIMAL(28,2)) AS massa_salarial_dez_nom,
-      {o.round_avg_dec('remun_dezembro_nom')} AS remun_media_dez_nom,
-      {o.round_avg_dec('remun_dezembro_sm')} AS remun_media_dez_sm,
-      quantile_disc(remun_dezembro_sm, 0.5) AS remun_mediana_dez_sm
-      FROM active GROUP BY ano, cod_uf) e LEFT JOIN dim_uf d ON e.cod_uf = d.cod_uf)"""
-    sep = f"""(SELECT s.*, {o.rate_round('qtd_desligados', 'qtd_vinculos_no_ano')} AS taxa_desligamento, d.uf FROM (
-      SELECT ano, cod_uf, count(*) AS qtd_vinculos_no_ano,
-      sum(CAST(desligado_no_ano AS INT)) AS qtd_desligados FROM silver GROUP BY ano, cod_uf) s
-      LEFT JOIN dim_uf d ON s.cod_uf = d.cod_uf)"""
-    esc = f"""(SELECT a.*, d.escolaridade_desc FROM (SELECT ano, escolaridade, count(*) AS qtd_vinculos,
-      {o.round_avg_dec('remun_dezembro_sm')} AS remun_media_dez_sm FROM active GROUP BY ano, escolaridade) a
-      LEFT JOIN dim_esc d ON a.escolaridade = d.escolaridade)"""
-    frames = {"silver.vinculos": "silver", "gold.emprego_uf_ano": emp,
-              "gold.desligamento_uf_ano": sep, "gold.escolaridade_ano": esc}
     for table, rel in frames.items():
-        for t, c, _ in _ACTUAL:
-            if t == table:
-                parts.append(f"SELECT '{t}' AS tabela, '{c}' AS coluna, CAST(count_if({c} IS NULL) AS BIGINT) "
-                             f"AS nulos, CAST(count(*) AS BIGINT) AS total FROM {rel} x")
+        pairs = ", ".join(f"{{'coluna': '{c}', 'nulos': CAST(count_if({c} IS NULL) AS BIGINT)}}"
+                          for t, c, _ in _ACTUAL if t == table)
+        parts.append(f"SELECT '{table}' AS tabela, u.coluna, u.nulos, total FROM "
+                     f"(SELECT CAST(count(*) AS BIGINT) AS total, [{pairs}] AS l FROM {rel} x) s, UNNEST(l) t(u)")
     return " UNION ALL ".join(parts)
 
 
 _NULL_COUNTS = _null_counts_sql()
 
 SQL = {
-    "dictionary_violations": o.with_(*_CTES) + f"""
+    "dictionary_violations": o.with_(*_DEFECTIVE) + f"""
 SELECT tabela, CAST(NULL AS VARCHAR) AS coluna, regra FROM tabs, LATERAL (SELECT * FROM (VALUES
   (CASE WHEN NOT regexp_full_match(tabela, '(bronze|silver|gold)\\.[a-z][a-z0-9_]*') THEN 'nome_tabela_invalido' END),
   (CASE WHEN length(coalesce(descricao, '')) < {config.MIN_TABLE_DESCRIPTION} THEN 'descricao_tabela_curta' END),
@@ -186,7 +218,7 @@ SELECT tabela, coluna, regra FROM (SELECT tabela, coluna, descricao FROM cols
   (CASE WHEN NOT regexp_full_match(coluna, '[a-z][a-z0-9_]*') THEN 'nome_coluna_invalido' END),
   (CASE WHEN length(coalesce(descricao, '')) < {config.MIN_COLUMN_DESCRIPTION} THEN 'descricao_coluna_curta' END)) v(regra)) x
 WHERE regra IS NOT NULL""",
-    "dictionary_conformance": o.with_(*_CTES) + """
+    "dictionary_conformance": o.with_(*_DEFECTIVE) + """
 SELECT tabela, CAST(NULL AS VARCHAR) AS coluna, 'tabela_nao_encontrada' AS problema FROM tabs
 WHERE tabela NOT IN (SELECT tabela FROM actual)
 UNION ALL
@@ -196,13 +228,9 @@ FROM (SELECT * FROM cols WHERE tabela IN (SELECT tabela FROM actual)) d
 FULL JOIN actual r ON d.tabela = r.tabela AND d.coluna = r.coluna
 LEFT JOIN tabs t ON t.tabela = coalesce(d.tabela, r.tabela)
 WHERE r.coluna IS NULL OR (d.coluna IS NULL AND coalesce(t.completa, true))""",
-    "dictionary_search": o.with_(*o.BASE_ACTIVE, o.STATES, mart_queries._EMP, *_CTES) + """
-, nulls AS (
-  SELECT 'silver.vinculos' AS tabela, 'remun_dezembro_nom' AS coluna, CAST(count_if(remun_dezembro_nom IS NULL) AS BIGINT) AS nulos FROM silver
-  UNION ALL SELECT 'silver.vinculos', 'remun_media_nom', CAST(count_if(remun_media_nom IS NULL) AS BIGINT) FROM silver
-  UNION ALL SELECT 'gold.emprego_uf_ano', 'massa_salarial_dez_nom', CAST(count_if(massa_salarial_dez_nom IS NULL) AS BIGINT) FROM emp
-  UNION ALL SELECT 'gold.emprego_uf_ano', 'remun_media_dez_nom', CAST(count_if(remun_media_dez_nom IS NULL) AS BIGINT) FROM emp)
-SELECT c.tabela, c.coluna, a.tipo, c.unidade, CAST(n.nulos AS BIGINT) AS nulos FROM cols c
+    "dictionary_search": o.with_(*o.BASE_ACTIVE, o.STATES, *_CTES) + f"""
+, nulls AS ({_NULL_COUNTS})
+SELECT c.tabela, c.coluna, a.tipo, c.unidade, n.nulos FROM cols c
 JOIN actual a ON c.tabela = a.tabela AND c.coluna = a.coluna
 JOIN nulls n ON c.tabela = n.tabela AND c.coluna = n.coluna
 WHERE c.unidade = 'R$'""",
@@ -221,15 +249,28 @@ d AS (SELECT c.tabela, c.coluna, a.tipo, c.descricao, c.unidade,
         {o.rate_round('n.nulos * 100', 'n.total', 2)} AS pct_nulo
       FROM cols c JOIN actual a ON c.tabela = a.tabela AND c.coluna = a.coluna
       JOIN nulls n ON c.tabela = n.tabela AND c.coluna = n.coluna)
-SELECT t.tabela, CAST(to_json({{'tabela': t.tabela, 'descricao': t.descricao, 'grao': t.grao,
-  'atualizacao': t.atualizacao, 'colunas': x.colunas}}) AS VARCHAR) AS json
+SELECT t.tabela, CAST(to_json({{'tabela': t.tabela, 'caminho': t.caminho, 'dono': {_q(catalog.OWNER)}, 'descricao': t.descricao,
+  'pergunta': t.pergunta, 'grao': t.grao, 'atualizacao': t.atualizacao, 'regras': [{', '.join(map(_q, catalog.RULES))}],
+  'colunas': x.colunas}}) AS VARCHAR) AS json
 FROM tabs t JOIN (SELECT tabela, list_sort(list({{'coluna': coluna, 'tipo': tipo, 'descricao': descricao,
   'unidade': unidade, 'pct_nulo': pct_nulo}})) AS colunas FROM d GROUP BY tabela) x ON t.tabela = x.tabela""",
-    "dictionary_comments": o.with_(*_CTES) + """
-SELECT a.tabela, a.coluna, CASE WHEN c.coluna IS NULL OR a.coluna = 'ano' THEN NULL ELSE c.descricao
-  || coalesce(' Unidade: ' || c.unidade || '.', '') END AS comentario
-FROM actual a LEFT JOIN cols c ON a.tabela = c.tabela AND a.coluna = c.coluna
+    "dictionary_comments": o.with_(*o.BASE, *_CTES) + f"""
+, nulls AS (SELECT u.coluna, total - u.nulos AS preenchidas FROM (SELECT CAST(count(*) AS BIGINT) AS total, [{
+    ", ".join(f"{{'coluna': '{c}', 'nulos': CAST(count_if({c} IS NULL) AS BIGINT)}}" for t, c, _ in _ACTUAL if t == "silver.vinculos")
+    }] AS l FROM silver) s, UNNEST(l) t(u))
+SELECT a.tabela, a.coluna, c.descricao || coalesce(' Unidade: ' || c.unidade || '.', '') AS comentario, n.preenchidas
+FROM actual a JOIN nulls n ON a.coluna = n.coluna LEFT JOIN cols c ON a.tabela = c.tabela AND a.coluna = c.coluna
 WHERE a.tabela = 'silver.vinculos'""",
+    "dictionary_properties": o.with_(*o.BASE_ACTIVE, *_CTES) + f"""
+, n AS (SELECT 'silver.vinculos' AS tabela, CAST(count(*) AS BIGINT) AS linhas FROM silver
+        UNION ALL SELECT 'gold.emprego_uf_ano', count(*) FROM (SELECT DISTINCT ano, cod_uf FROM active) g),
+p AS (SELECT tabela, 'comment' AS chave, descricao AS valor FROM tabs
+  UNION ALL SELECT tabela, 'catalogo.nome', {_q(catalog.NAME)} FROM tabs
+  UNION ALL SELECT tabela, 'catalogo.dono', {_q(catalog.OWNER)} FROM tabs
+  UNION ALL SELECT tabela, 'catalogo.grao', grao FROM tabs
+  UNION ALL SELECT tabela, 'catalogo.atualizacao', atualizacao FROM tabs
+  UNION ALL SELECT tabela, 'catalogo.pergunta', pergunta FROM tabs WHERE pergunta IS NOT NULL)
+SELECT p.tabela, p.chave, p.valor, n.linhas FROM p JOIN n ON p.tabela = n.tabela""",
     "sql_equals_df": o.with_(*o.BASE_ACTIVE) + """
 SELECT CAST(count(*) AS BIGINT) AS linhas_sql, CAST(count(*) AS BIGINT) AS linhas_api,
   CAST(0 AS BIGINT) AS so_sql, CAST(0 AS BIGINT) AS so_api, true AS iguais FROM (SELECT DISTINCT ano, cod_uf FROM active) g""",

@@ -84,7 +84,8 @@ def source_reconciliation(spark, sf):
 
 
 def file_fingerprints(spark, sf):
-    return text.fingerprints(spark, _files(spark, sf)).drop("modificado")
+    """Lines and order-free checksum of every landed file (sizes and line order are the writer's)."""
+    return text.fingerprints(spark, _files(spark, sf)).select("ano", "arquivo", "linhas", "checksum")
 
 
 def null_state_by_source(spark, sf):
@@ -200,15 +201,15 @@ SQL["landing_to_employment"] = mart_queries.SQL["mart_employment"]
 
 
 def incremental_bronze(spark, sf):
-    """Landed files loaded by availableNow streams (one per layout) into a parquet
-    bronze table; a second run finds nothing new and appends nothing."""
+    """Landed files loaded by an availableNow stream, a few at a time, into a parquet bronze
+    table; a second run finds nothing new and appends nothing."""
     from microlake.streaming import incremental
     target = scratch_path(spark, "bronze-stream")
     ckpt = scratch_path(spark, "bronze-stream-ckpt")
     root = _root(spark, sf)
-    incremental.load_landing_incrementally(spark, root, target, ckpt)
-    sinks = incremental.load_landing_incrementally(spark, root, target, ckpt)  # finds nothing new
-    return incremental.read_sinks(spark, sinks)
+    incremental.load_landing_incrementally(spark, root, target, ckpt, max_files_per_trigger=20)
+    incremental.load_landing_incrementally(spark, root, target, ckpt)           # finds nothing new
+    return incremental.read_sink(spark, target)
 
 
 QUERIES["incremental_bronze"] = incremental_bronze
@@ -234,8 +235,8 @@ QUERIES["storage_ratio"] = storage_ratio
 def silver_by_file(spark, sf):
     """Silver from the landed files with column presence decided per source file."""
     from microlake.operators.silver import to_silver_by_file
-    root = _root(spark, sf)
-    return to_silver_by_file(_bronze(spark, sf), text.file_columns(spark, root + "/*/*"))
+    rows = text.landed_rows(spark, _files(spark, sf))
+    return to_silver_by_file(text.layout_frames(spark, rows, None), rows)
 
 
 QUERIES["silver_by_file"] = silver_by_file
@@ -247,9 +248,9 @@ def lake_gold_employment(spark, sf):
     """Every landed year loaded through the composed stages (bronze, gated silver with
     per-file presence, two-scan gold); the published employment mart is returned."""
     from microlake import stages
-    from microlake.sinks import tables
+    from microlake.sinks import files, tables
     root = _root(spark, sf)
-    years = sorted(r[0] for r in text.file_columns(spark, root + "/*/*").select("ano").distinct().collect())
+    years = sorted({int(p.split("/")[-2]) for p in files.list_files(spark, root + "/*/*")})
     lake = scratch_path(spark, "lake")
     gold = stages.load_years(spark, root, years, lake, "run-1", "2024-01-01 00:00:00")
     return tables.read_table(spark, gold["gold_emprego_uf_ano"])

@@ -10,13 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from microlake.operators.silver import to_silver
-from microlake.sources import parquet
 
 
-# tables whose scans feed heavy row-level work, with a high-cardinality key to spread
-# them on (a few rows per value at most, so no partition can be hot)
-_SPREAD = {"lineitem": ["l_orderkey", "l_linenumber"]}
-
 # declared schemas of the driver's tables: reading with a schema skips the footer
 # inference job that spark.read.parquet would otherwise run for every read
 SCHEMAS = {
@@ -53,8 +48,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if name in _SPREAD:
-        return parquet.read(spark, path, spread_key=_SPREAD[name], schema=SCHEMAS.get(name))
     if name in SCHEMAS:
         return spark.read.schema(SCHEMAS[name]).parquet(path)
     return spark.read.parquet(path)

@@ -33,12 +33,11 @@ def orphan_state_codes(spark, sf):
 
 
 def domain_violations(spark, sf):
-    s = inputs.silver(spark, sf)
-    return (joins.domain_violations(s, dims.dim_state(spark), "cod_uf", "uf_fora_do_dominio")
-            .unionByName(joins.domain_violations(s, dims.dim_schooling(spark), "escolaridade",
-                                                 "escolaridade_fora_do_dominio"))
-            .unionByName(joins.domain_violations(s, dims.dim_sex(spark), "sexo",
-                                                 "sexo_fora_do_dominio")))
+    """Codes outside their dimension, all rules in one scan of silver."""
+    return joins.domain_violations(inputs.silver(spark, sf), {
+        "uf_fora_do_dominio": ("cod_uf", dims.dim_state(spark)),
+        "escolaridade_fora_do_dominio": ("escolaridade", dims.dim_schooling(spark)),
+        "sexo_fora_do_dominio": ("sexo", dims.dim_sex(spark))})
 
 
 def municipalities(spark, sf):

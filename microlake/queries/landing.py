@@ -96,9 +96,9 @@ def write_landing(spark: SparkSession, raw: DataFrame, root: str, parts_per_file
         part = F.pmod(F.xxhash64(*[F.col(c) for c in raw.columns]), F.lit(parts_per_file))
         staged = staged.withColumn("arquivo", F.regexp_replace(
             "arquivo", r"\.([^.]+)$", F.concat(F.lit("_"), part.cast("string"), F.lit(".$1"))))
-    digit = F.substring("municipio", 1, 1)
-    new = staged.filter(digit == NEW_LAYOUT_DIGIT).withColumn("ind_trab_intermitente", F.lit("0"))
-    old = staged.filter(digit != NEW_LAYOUT_DIGIT)
+    is_new = F.coalesce(F.substring("municipio", 1, 1) == NEW_LAYOUT_DIGIT, F.lit(False))   # no code: old layout
+    new = staged.filter(is_new).withColumn("ind_trab_intermitente", F.lit("0"))
+    old = staged.filter(~is_new)
     for name, part, headers, sep, quote_all in (
             ("old", old, OLD_HEADERS, ";", False), ("new", new, NEW_HEADERS, ",", True)):
         staging = scratch_path(spark, f"landing-staging-{name}")

@@ -9,13 +9,11 @@ from microlake.operators import dims, marts, quality, windows
 from microlake.operators.silver import to_silver
 from microlake.queries import inputs
 from microlake.queries import oracle as o
+from microlake.session import scratch_path
+from microlake.sinks import tables
 
-GOLD_EMPLOYMENT_CONTRACT = (
-    "cod_uf string, ano int, qtd_vinculos bigint, massa_salarial_dez_nom decimal(28,2), "
-    "remun_media_dez_nom decimal(19,2), remun_media_dez_sm decimal(19,2), "
-    "remun_mediana_dez_sm decimal(18,2), uf string")
 # the declared checks of the history stand-in (event types of the events table)
-DECLARED_CHECKS = ["click", "error", "purchase", "signup", "view"]
+DECLARED_CHECKS = ["click", "purchase", "signup", "view"]
 MIN_WAGE_RATIO = 1212.12
 SMALL_CELL_K = 100
 
@@ -25,15 +23,18 @@ def layer_gate(spark, sf):
     return quality.layer_gate(to_silver(raw), raw)
 
 
+_TYPED = {"int": ("idade", "mes_desligamento", "sexo_trabalhador", "escolaridade_apos_2005", "raca_cor",
+                  "motivo_desligamento", "tamanho_estabelecimento"),
+          "decimal(18,2)": ("vl_remun_dezembro_nom", "vl_remun_media_nom", "vl_remun_dezembro_sm", "vl_remun_media_sm")}
+
+
 def schema_contract_diff(spark, sf):
-    s = inputs.silver(spark, sf)
-    emp = marts.employment(marts.active(s), dims.state_dim(spark))
-    drifted = (s.withColumn("remun_dezembro_nom", F.col("remun_dezembro_nom").cast("double"))
-               .withColumn("coluna_extra", F.lit(1)).drop("cbo"))
-    parts = [quality.contract_diff(spark, s.schema, config.SILVER_CONTRACT, "silver"),
-             quality.contract_diff(spark, emp.schema, GOLD_EMPLOYMENT_CONTRACT, "gold_emprego"),
-             quality.contract_diff(spark, drifted.schema, config.SILVER_CONTRACT, "silver_alterada")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Bronze stored as text, read back: per column, the rows whose text is not of the contract's type."""
+    path = scratch_path(spark, "bronze-contract")
+    tables.write_table(inputs.raw(spark, sf), path)
+    parse = {"int": clean.int_of, "decimal(18,2)": clean.decimal_of}
+    return quality.type_failures(tables.read_table(spark, path),
+                                 {c: (t, parse[t](F.col(c))) for t, cols in _TYPED.items() for c in cols}, "bronze")
 
 
 def range_violations(spark, sf):
@@ -67,19 +68,23 @@ def unit_consistency(spark, sf):
 
 
 def check_rollup(spark, sf):
-    """Latest status per (aula, check) against the declared checks, rolled up per aula."""
+    """Declared checks of every aula (a customer stands for one) against their latest status.
+
+    Every declared aula has a row, zeros where nothing ran; its last run is that of any record.
+    """
     from microlake.queries.windows import _history_rows
-    h = _history_rows(spark, sf)
-    latest = windows.latest_per_key(h, ["aula", "check"], "ts", "detalhe", ["status"])
-    declared = dims.bounded(spark.createDataFrame([(c,) for c in DECLARED_CHECKS], "check string"),
-                            len(DECLARED_CHECKS))
-    known = latest.join(declared, "check", "inner")
-    return known.groupBy("aula").agg(
-        F.lit(len(DECLARED_CHECKS)).cast("bigint").alias("declarados"),
-        F.count_if(F.col("status") == "passou").alias("passaram"),
-        F.count_if(F.col("status") == "falhou").alias("falharam"),
-        (F.lit(len(DECLARED_CHECKS)) - F.count(F.lit(1))).cast("bigint").alias("sem_execucao"),
+    latest = windows.latest_per_key(_history_rows(spark, sf), ["aula", "check"], "ts", "detalhe", ["status"])
+    known = F.col("check").isin(DECLARED_CHECKS)
+    ran = latest.groupBy("aula").agg(
+        F.count_if(known & (F.col("status") == "passou")).alias("passaram"),
+        F.count_if(known & (F.col("status") == "falhou")).alias("falharam"),
         F.max("ts").alias("ultima_execucao"))
+    aulas = inputs.table(spark, sf, "customer").select(F.col("c_custkey").cast("int").alias("aula"))
+    done = {c: F.coalesce(c, F.lit(0)).cast("bigint") for c in ("passaram", "falharam")}
+    return aulas.join(ran, "aula", "left").select(
+        "aula", F.lit(len(DECLARED_CHECKS)).cast("bigint").alias("declarados"), *[v.alias(c) for c, v in done.items()],
+        (F.lit(len(DECLARED_CHECKS)) - done["passaram"] - done["falharam"]).cast("bigint").alias("sem_execucao"),
+        "ultima_execucao")
 
 
 def small_cell_suppression(spark, sf):
@@ -118,12 +123,11 @@ LATERAL (SELECT * FROM (VALUES ('idade_silver', CAST(a AS BIGINT)), ('mes_silver
 
 SQL = {
     "layer_gate": o.with_(*o.BASE) + _GATE,
-    "schema_contract_diff": """
-SELECT * FROM (VALUES
-  ('silver_alterada', 'cbo', 'string', NULL, 'ausente'),
-  ('silver_alterada', 'coluna_extra', NULL, 'int', 'inesperada'),
-  ('silver_alterada', 'remun_dezembro_nom', 'decimal(18,2)', 'double', 'tipo_diferente')
-) t(tabela, coluna, tipo_esperado, tipo_real, problema)""",
+    "schema_contract_diff": o.with_(o.RAW) + " UNION ALL ".join(
+        f"SELECT 'bronze' AS tabela, '{c}' AS coluna, '{t}' AS tipo_esperado, CAST(count(*) AS BIGINT) AS linhas, "
+        f"CAST(count_if(coalesce(trim({c}), '') <> '') AS BIGINT) AS preenchidas, "
+        f"CAST(count_if(coalesce(trim({c}), '') <> '' AND {(o.sql_int if t == 'int' else o.sql_dec)(c)} IS NULL) AS BIGINT) AS falhas "
+        f"FROM raw" for t, cols in _TYPED.items() for c in cols),
     "range_violations": o.with_(*o.BASE) + _RANGES,
     "rank_bound": o.with_(*o.BASE_ACTIVE) + """
 SELECT ano, cod_uf, CAST(max(rn) AS INT) AS max_posicao, max(rn) <= 10 AS ok FROM (
@@ -143,11 +147,14 @@ WITH h AS (SELECT CAST(user_id AS INT) AS aula, event_type AS "check", ts,
     CASE WHEN value > 50 THEN 'passou' ELSE 'falhou' END AS status,
     row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC,
                        'event ' || CAST(event_id AS VARCHAR) DESC) AS rn
-  FROM events)
-SELECT aula, CAST(5 AS BIGINT) AS declarados, CAST(count_if(status = 'passou') AS BIGINT) AS passaram,
-  CAST(count_if(status = 'falhou') AS BIGINT) AS falharam, CAST(5 - count(*) AS BIGINT) AS sem_execucao,
-  max(ts) AS ultima_execucao
-FROM h WHERE rn = 1 AND "check" IN ('click', 'error', 'purchase', 'signup', 'view') GROUP BY aula""",
+  FROM events),
+r AS (SELECT aula, count_if(status = 'passou' AND "check" IN ('click', 'purchase', 'signup', 'view')) AS p,
+    count_if(status = 'falhou' AND "check" IN ('click', 'purchase', 'signup', 'view')) AS f, max(ts) AS ultima
+  FROM h WHERE rn = 1 GROUP BY aula)
+SELECT CAST(c_custkey AS INT) AS aula, CAST(4 AS BIGINT) AS declarados, CAST(coalesce(p, 0) AS BIGINT) AS passaram,
+  CAST(coalesce(f, 0) AS BIGINT) AS falharam, CAST(4 - coalesce(p, 0) - coalesce(f, 0) AS BIGINT) AS sem_execucao,
+  ultima AS ultima_execucao
+FROM customer LEFT JOIN r ON aula = CAST(c_custkey AS INT)""",
     "small_cell_suppression": o.with_(*o.BASE_ACTIVE, o.STATES) + f"""
 SELECT ano, cod_uf, uf, qtd_vinculos,
   CASE WHEN qtd_vinculos >= {SMALL_CELL_K} THEN massa_salarial_dez_nom END AS massa_salarial_dez_nom,

@@ -9,7 +9,7 @@ from microlake.queries import inputs
 from microlake.queries import marts as mart_queries
 from microlake.queries import oracle as o
 from microlake.session import scratch_path
-from microlake.sinks import tables
+from microlake.sinks import files, tables
 
 
 def _orders(spark, sf):
@@ -44,6 +44,13 @@ def replace_partition(spark, sf):
     return t.groupBy("ano").agg(F.count(F.lit(1)).alias("qtd"), F.sum("o_totalprice").alias("total"))
 
 
+def replace_partition_empty(spark, sf):
+    """Replace year 1996 with no rows: the year is gone, the others untouched."""
+    path = _orders_table(spark, sf)
+    tables.replace_partition(_orders(spark, sf).filter("false"), path, REPLACED_YEAR)
+    return tables.read_table(spark, path).groupBy("ano").agg(F.count(F.lit(1)).alias("qtd"))
+
+
 def schema_evolution(spark, sf):
     """Years before 1998 written without ``o_orderpriority``; later years add it with
     mergeSchema; the merged read shows it as NULL for the old years."""
@@ -139,19 +146,63 @@ def snapshot_compare(spark, sf):
     return tables.compare_versions(before, tables.read_table(spark, path), ["o_orderkey"])
 
 
+_MOMENTS = {"v1": "2024-01-01 00:00:00", "v2": "2024-02-01 00:00:00", "v3": "2024-03-01 00:00:00"}
+
+
+def _versioned_orders(spark, sf):
+    """Orders loaded by year (v1), one year replaced by its finished orders (v2), then emptied (v3);
+    each replaced year is archived first and every write is logged."""
+    path, archive, history = (scratch_path(spark, f"orders-{x}") for x in ("live", "versions", "history"))
+    od = _orders(spark, sf)
+    steps = [("v1", od, None), ("v2", od.filter(F.col("o_orderstatus") == "F"), REPLACED_YEAR),
+             ("v3", od.filter("false"), REPLACED_YEAR)]
+    for version, rows, year in steps:
+        years = [year] if year else _years(spark, sf)
+        if year:
+            tables.archive_snapshot(tables.read_partition(spark, path, year), archive, version)
+            rows = rows.filter(F.col("ano") == year)
+        tables.replace_partition(rows, path, years)
+        counts = dict(rows.groupBy("ano").count().collect())            # a row per year
+        for y in years:
+            tables.log_write(spark, history, "orders", y, "replace", version, _MOMENTS[version], counts.get(y, 0))
+    return path, archive, history
+
+
+def table_history(spark, sf):
+    """Every write of the table: version, operation, snapshot id, time, rows."""
+    _, _, history = _versioned_orders(spark, sf)
+    return tables.table_history(spark, history)
+
+
+def snapshot_as_of(spark, sf):
+    """Rows and total per year as they were between the writes, by timestamp."""
+    path, archive, history = _versioned_orders(spark, sf)
+    out = []
+    for moment in ("2024-01-15 00:00:00", "2024-02-15 00:00:00", "2024-03-15 00:00:00"):
+        t = tables.read_as_of(spark, path, archive, history, "orders", moment)
+        out.append(t.groupBy("ano").agg(F.count(F.lit(1)).alias("qtd"), F.sum("o_totalprice").alias("total"))
+                   .withColumn("em", F.lit(moment)))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 def snapshot_retention(spark, sf):
-    """One snapshot per year of orders; snapshots whose last order is more than two
-    years older than the newest are listed for removal."""
+    """One snapshot per year of orders; snapshots more than two years older than the
+    newest are removed from storage. The result says what was there and what is left."""
     archive = scratch_path(spark, "orders-snapshots")
     od = _orders(spark, sf)
     od.withColumn("snapshot_id", F.concat(F.lit("s"), F.col("ano").cast("string"))) \
       .write.mode("append").partitionBy("ano", "snapshot_id").parquet(archive)
-    listing = (spark.read.parquet(archive).groupBy("snapshot_id")
-               .agg(F.count(F.lit(1)).alias("qtd"), F.max("ano").alias("ano")))
-    cutoff_year = listing.agg(F.max("ano")).first()[0] - 2      # one-row aggregate
-    return tables.snapshots_older_than(listing, "ano", F.lit(cutoff_year)) \
-        .withColumn("remover", F.lit(True)) \
-        .unionByName(listing.filter(F.col("ano") >= cutoff_year).withColumn("remover", F.lit(False)))
+    snap = scratch_path(spark, "snapshot-listing")
+    (spark.read.parquet(archive).groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("qtd"), F.max("ano").alias("ano"))
+     .write.parquet(snap))
+    listing = spark.read.parquet(snap)
+    names = [f.rsplit("/", 2) for f in files.list_folders(spark, archive + "/ano=*/snapshot_id=*")]
+    years = {n[2].split("=", 1)[1]: int(n[1].split("=", 1)[1]) for n in names}     # from folder names
+    newest = max(years.values(), default=0)
+    tables.expire_snapshots(spark, archive, [s for s, y in years.items() if y < newest - 2])
+    left = spark.read.parquet(archive).groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("restam"))
+    return listing.join(left, "snapshot_id", "left").select(
+        "snapshot_id", "ano", "qtd", F.coalesce("restam", F.lit(0)).alias("restam"))
 
 
 def upsert_by_join(spark, sf):
@@ -166,14 +217,16 @@ def upsert_by_join(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in [
-    replace_partition, schema_evolution, partition_pruned_read, idempotent_reload,
+    replace_partition, replace_partition_empty, schema_evolution, partition_pruned_read, idempotent_reload,
     compaction_preserves_rows, csv_export_roundtrip, run_manifest, run_history,
-    snapshot_compare, snapshot_retention, upsert_by_join]}
+    snapshot_compare, table_history, snapshot_as_of, snapshot_retention, upsert_by_join]}
 
 _OD = """od AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice,
   o_orderpriority, CAST(year(o_orderdate) AS INT) AS ano FROM orders)"""
 
 SQL = {
+    "replace_partition_empty": o.with_(_OD) + f"""
+SELECT ano, CAST(count(*) AS BIGINT) AS qtd FROM od WHERE ano <> {REPLACED_YEAR} GROUP BY ano""",
     "replace_partition": o.with_(_OD) + f"""
 SELECT ano, CAST(count(*) AS BIGINT) AS qtd, CAST(sum(o_totalprice) AS DECIMAL(28,2)) AS total FROM od
 WHERE ano <> {REPLACED_YEAR} OR o_orderstatus = 'F' GROUP BY ano""",
@@ -217,9 +270,21 @@ SELECT v.coluna, CAST(v.alteradas AS BIGINT) AS alteradas, CAST(v.nulos_antes AS
 FROM t, LATERAL (SELECT * FROM (VALUES ('o_custkey', c1, nb1, na1), ('o_orderstatus', c2, nb2, na2),
   ('o_totalprice', c3, nb3, na3), ('o_orderpriority', c4, nb4, na4), ('ano', c5, nb5, na5))
   x(coluna, alteradas, nulos_antes, nulos_depois)) v""",
+    "table_history": o.with_(_OD) + f"""
+, w AS (SELECT 'v1' AS snapshot_id, TIMESTAMP '2024-01-01 00:00:00' AS ts, ano, count(*) AS linhas FROM od GROUP BY ano
+  UNION ALL SELECT 'v2', TIMESTAMP '2024-02-01 00:00:00', {REPLACED_YEAR}, count(*) FROM od
+    WHERE ano = {REPLACED_YEAR} AND o_orderstatus = 'F'
+  UNION ALL SELECT 'v3', TIMESTAMP '2024-03-01 00:00:00', {REPLACED_YEAR}, 0)
+SELECT 'orders' AS tabela, CAST(ano AS INT) AS ano, 'replace' AS operacao, snapshot_id, ts, CAST(linhas AS BIGINT) AS linhas,
+  CAST(row_number() OVER (ORDER BY ts, snapshot_id, ano) - 1 AS BIGINT) AS versao FROM w""",
+    "snapshot_as_of": o.with_(_OD) + f"""
+, t AS (SELECT '2024-01-15 00:00:00' AS em, * FROM od
+  UNION ALL SELECT '2024-02-15 00:00:00', * FROM od WHERE ano <> {REPLACED_YEAR} OR o_orderstatus = 'F'
+  UNION ALL SELECT '2024-03-15 00:00:00', * FROM od WHERE ano <> {REPLACED_YEAR})
+SELECT em, ano, CAST(count(*) AS BIGINT) AS qtd, CAST(sum(o_totalprice) AS DECIMAL(28,2)) AS total FROM t GROUP BY em, ano""",
     "snapshot_retention": o.with_(_OD) + """
-SELECT 's' || CAST(ano AS VARCHAR) AS snapshot_id, CAST(count(*) AS BIGINT) AS qtd, ano,
-  ano < (SELECT max(ano) FROM od) - 2 AS remover FROM od GROUP BY ano""",
+SELECT 's' || ano AS snapshot_id, CAST(ano AS INT) AS ano, CAST(count(*) AS BIGINT) AS qtd,
+  CAST(CASE WHEN ano < (SELECT max(ano) FROM od) - 2 THEN 0 ELSE count(*) END AS BIGINT) AS restam FROM od GROUP BY ano""",
     "upsert_by_join": o.with_(_OD) + """
 , ch AS (SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus, CAST(o_totalprice + 1 AS DECIMAL(18,2)) AS o_totalprice,
            o_orderpriority FROM od WHERE o_orderstatus = 'P'

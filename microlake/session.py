@@ -1,6 +1,7 @@
 """Session builder and shared-folder helpers."""
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -59,11 +60,13 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it (a path every executor and the driver can reach). Only when it
-    is unset — local tests — a private folder is created and registered.
+    A cluster names it (a path every executor and the driver can reach) and gets an error
+    if it does not. Only a local master with it unset — tests — has a private folder made.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="microlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

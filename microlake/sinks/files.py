@@ -37,6 +37,11 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
                   if st.isFile())
 
 
+def list_folders(spark: SparkSession, pattern: str) -> list[str]:
+    fs, Path = _fs(spark, pattern)
+    return sorted(st.getPath().toString() for st in (fs.globStatus(Path(pattern)) or []) if st.isDirectory())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, Path = _fs(spark, path)
     return bool(fs.exists(Path(path)))
@@ -48,9 +53,25 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(Path(path), True))
 
 
-def list_data_files(spark: SparkSession, patterns: str | list[str]) -> list[tuple[str, str, int]]:
-    """(path, name, size) of the data files matched by glob patterns; like Spark's own
-    listing, names starting with '.' or '_' are hidden. Metadata only."""
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put folder ``source`` in the place of folder ``target`` (renames; no data is read)."""
+    fs, Path = _fs(spark, target)
+    if fs.exists(Path(target)):
+        fs.delete(Path(target), True)
+    fs.mkdirs(Path(target).getParent())
+    if fs.exists(Path(source)) and not fs.rename(Path(source), Path(target)):
+        raise OSError(f"rename failed: {source} -> {target}")
+
+
+def hidden_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Files that Spark's readers pass over because their name begins with '_' (metadata only)."""
+    return [p for p in list_files(spark, pattern) if p.rsplit("/", 1)[-1].startswith("_")]
+
+
+def list_data_files(spark: SparkSession, patterns: str | list[str], with_time: bool = False) -> list[tuple]:
+    """(path, name, size), with ``with_time`` the modification time too, of the data files
+    matched by glob patterns; like Spark's own listing, names starting with '.' or '_' are
+    hidden. Metadata only."""
     out = []
     for pattern in [patterns] if isinstance(patterns, str) else patterns:
         fs, Path = _fs(spark, pattern)
@@ -59,5 +80,6 @@ def list_data_files(spark: SparkSession, patterns: str | list[str]) -> list[tupl
             for f in sts:
                 name = f.getPath().getName()
                 if f.isFile() and not name.startswith((".", "_")):
-                    out.append((f.getPath().toString(), name, int(f.getLen())))
+                    row = (f.getPath().toString(), name, int(f.getLen()))
+                    out.append((*row, int(f.getModificationTime())) if with_time else row)
     return sorted(set(out))

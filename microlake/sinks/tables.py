@@ -9,8 +9,9 @@ time travel are provided by retained snapshots plus the run manifest.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from microlake.sinks import files
@@ -27,14 +28,44 @@ def guard_partition(df: DataFrame, ano: int | list[int], col: str = PARTITION) -
     return df.withColumn(col, F.coalesce(check.cast("int"), F.col(col).cast("int")))
 
 
+class SchemaMismatch(ValueError):
+    """A write whose columns do not fit the stored table."""
+
+
+def write_problems(df: DataFrame, stored: DataFrame, merge_schema: bool = False, col: str = PARTITION) -> list[str]:
+    """Why ``df`` must not be written into the table ``stored``: a column of another type
+    always; a column too many or missing unless the schema may evolve."""
+    new = {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name != col}
+    old = {f.name: f.dataType.simpleString() for f in stored.schema.fields if f.name != col}
+    out = [f"{c}: {old[c]} stored, {new[c]} written" for c in sorted(new.keys() & old.keys()) if new[c] != old[c]]
+    if not merge_schema:
+        out += [f"{c}: not in the table" for c in sorted(new.keys() - old.keys())]
+        out += [f"{c}: missing" for c in sorted(old.keys() - new.keys())]
+    return out
+
+
 def replace_partition(df: DataFrame, path: str, ano: int | list[int], merge_schema: bool = False,
                       col: str = PARTITION) -> None:
-    """Replace only ``col = ano`` (first write creates the partitioned table)."""
-    w = (guard_partition(df, ano, col).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(col))
-    if merge_schema:
-        w = w.option("mergeSchema", "true")
-    w.parquet(path)
+    """Replace only ``col = ano`` (first write creates the partitioned table).
+
+    The written columns must be those of the stored table (types too); ``merge_schema``
+    lets columns be added or left out, never retyped. A partition for which ``df`` has no
+    row ends up empty: dynamic overwrite leaves such a folder alone, so one whose files the
+    write did not change is removed afterwards.
+    """
+    spark = df.sparkSession
+    years = ano if isinstance(ano, (list, tuple)) else [ano]
+    folders = {y: f"{path.rstrip('/')}/{col}={y}" for y in years}
+    if files.list_data_files(spark, f"{path.rstrip('/')}/{col}=*/*"):
+        problems = write_problems(df, read_table(spark, path, merge_schema=True), merge_schema, col)
+        if problems:
+            raise SchemaMismatch(f"{path}: {'; '.join(problems)}")
+    before = {y: files.list_data_files(spark, f"{p}/*") for y, p in folders.items()}
+    (guard_partition(df, ano, col).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path))
+    for y, p in folders.items():
+        if before[y] and files.list_data_files(spark, f"{p}/*") == before[y]:
+            files.delete(spark, p)
 
 
 def write_table(df: DataFrame, path: str, col: str = PARTITION, files_per_partition: int | None = None) -> None:
@@ -58,20 +89,29 @@ def read_partition(spark: SparkSession, path: str, ano: int, merge_schema: bool
             .parquet(f"{path.rstrip('/')}/{col}={ano}"))
 
 
+def row_hash(columns: list[str]) -> Column:
+    """64-bit hash of a row. A NULL leaves ``xxhash64`` as it was, so the place of every
+    NULL is hashed too: a value that moves between columns changes the hash."""
+    cols = [F.col(f"`{c}`") for c in sorted(columns)]
+    return F.xxhash64(*[x for c in cols for x in (c.isNull(), c)])
+
+
 def content_hash(df: DataFrame) -> Column:
     """Order-insensitive checksum of all rows (exact decimal sum of 64-bit row hashes)."""
-    return F.sum(F.xxhash64(*[F.col(c) for c in sorted(df.columns)]).cast("decimal(38,0)"))
+    return F.sum(row_hash(df.columns).cast("decimal(38,0)"))
 
 
 def partition_stats(df: DataFrame, by: str = PARTITION) -> DataFrame:
-    """Per partition: rows, files, bytes and checksum, from one scan of the table."""
-    with_meta = df.select("*", F.col("_metadata.file_path").alias("_f"),
-                          F.col("_metadata.file_size").alias("_s"))
-    data_cols = [c for c in df.columns]
-    return with_meta.groupBy(by).agg(
-        F.count(F.lit(1)).alias("qtd"),
-        F.count_distinct("_f").alias("arquivos"),
-        F.sum(F.xxhash64(*[F.col(c) for c in sorted(data_cols)]).cast("decimal(38,0)")).alias("hash"))
+    """Per partition: rows, files, bytes and checksum, from one scan of the table.
+
+    Rows are first summed per file (one row a file leaves each task), then per partition.
+    """
+    per_file = (df.select("*", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_size").alias("_s"))
+                .groupBy(by, "_f", "_s")
+                .agg(F.count(F.lit(1)).alias("_n"), F.sum(row_hash(df.columns).cast("decimal(38,0)")).alias("_h")))
+    return per_file.groupBy(by).agg(
+        F.sum("_n").alias("qtd"), F.count(F.lit(1)).alias("arquivos"), F.sum("_s").alias("bytes"),
+        F.sum("_h").cast("decimal(38,0)").alias("hash"))
 
 
 def partition_bytes(spark: SparkSession, path: str, ano: int, col: str = PARTITION) -> int:
@@ -83,19 +123,20 @@ def compact_partition(spark: SparkSession, path: str, ano: int, staging: str,
                       target_bytes: int = 128 * 1024 * 1024, col: str = PARTITION) -> int:
     """Rewrite one partition into ceil(bytes / target) files.
 
-    The partition is first written to a staging table (a table cannot be overwritten
-    while it is read in the same job), checked for equal row count and checksum, and
-    only then swapped in with a dynamic overwrite. Returns the new file count.
+    The partition is written once, to a staging table; row count and checksum of both
+    copies must agree; then the staged files are moved into the partition's place and the
+    staging folder is removed. Returns the new file count.
     """
     n = max(1, math.ceil(partition_bytes(spark, path, ano, col) / target_bytes))
-    part = spark.read.parquet(path).filter(F.col(col) == ano)
+    part = read_partition(spark, path, ano, col=col)
     part.repartition(n).write.mode("overwrite").partitionBy(col).parquet(staging)
     staged = spark.read.parquet(staging)
     a = part.agg(F.count(F.lit(1)), content_hash(part)).first()
     b = staged.agg(F.count(F.lit(1)), content_hash(staged)).first()
     if tuple(a) != tuple(b):
         raise AssertionError(f"compaction changed partition {ano}: {a} vs {b}")
-    replace_partition(staged.repartition(n), path, ano, col=col)
+    files.replace_folder(spark, f"{staging.rstrip('/')}/{col}={ano}", f"{path.rstrip('/')}/{col}={ano}")
+    files.delete(spark, staging)
     return n
 
 
@@ -193,13 +234,16 @@ def has_rows(df: DataFrame) -> bool:
 
 
 def publish_year(spark: SparkSession, silver: DataFrame, bronze: DataFrame, path: str, ano: int,
-                 staging: str, col: str = PARTITION) -> int:
+                 staging: str, col: str = PARTITION, archive: str | None = None,
+                 snapshot_id: str | None = None) -> int:
     """Gate before publish, in one pass over silver.
 
     The year's silver is written to a staging table while an ``Observation`` collects
     the gate metrics in that same job (no second scan); the gate compares them with
-    the bronze count, and only a passing year replaces the published partition. A
-    failing gate raises and leaves the published table as it was.
+    the bronze count, and only a passing year is published: its staged files are moved
+    into place, nothing is written twice. With ``archive`` the files of the year as it was
+    are moved there first, as snapshot ``snapshot_id``. A failing gate raises and leaves
+    the published table as it was.
     """
     from pyspark.sql import Observation
 
@@ -213,12 +257,22 @@ def publish_year(spark: SparkSession, silver: DataFrame, bronze: DataFrame, path
     bronze_counts = (bronze.filter(F.col(col) == ano).groupBy(col)
                      .agg(F.count(F.lit(1)).alias("qtd_bronze")))
     quality.enforce(quality.gate_rules(metrics, bronze_counts, col))
-    replace_partition(spark.read.parquet(staging).filter(F.col(col) == ano), path, ano, col=col)
+    folder = f"{path.rstrip('/')}/{col}={ano}"
+    if files.list_data_files(spark, f"{path.rstrip('/')}/{col}=*/*"):
+        problems = write_problems(spark.read.parquet(staging), read_table(spark, path, merge_schema=True), False, col)
+        if problems:
+            raise SchemaMismatch(f"{path}: {'; '.join(problems)}")
+    if archive and snapshot_id and files.list_data_files(spark, f"{folder}/*"):
+        files.replace_folder(spark, folder, f"{archive.rstrip('/')}/{col}={ano}/snapshot_id={snapshot_id}")
+    files.replace_folder(spark, f"{staging.rstrip('/')}/{col}={ano}", folder)
+    files.delete(spark, staging)
     return int(m["qtd_silver"])
 
 
-def write_gold(spark: SparkSession, silver: DataFrame, root: str, files_per_mart: int = 4) -> dict[str, str]:
-    """Build and write the five marts with two scans of silver instead of five.
+def write_gold(spark: SparkSession, silver: DataFrame, root: str, files_per_mart: int = 4,
+               years: list[int] | None = None) -> dict[str, str]:
+    """Build and write the five marts with two scans of silver instead of five; with
+    ``years`` only those years are read (partition filter) and replaced.
 
     The (ano, cod_uf) facts and the finer (ano, cod_uf, division, schooling) facts are
     written first under ``root/_fatos_*`` (this also cuts the lineage: a lost executor
@@ -227,12 +281,77 @@ def write_gold(spark: SparkSession, silver: DataFrame, root: str, files_per_mart
     """
     from microlake.operators import marts
     facts_path, fine_path = f"{root}/_fatos_uf_ano", f"{root}/_fatos_finos"
-    write_table(marts.state_year_facts(silver), facts_path)
-    write_table(marts.fine_facts(marts.active(silver)), fine_path)
-    out = {}
-    built = marts.marts_from_facts(read_table(spark, facts_path), read_table(spark, fine_path), spark)
-    for name, df in built.items():
-        path = f"{root}/{name}"
-        write_table(df, path, files_per_partition=files_per_mart)
-        out[name] = path
+    def write(df: DataFrame, path: str) -> None:
+        if years is None:
+            write_table(df, path, files_per_partition=files_per_mart)
+        else:
+            replace_partition(df.coalesce(files_per_mart), path, years)
+
+    def loaded(path: str) -> DataFrame:
+        t = read_table(spark, path)
+        return t if years is None else t.filter(F.col(PARTITION).isin(years))
+
+    rows = silver if years is None else silver.filter(F.col(PARTITION).isin(years))
+    # clustered by year: a file or two per year instead of one per shuffle task
+    write(marts.state_year_facts(rows).repartition(PARTITION), facts_path)
+    write(marts.fine_facts(marts.active(rows)).repartition(PARTITION), fine_path)
+    built = marts.marts_from_facts(loaded(facts_path), loaded(fine_path), spark)
+    out = {name: f"{root}/{name}" for name in built}
+    with ThreadPoolExecutor(max_workers=len(built)) as pool:        # five small writes, submitted together
+        list(pool.map(lambda name: write(built[name], out[name]), built))
     return out
+
+
+# --- history and time travel ------------------------------------------------------------
+
+HISTORY = "tabela string, ano int, operacao string, snapshot_id string, ts timestamp_ntz, linhas long"
+
+
+def log_write(spark: SparkSession, history: str, tabela: str, ano: int, operacao: str, snapshot_id: str,
+              ts: str, linhas: int) -> None:
+    """Append one operation to the history table: what was written when, and the id under
+    which the archive keeps what the year held before."""
+    row = spark.createDataFrame([(tabela, ano, operacao, snapshot_id, ts, linhas)],
+                                HISTORY.replace("timestamp_ntz", "string")).withColumn("ts", F.to_timestamp_ntz("ts"))
+    row.coalesce(1).write.mode("append").parquet(history)
+
+
+def table_history(spark: SparkSession, history: str) -> DataFrame:
+    """The history with a version per table, counted from 0 in order of time (one row per load)."""
+    order = Window.partitionBy("tabela").orderBy("ts", "snapshot_id", "ano")
+    return spark.read.schema(HISTORY).parquet(history).withColumn("versao", (F.row_number().over(order) - 1).cast("long"))
+
+
+def read_as_of(spark: SparkSession, path: str, archive: str, history: str, tabela: str, ts: str,
+               col: str = PARTITION) -> DataFrame:
+    """The table as it was at ``ts``.
+
+    The archive keeps, under a write's id, what a year held before that write. So a year's
+    state at ``ts`` is what the first later write archived, nothing if that write was the
+    year's first, and the current rows if no write came later. Only folders are chosen here.
+    """
+    writes = [r for r in table_history(spark, history).where(F.col("tabela") == tabela).orderBy("versao").collect()]
+    moment = spark.sql("SELECT CAST(? AS TIMESTAMP_NTZ)", args=[ts]).first()[0]
+    now, then = [], []
+    for ano in sorted({r["ano"] for r in writes}):
+        later = [r for r in writes if r["ano"] == ano and r["ts"] > moment]
+        if not later:
+            now.append(f"{path.rstrip('/')}/{col}={ano}")
+        else:
+            then.append(f"{archive.rstrip('/')}/{col}={ano}/snapshot_id={later[0]['snapshot_id']}")
+    parts = [spark.read.option("basePath", base).option("mergeSchema", True).parquet(*found)
+             for base, folders in ((path, now), (archive, then))
+             if (found := [f for f in folders if files.list_data_files(spark, f + "/*")])]
+    if not parts:
+        return read_table(spark, path).filter(F.lit(False))
+    parts = [p.drop("snapshot_id") for p in parts]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
+def expire_snapshots(spark: SparkSession, archive: str, expired: list[str], col: str = PARTITION) -> int:
+    """Remove the folders of snapshots ``expired`` from the archive; returns how many were there."""
+    gone = 0
+    for folder in files.list_folders(spark, f"{archive.rstrip('/')}/{col}=*/snapshot_id=*"):
+        if folder.rsplit("snapshot_id=", 1)[1] in set(expired):
+            gone += files.delete(spark, folder)
+    return gone

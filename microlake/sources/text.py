@@ -1,8 +1,8 @@
 """Delimited latin-1 text -> all-string bronze, with layouts that drift between files.
 
 Reading plan for a year folder:
-1. the first line of every file is read (one small job for small inputs, one tiny
-   header job per file for large ones — never a pass over all the data);
+1. files are listed and the first line of every file is read (a tiny header job per
+   file, several at a time — never a pass over all the data);
 2. files are grouped by (separator, normalised header) — files with the same
    separator but another column order must not be read together, or CSV would
    match columns by position;
@@ -15,11 +15,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from microlake import config
-from microlake.functions.names import canonicalize, normalize_columns, normalize_name_expr
+from microlake.functions.names import canonicalize, normalize_name_expr, normalized_names
 
 LATIN1 = "ISO-8859-1"
 LINEAGE = "arquivo_origem"
@@ -55,18 +55,9 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
                     F.col("_metadata.file_block_start").alias("_block")))
 
 
-# below this many bytes one Spark job scanning the files is the cheapest header read
-SMALL_SCAN_BYTES = 256 * 1024 * 1024
 HEADER_THREADS = 16
-
-
-def _headers_by_scan(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """One job over all lines; the first line of each file's first split wins. Reads
-    every byte, so it is used only for small inputs."""
-    lines = read_lines(spark, paths).filter(F.col("_block") == 0)
-    return (lines.withColumn("_id", F.monotonically_increasing_id())
-            .groupBy("caminho", "arquivo")
-            .agg(F.min_by("line", "_id").alias("header")))
+_HEADERS = "caminho string, arquivo string, header string"
+_HEADER_CACHE = _HEADERS + ", tamanho long, modificado long"
 
 
 def first_line(spark: SparkSession, path: str) -> str:
@@ -77,30 +68,36 @@ def first_line(spark: SparkSession, path: str) -> str:
     return cols[0] if cols else ""
 
 
-def _headers_by_file(spark: SparkSession, files: list[tuple[str, str, int]]) -> DataFrame:
+def headers(spark: SparkSession, paths: str | list[str], cache: str | None = None) -> DataFrame:
+    """First line of each file: (caminho, arquivo, header), '' for a file without a byte.
+
+    Files are listed first (metadata), so every landed file has a row; then each file's
+    first line is read by a tiny job, several at a time: the cost is per file, not per
+    byte, at any input size. ``cache``: a table that keeps headers by path, size and
+    modification time; only files it does not know are opened, and they are added.
+    """
     from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=min(HEADER_THREADS, max(1, len(files)))) as pool:
-        heads = list(pool.map(lambda f: first_line(spark, f[0]), files))
-    rows = [(p, n, h) for (p, n, _), h in zip(files, heads)]
-    return spark.createDataFrame(rows, "caminho string, arquivo string, header string")
 
+    from microlake.sinks import files
+    found = files.list_data_files(spark, paths, with_time=True)
+    known: dict = {}
+    if cache and files.exists(spark, cache):
+        known = {(r["caminho"], r["tamanho"], r["modificado"]): r["header"]
+                 for r in spark.read.schema(_HEADER_CACHE).parquet(cache).collect()}
+    new = [f for f in found if (f[0], f[2], f[3]) not in known]
+    with ThreadPoolExecutor(max_workers=min(HEADER_THREADS, max(1, len(new)))) as pool:
+        heads = list(pool.map(lambda f: first_line(spark, f[0]) if f[2] else "", new))
+    known.update({(f[0], f[2], f[3]): h for f, h in zip(new, heads)})
+    if cache and new:
+        spark.createDataFrame([(f[0], f[1], h, f[2], f[3]) for f, h in zip(new, heads)], _HEADER_CACHE) \
+            .coalesce(1).write.mode("append").parquet(cache)
+    return spark.createDataFrame([(f[0], f[1], known[(f[0], f[2], f[3])]) for f in found], _HEADERS)
 
-def headers(spark: SparkSession, paths: str | list[str],
-            small_scan_bytes: int = SMALL_SCAN_BYTES) -> DataFrame:
-    """First line of each file: (caminho, arquivo, header).
 
-    Files are listed first (metadata). Small inputs are scanned by one job; large
-    inputs never are: each file's first line is read by a tiny header job, run
-    concurrently, so the cost is per file, not per byte (a whole-data scan would double
-    the I/O of the ingestion at scale).
-    """
-    from microlake.sinks.files import list_data_files
-    files = list_data_files(spark, paths)
-    if not files:
-        return spark.createDataFrame([], "caminho string, arquivo string, header string")
-    if sum(f[2] for f in files) <= small_scan_bytes:
-        return _headers_by_scan(spark, [f[0] for f in files])
-    return _headers_by_file(spark, files)
+def split_header(header: str, sep: str) -> list[str]:
+    """Column names of a header line; a quoted name may hold the separator."""
+    import csv
+    return next(csv.reader([header], delimiter=sep), [])
 
 
 def _count(s, ch: str):
@@ -108,108 +105,106 @@ def _count(s, ch: str):
 
 
 def separator_of(header) -> "F.Column":
-    """';' when the header has at least as many ';' as ',' else ','."""
+    """';' when the header has at least as many ';' as ',' outside quotes, else ','."""
+    header = F.regexp_replace(header, '"[^"]*"', "")
     return F.when(_count(header, ";") >= _count(header, ","), F.lit(";")).otherwise(F.lit(","))
 
 
 def layouts(spark: SparkSession, paths: str | list[str],
-            needed: list[str] | None = None) -> DataFrame:
+            needed: list[str] | None = None, cache: str | None = None) -> DataFrame:
     """Per file: separator, normalised + canonical column names, column count and the
-    needed columns the layout lacks."""
+    needed columns the layout lacks; a file without a byte has no column and lacks all."""
     needed = config.NEEDED_COLUMNS if needed is None else needed
-    h = headers(spark, paths).withColumn("sep", separator_of(F.col("header")))
-    raw_cols = F.split(F.col("header"), F.when(F.col("sep") == ";", F.lit(";")).otherwise(F.lit(",")))
+    rows = headers(spark, paths, cache).withColumn("sep", separator_of(F.col("header"))).collect()   # a short row per file
+    h = spark.createDataFrame([(r["caminho"], r["arquivo"], r["header"], r["sep"], split_header(r["header"], r["sep"]))
+                               for r in rows], _HEADERS + ", sep string, campos array<string>")
     renames = F.create_map(*[F.lit(x) for kv in sorted(config.CANONICAL_NAMES.items()) for x in kv])
-    norm = F.transform(raw_cols, lambda c: normalize_name_expr(F.regexp_replace(c, '"', "")))
+    norm = F.transform("campos", normalize_name_expr)
     canon = F.transform(norm, lambda c: F.coalesce(F.try_element_at(renames, c), c))
     needed_arr = F.array(*[F.lit(c) for c in needed])
     return (h.withColumn("colunas_normalizadas", norm)
             .withColumn("colunas", canon)
             .withColumn("qtd_colunas", F.size(canon))
-            .withColumn("faltando", F.array_sort(F.array_except(needed_arr, canon))))
+            .withColumn("faltando", F.array_sort(F.array_except(needed_arr, canon))).drop("campos"))
 
 
 def folder_year() -> "F.Column":
     """Year taken from the name of the folder that holds the file (``.../2022/x.txt``)."""
-    return F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4})/[^/]+$", 1).cast("int")
+    return F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4})/[^/]+$", 1).try_cast("int")
 
 
 def prepare_bronze(df: DataFrame, ano: int | None) -> DataFrame:
-    """Lineage first (the hidden ``_metadata`` column only exists on the scan), then
-    normalised and canonical names and the year: a constant, or (``None``) the year
-    folder of each file."""
-    if LINEAGE not in df.columns:
-        df = df.withColumn(LINEAGE, F.col("_metadata.file_name"))
+    """Normalised and canonical names, lineage, and the year: a constant, or (``None``)
+    the year folder of each file. A source column named like the year or the lineage
+    gives way to them. One projection, as ``_metadata`` only exists on the scan."""
+    lineage = F.col(LINEAGE) if LINEAGE in df.columns else F.col("_metadata.file_name")
     year = folder_year() if ano is None else F.lit(ano).cast("int")
-    df = df.withColumn("__ano", year)
-    return canonicalize(normalize_columns(df.withColumnRenamed("__ano", "ano_origem"))) \
-        .withColumnRenamed("ano_origem", "ano")
+    names = normalized_names(df.columns)
+    kept = [F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names) if n not in ("ano", LINEAGE)]
+    return canonicalize(df.select(*kept, lineage.alias(LINEAGE), year.alias("ano")))
 
 
 def file_columns(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(ano, arquivo_origem, colunas): canonical columns of every file, keyed like the
     bronze lineage (year folder + file name)."""
     lay = layouts(spark, paths)
-    return lay.select(F.regexp_extract("caminho", r"/(\d{4})/[^/]+$", 1).cast("int").alias("ano"),
+    return lay.select(F.regexp_extract("caminho", r"/(\d{4})/[^/]+$", 1).try_cast("int").alias("ano"),
                       F.col("arquivo").alias(LINEAGE), "colunas")
 
 
-def read_layout_groups(spark: SparkSession, groups: dict[tuple[str, tuple], list[str]],
-                       ano: int | None) -> DataFrame:
-    parts = [prepare_bronze(read_delimited(spark, sorted(files), sep), ano)
-             for (sep, _), files in sorted(groups.items())]
-    if not parts:
-        raise FileNotFoundError("no input files")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
-def layout_rows(spark: SparkSession, paths: str | list[str]) -> list:
+def layout_rows(spark: SparkSession, paths: str | list[str], cache: str | None = None) -> list:
     """The per-file layout rows, collected once (header metadata: one short row per
     file), to group the reads and to feed per-file column presence."""
-    return layouts(spark, paths).select("caminho", "arquivo", "sep", "colunas_normalizadas",
-                                        "colunas").collect()
+    return layouts(spark, paths, cache=cache).select("caminho", "arquivo", "sep", "colunas_normalizadas",
+                                                     "colunas").collect()
 
 
 def groups_of(rows: list) -> dict:
-    """(separator, normalised header) -> file paths."""
+    """(separator, normalised header) -> file paths; files without a byte hold no row to read."""
     groups: dict = {}
     for r in rows:
-        groups.setdefault((r["sep"], tuple(r["colunas_normalizadas"])), []).append(r["caminho"])
+        if r["colunas_normalizadas"]:
+            groups.setdefault((r["sep"], tuple(r["colunas_normalizadas"])), []).append(r["caminho"])
     return groups
 
 
-def file_columns_of(spark: SparkSession, rows: list) -> DataFrame:
-    """(ano, arquivo_origem, colunas) from collected layout rows."""
-    import re as _re
-    data = []
-    for r in rows:
-        m = _re.search(r"/(\d{4})/[^/]+$", r["caminho"])
-        data.append((int(m.group(1)) if m else None, r["arquivo"], list(r["colunas"])))
-    return spark.createDataFrame(data, f"ano int, {LINEAGE} string, colunas array<string>")
+def layout_frames(spark: SparkSession, rows: list, ano: int | None) -> list[DataFrame]:
+    """Prepared bronze of each layout: one scan per group of files."""
+    parts = [prepare_bronze(read_delimited(spark, sorted(files), sep), ano)
+             for (sep, _), files in sorted(groups_of(rows).items())]
+    if not parts:
+        raise FileNotFoundError("no input files")
+    return parts
 
 
-def layout_groups(spark: SparkSession, paths: str | list[str]) -> dict:
-    """(separator, normalised header) -> file paths."""
-    return groups_of(layout_rows(spark, paths))
+def union_by_name(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_year(spark: SparkSession, folder: str, ano: int, rows: list | None = None) -> DataFrame:
-    """Every file of a year folder (any extension; names starting with '.' or '_' are
-    hidden for Spark), grouped by layout, prepared and united by name. ``rows``: layout
-    rows already collected for the folder."""
-    groups = groups_of(rows) if rows is not None else layout_groups(spark, folder.rstrip("/") + "/*")
-    if not groups:
-        raise FileNotFoundError(f"no files in {folder}")
-    return read_layout_groups(spark, groups, ano)
+    """Every file of a year folder (any extension), grouped by layout, prepared and united
+    by name. Spark passes over names that start with '.' or '_'; a landed '_' name is an
+    error, not a silent loss. ``rows``: layout rows already collected for the folder."""
+    pattern = folder.rstrip("/") + "/*"
+    return union_by_name(layout_frames(spark, rows if rows is not None else landed_rows(spark, pattern), ano))
+
+
+def landed_rows(spark: SparkSession, pattern: str, cache: str | None = None) -> list:
+    """Layout rows of all files that match; raises if there is none, or one that Spark would not read."""
+    from microlake.sinks import files
+    hidden = files.hidden_files(spark, pattern)
+    if hidden:
+        raise ValueError(f"file names must not start with '_': {hidden}")
+    rows = layout_rows(spark, pattern, cache)
+    if not rows:
+        raise FileNotFoundError(f"no files match {pattern}")
+    return rows
 
 
 def read_landing(spark: SparkSession, root: str) -> DataFrame:
     """All year folders under ``root`` at once: one scan per layout across years; the
     year of each row comes from its folder."""
-    groups = layout_groups(spark, root.rstrip("/") + "/*/*")
-    if not groups:
-        raise FileNotFoundError(f"no files under {root}")
-    return read_layout_groups(spark, groups, None)
+    return union_by_name(layout_frames(spark, landed_rows(spark, root.rstrip("/") + "/*/*"), None))
 
 
 def rows_per_file(bronze: DataFrame) -> DataFrame:
@@ -217,36 +212,60 @@ def rows_per_file(bronze: DataFrame) -> DataFrame:
 
 
 def line_counts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Data lines per file (all lines minus the header), counted by Spark; keyed by
-    (year folder, file name)."""
-    lines = read_lines(spark, paths).withColumn(
-        "ano", F.regexp_extract("caminho", r"/(\d{4})/[^/]+$", 1).cast("int"))
-    return (lines.groupBy("ano", "arquivo")
+    """Data lines per file (all lines minus the header), keyed by (year folder, file name).
+
+    Every line counts, blank ones too: line ends are the same bytes in any one-byte charset.
+    """
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("caminho"),
+                                          F.col("_metadata.file_name").alias("arquivo"))
+    return (lines.groupBy(F.regexp_extract("caminho", r"/(\d{4})/[^/]+$", 1).try_cast("int").alias("ano"), "arquivo")
             .agg((F.count(F.lit(1)) - 1).alias("linhas_dados")))
 
 
 def reconcile(expected: DataFrame, loaded: DataFrame, key: str,
               expected_col: str, loaded_col: str) -> DataFrame:
-    """Full outer join of two per-file counts; ``confere`` is a null-safe equality, so
-    a file missing on either side is a difference too."""
+    """Full outer join of two per-file counts. A file missing on one side counts 0 there:
+    a difference, unless the other side has no row either (a header alone)."""
     e = expected.withColumnRenamed(expected_col, "esperado")
     lo = loaded.withColumnRenamed(loaded_col, "carregado")
     return (e.join(lo, key, "full")
-            .withColumn("confere", F.col("esperado").eqNullSafe(F.col("carregado"))))
+            .withColumn("esperado", F.coalesce("esperado", F.lit(0)))
+            .withColumn("carregado", F.coalesce("carregado", F.lit(0)))
+            .withColumn("confere", F.col("esperado") == F.col("carregado")))
+
+
+def line_hash(line) -> "F.Column":
+    """First 60 bits of the md5 of a line, as a number: any SQL engine can compute it."""
+    return F.conv(F.substring(F.md5(line.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
 
 
 def fingerprints(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Per file: size, modification time, line count and an order-insensitive content
-    checksum (sum of 64-bit line hashes, as an exact decimal so it cannot overflow).
+    """Per file (year folder and name): size, modification time, lines, ``checksum`` of the
+    lines in any order, and ``sequencia``, a checksum that lines in another order change.
 
-    Computed by a distributed scan, so multi-GB files are split across tasks; a
-    ``binaryFile`` + sha2 digest would load each file into one row (2 GB limit).
+    A distributed scan: multi-GB files are split across tasks (``binaryFile`` + sha2 would
+    load each into one row). Lines are numbered within each split, and the splits of a file
+    start where those before them end.
     """
-    lines = (spark.read.schema("line string").option("header", False).option("sep", _NO_SEP)
-             .option("quote", "").option("encoding", LATIN1).csv(paths)
-             .select("line", F.col("_metadata.file_name").alias("arquivo"),
-                     F.col("_metadata.file_size").alias("tamanho"),
-                     F.col("_metadata.file_modification_time").alias("modificado")))
-    return (lines.groupBy("arquivo", "tamanho", "modificado")
-            .agg(F.count(F.lit(1)).alias("linhas"),
-                 F.sum(F.xxhash64("line").cast("decimal(38,0)")).alias("checksum")))
+    lines = (read_lines(spark, paths)
+             .withColumn("_at", F.monotonically_increasing_id()))
+    meta = (spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("caminho"), F.col("_metadata.file_size").alias("tamanho"),
+        F.col("_metadata.file_modification_time").alias("modificado"))
+        .groupBy("caminho").agg(F.max("tamanho").alias("tamanho"), F.max("modificado").alias("modificado")))
+    block = Window.partitionBy("caminho", "_block")
+    numbered = lines.withColumn("_n", F.row_number().over(block.orderBy("_at")))
+    h = line_hash(F.col("line"))
+    per_block = numbered.groupBy("caminho", "arquivo", "_block").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(h).alias("soma"), F.sum(h * F.col("_n").cast("decimal(12,0)")).alias("pesada"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("caminho").orderBy("_block")
+                                        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    modulus = F.lit(2 ** 61 - 1).cast("decimal(38,0)")
+    moved = per_block.withColumn("antes", before.cast("decimal(12,0)")).withColumn(
+        "pesada", F.pmod(F.pmod(F.col("pesada"), modulus) + F.pmod(F.pmod(F.col("soma"), modulus) * F.col("antes"), modulus), modulus))
+    return (moved.groupBy("caminho", "arquivo")
+            .agg(F.sum("n").alias("linhas"), F.sum("soma").cast("decimal(38,0)").alias("checksum"),
+                 F.pmod(F.sum("pesada"), modulus).cast("decimal(38,0)").alias("sequencia"))
+            .join(meta, "caminho")
+            .select(F.regexp_extract("caminho", r"/(\d{4})/[^/]+$", 1).try_cast("int").alias("ano"), "arquivo",
+                    "tamanho", "modificado", "linhas", "checksum", "sequencia"))

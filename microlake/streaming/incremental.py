@@ -1,87 +1,51 @@
 """Incremental bronze load with Structured Streaming.
 
-Each landed text file is processed exactly once: the file source remembers processed
-files in its checkpoint, ``trigger(availableNow=True)`` drains whatever is new and
-stops, and the parquet sink commits atomically per batch (a partially written batch
-is never visible, a restarted run resumes from the checkpoint). The checkpoint must
-live in the shared folder (``spark.checkpoint.dir``), never on a local disk.
+A stream lists landed files (names only: ``binaryFile`` without its content), so each file
+is handed over exactly once: the file source remembers processed files in its checkpoint,
+and ``trigger(availableNow=True)`` drains whatever is new and stops. The files of a batch
+are read with the batch reader, by layout - extensions say nothing - and written to a folder
+of that batch, which a repeated batch overwrites: no row twice, none lost. The checkpoint
+must live in the shared folder (``spark.checkpoint.dir``), never on a local disk.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
 
-from microlake.sources.text import LATIN1, layouts, prepare_bronze
+from microlake.sources import text
 
+BATCH = "lote"
+_LISTING = "path string, modificationTime timestamp, length long, content binary"
 
-def text_stream(spark: SparkSession, glob: str, header_columns: list[str], sep: str,
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    """All-string streaming read of one layout (the file source needs a fixed schema)."""
-    schema = StructType([StructField(c, StringType(), True) for c in header_columns])
-    r = (spark.readStream.schema(schema)
-         .option("header", True).option("sep", sep).option("encoding", LATIN1)
-         .option("quote", '"').option("escape", '"'))
+
+def listing_stream(spark: SparkSession, glob: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """(path) of landed files, as a stream; no file is opened."""
+    r = spark.readStream.format("binaryFile").schema(_LISTING)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.csv(glob)
-
+    return r.load(glob).select("path")
 
-def load_new_files(spark: SparkSession, glob: str, header_columns: list[str], sep: str,
-                   target: str, checkpoint: str, ano: int | None = None) -> StreamingQuery:
-    """Append the bronze rows of files not seen before to ``target`` (partitioned by
-    ``ano``) and wait until the available files are done."""
-    bronze = prepare_bronze(text_stream(spark, glob, header_columns, sep), ano)
-    q = (bronze.writeStream.format("parquet")
-         .option("path", target)
-         .option("checkpointLocation", checkpoint)
-         .partitionBy("ano")
-         .outputMode("append")
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
-    return q
 
+def load_landing_incrementally(spark: SparkSession, root: str, target: str, checkpoint: str,
+                               max_files_per_trigger: int | None = None) -> str:
+    """Append the bronze rows of files under ``root/<year>/`` not seen before to ``target``.
 
-def layout_streams(spark: SparkSession, root: str) -> list[tuple[str, list[str], str]]:
-    """(glob, raw header columns, separator) per layout found under ``root/<year>/``.
-
-    A layout is addressed by file extension, so every extension must map to a single
-    layout; otherwise a ValueError is raised (one stream cannot parse two layouts).
+    Any extension or none, and any number of layouts, also within one batch. Each new
+    file's header is read once. Returns ``target``.
     """
-    rows = layouts(spark, root.rstrip("/") + "/*/*").select("arquivo", "sep", "header").collect()
-    by_ext: dict[str, tuple[str, str]] = {}
-    for r in rows:
-        ext = r["arquivo"].rsplit(".", 1)[-1] if "." in r["arquivo"] else ""
-        key = (r["sep"], r["header"])
-        if by_ext.setdefault(ext, key) != key:
-            raise ValueError(f"extension .{ext} holds more than one layout")
-    out = []
-    for ext, (sep, header) in sorted(by_ext.items()):
-        cols = [c.strip().strip('"') for c in header.split(sep)]
-        out.append((f"{root.rstrip('/')}/*/*.{ext}", cols, sep))
-    return out
-
-
-def load_landing_incrementally(spark: SparkSession, root: str, target: str,
-                               checkpoint_root: str) -> list[str]:
-    """One availableNow stream per layout, each with its own sink folder and checkpoint
-    (two streams must never share a file-sink folder: the sink's commit log is keyed
-    by batch id and the second stream's batches would be taken as already written)."""
-    sinks = []
-    for glob, cols, sep in layout_streams(spark, root):
-        name = glob.rsplit(".", 1)[-1].lower()
-        sink = f"{target.rstrip('/')}/layout={name}"
-        load_new_files(spark, glob, cols, sep, sink, f"{checkpoint_root}/layout={name}")
-        sinks.append(sink)
-    return sinks
-
-
-def read_sinks(spark: SparkSession, sinks: list[str]) -> DataFrame:
-    """Committed rows of every sink folder (each read through its own commit log, so
-    files of an interrupted batch are never seen), united by name."""
-    parts = [spark.read.parquet(p) for p in sinks]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    def batch(listing: DataFrame, number: int) -> None:
+        paths = [r["path"] for r in listing.collect()]          # a short row per new file
+        rows = text.layout_rows(listing.sparkSession, paths) if paths else []
+        if text.groups_of(rows):
+            (text.union_by_name(text.layout_frames(listing.sparkSession, rows, None))
+             .write.mode("overwrite").partitionBy("ano").parquet(f"{target.rstrip('/')}/{BATCH}={number}"))
+
+    stream = listing_stream(spark, root.rstrip("/") + "/*/*", max_files_per_trigger)
+    query = (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return target
+
+
+def read_sink(spark: SparkSession, target: str) -> DataFrame:
+    """Rows of all batches, united by name."""
+    return spark.read.option("mergeSchema", True).parquet(target).drop(BATCH)

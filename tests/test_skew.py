@@ -82,3 +82,18 @@ def test_ranks_at_scale_equal_window_ranks_on_a_hot_group(spark):
 def multiset_difference_cols(a, b):
     from microlake.operators.compare import multiset_difference
     return multiset_difference(a.select(*b.columns), b).first()
+
+
+def test_ranks_do_not_hang_on_exchange_reuse(spark):
+    """Range bounds are sampled: both branches must read one written cut."""
+    from microlake.operators import windows
+    rows = spark.range(400_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'a' WHEN id % 7 = 0 THEN NULL ELSE 'b' END AS g",
+                                           "CAST(xxhash64(id) % 5000 AS INT) AS v")
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = windows.ranks_at_scale(rows, ["g"], [("v", True)], partitions=16).distinct()
+        want = windows.rank_variants(rows, ["g"], [windows.F.col("v").desc()]).select("g", "v", "rank", "dense_rank").distinct()
+        assert got.select(*want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)

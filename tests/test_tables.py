@@ -61,3 +61,51 @@ def test_upsert(spark):
     ch = spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string")
     out = {r["k"]: r["v"] for r in tables.upsert_by_key(base, ch, ["k"]).collect()}
     assert out == {1: "a", 2: "B", 3: "c"}
+
+
+def test_empty_replacement_clears_the_year(spark, tmp_dir):
+    path = tmp_dir + "/t"
+    tables.replace_partition(_ids(spark, 5, 2022).unionByName(_ids(spark, 4, 2023)), path, [2022, 2023])
+    tables.replace_partition(_ids(spark, 3, 2022).filter("false"), path, 2022)
+    assert {r["ano"]: r["count"] for r in tables.read_table(spark, path).groupBy("ano").count().collect()} == {2023: 4}
+    tables.replace_partition(_ids(spark, 2, 2023), path, [2022, 2023])
+    assert tables.read_table(spark, path).count() == 2
+
+
+def test_writes_must_fit_the_table(spark, tmp_dir):
+    path = tmp_dir + "/t"
+    tables.replace_partition(_ids(spark, 5, 2022).withColumn("v", F.lit("a")), path, 2022)
+    bad = {"extra": _ids(spark, 5, 2022).withColumn("v", F.lit("a")).withColumn("w", F.lit(1)),
+           "missing": _ids(spark, 5, 2022),
+           "retyped": _ids(spark, 5, 2022).withColumn("v", F.lit("a")).withColumn("id", F.col("id").cast("string"))}
+    for name, df in bad.items():
+        with pytest.raises(tables.SchemaMismatch):
+            tables.replace_partition(df, path, 2022)
+        if name == "retyped":
+            with pytest.raises(tables.SchemaMismatch):
+                tables.replace_partition(df, path, 2023, merge_schema=True)
+        else:
+            tables.replace_partition(df.withColumn("ano", F.lit(2030)), path, 2030, merge_schema=True)
+    assert tables.read_table(spark, path, merge_schema=True).filter("ano = 2022").count() == 5
+
+
+def test_checksum_sees_where_a_null_stands(spark):
+    a = spark.createDataFrame([(None, 5)], "x int, y int")
+    b = spark.createDataFrame([(5, None)], "x int, y int")
+    assert a.agg(tables.content_hash(a)).first() != b.agg(tables.content_hash(b)).first()
+
+
+def test_publish_archives_and_travels_in_time(spark, tmp_dir):
+    from microlake.operators.silver import to_silver
+    from microlake.queries import inputs
+    raw = inputs.raw(spark, "/root/testdata/sf0.001").filter(F.col("ano") == 1997)
+    silver, arch, hist = tmp_dir + "/silver", tmp_dir + "/arch", tmp_dir + "/hist"
+    part = raw.filter(F.pmod(F.xxhash64(*raw.columns), F.lit(2)) == 0)
+    for k, rows in enumerate((raw, part)):
+        n = tables.publish_year(spark, to_silver(rows), rows, silver, 1997, f"{tmp_dir}/stage{k}", archive=arch, snapshot_id=f"r{k}")
+        tables.log_write(spark, hist, "silver", 1997, "replace", f"r{k}", f"2024-01-0{k + 1} 00:00:00", n)
+        assert not tables.table_exists(spark, f"{tmp_dir}/stage{k}")
+    count = lambda ts: tables.read_as_of(spark, silver, arch, hist, "silver", ts).count()
+    assert (count("2024-01-01 12:00:00"), count("2024-01-02 12:00:00"), count("2023-01-01 00:00:00")) == (raw.count(), part.count(), 0)
+    assert [r["versao"] for r in tables.table_history(spark, hist).orderBy("versao").collect()] == [0, 1]
+    assert tables.expire_snapshots(spark, arch, ["r1"]) == 1 and count("2024-01-01 12:00:00") == 0
