@@ -197,6 +197,21 @@ SELECT substring(CAST((11 + n_nationkey) * 100000 + n_nationkey AS VARCHAR), 1,
   n_name AS nome_municipio, 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS uf, r_name AS regiao
 FROM nation JOIN region ON n_regionkey = r_regionkey""",
 }
+
+
+def _landed_lines():
+    """Every line of the landed files, headers too, as the CSV writer puts it."""
+    old = " || ';' || ".join(f"""CASE WHEN {c} = '' THEN '""' ELSE {c} END""" for c in landing.OLD_HEADERS)
+    new = " || ',' || ".join(f"""'"' || {c} || '"'""" if c != "ind_trab_intermitente" else """'"0"'""" for c in landing.NEW_HEADERS)
+    old_head = ";".join(landing.OLD_HEADERS.values())
+    new_head = ",".join(f'"{h}"' for h in landing.NEW_HEADERS.values())
+    return (f"lines AS (SELECT ano, {_FILE} AS arquivo, CASE WHEN {_DIGIT} = '2' THEN {new} ELSE {old} END AS line FROM raw "
+            f"UNION ALL SELECT ano, arquivo, CASE WHEN novo THEN '{new_head}' ELSE '{old_head}' END FROM files)")
+
+
+SQL["file_fingerprints"] = o.with_(o.RAW, _FILES, _landed_lines()) + """
+SELECT ano, arquivo, CAST(count(*) AS BIGINT) AS linhas,
+  CAST(sum(CAST('0x' || substring(md5(line), 1, 15) AS BIGINT)) AS DECIMAL(38,0)) AS checksum FROM lines GROUP BY ano, arquivo"""
 SQL["landing_to_employment"] = mart_queries.SQL["mart_employment"]
 
 
