@@ -9,11 +9,9 @@ from pyspark.sql import functions as F
 from microlake import catalog, config
 from microlake.functions import clean
 from microlake.operators import compare, dictionary, dims, marts
-from microlake.operators.silver import to_silver
-from microlake.queries import inputs
+from microlake.queries import inputs, lake
 from microlake.queries import marts as mart_queries
 from microlake.queries import oracle as o
-from microlake.session import scratch_path
 from microlake.sinks import tables
 
 
@@ -22,24 +20,8 @@ DEFECT_TABLES = [("gold.faixa_etaria_ano", "Vínculos ativos por faixa etária e
                  ("Gold.Tamanho", "Curta", "", "por ano", True, "gold/y", None)]
 DEFECT_COLUMNS = [("gold.emprego_uf_ano", "remun_media_anual", "Média anual (não existe na tabela).", "R$"),
                   ("gold.escolaridade_ano", "Remun", "Curta", None)]
-_LAKE: dict = {}
-
-
-def _lake(spark, sf):
-    """Bronze, silver and the marts as stored tables, written once per application: name -> path."""
-    key = (spark.conf.get("spark.app.id"), sf)
-    if key not in _LAKE:
-        bronze, silver = scratch_path(spark, "dict-bronze"), scratch_path(spark, "dict-silver")
-        tables.write_table(inputs.raw(spark, sf), bronze)
-        tables.write_table(to_silver(tables.read_table(spark, bronze)), silver)
-        gold = tables.write_gold(spark, tables.read_table(spark, silver), scratch_path(spark, "dict-gold"))
-        _LAKE[key] = {"bronze.vinculos": bronze, "silver.vinculos": silver,
-                      **{name.replace("gold_", "gold.", 1): path for name, path in gold.items()}}
-    return _LAKE[key]
-
-
 def _actual(spark, sf):
-    return dictionary.actual_columns({n: tables.read_table(spark, p) for n, p in _lake(spark, sf).items()})
+    return dictionary.actual_columns({n: tables.read_table(spark, p) for n, p in lake.stored(spark, sf).items()})
 
 
 def _defective(spark):
@@ -110,7 +92,7 @@ def _registered(spark, sf, table):
     """A catalog table over the stored one, with the dictionary's comments and properties."""
     entries, columns = dictionary.load(spark)
     name = "dict_" + uuid.uuid4().hex
-    dictionary.register(spark, name, _lake(spark, sf)[table], dictionary.comments_for(columns, table),
+    dictionary.register(spark, name, lake.stored(spark, sf)[table], dictionary.comments_for(columns, table),
                         dictionary.properties_for(entries, table))
     return name
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from microlake.operators import dims, manifest, marts
-from microlake.queries import inputs
+from microlake.queries import inputs, lake
 from microlake.queries import marts as mart_queries
 from microlake.queries import oracle as o
 from microlake.session import scratch_path
@@ -113,10 +113,9 @@ def csv_export_roundtrip(spark, sf):
 
 
 def _manifest_for(spark, sf, run_id, ts):
-    raw = inputs.raw(spark, sf)
-    s = inputs.silver(spark, sf)
-    gold = marts.employment(marts.active(s), dims.state_dim(spark))
-    counts = manifest.layer_counts({"bronze": raw, "silver": s, "gold_vinculos_ativos": gold})
+    paths = lake.stored(spark, sf)
+    counts = manifest.layer_counts({name: tables.read_table(spark, paths[of]) for name, of in (
+        ("bronze", "bronze.vinculos"), ("silver", "silver.vinculos"), ("gold_vinculos_ativos", "gold.emprego_uf_ano"))})
     return manifest.manifest_rows(counts, run_id, ts, ["bronze", "silver", "gold_vinculos_ativos"])
 
 
