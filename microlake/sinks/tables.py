@@ -197,6 +197,28 @@ def upsert_by_key(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataF
                              for c in cols])
 
 
+def upsert_partitions(spark: SparkSession, path: str, changes: DataFrame, keys: list[str], staging: str,
+                      col: str = PARTITION) -> list[int]:
+    """Upsert ``changes`` into a stored table, reading and writing only the partitions they touch.
+
+    A key belongs to one partition (``changes`` carry it). The merged partitions are written
+    to a staging table and moved into place; the others stay as they are. Returns the years.
+    """
+    years = sorted(r[0] for r in changes.select(col).distinct().collect())      # a row per touched year
+    if not years:
+        return []
+    touched = read_table(spark, path).filter(F.col(col).isin(years))
+    merged = upsert_by_key(touched, changes, [*keys, col])
+    problems = write_problems(merged, touched, False, col)
+    if problems:
+        raise SchemaMismatch(f"{path}: {'; '.join(problems)}")
+    merged.write.partitionBy(col).parquet(staging)
+    for y in years:
+        files.replace_folder(spark, f"{staging.rstrip('/')}/{col}={y}", f"{path.rstrip('/')}/{col}={y}")
+    files.delete(spark, staging)
+    return years
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """One CSV file with header (small marts only)."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)

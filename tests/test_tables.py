@@ -109,3 +109,15 @@ def test_publish_archives_and_travels_in_time(spark, tmp_dir):
     assert (count("2024-01-01 12:00:00"), count("2024-01-02 12:00:00"), count("2023-01-01 00:00:00")) == (raw.count(), part.count(), 0)
     assert [r["versao"] for r in tables.table_history(spark, hist).orderBy("versao").collect()] == [0, 1]
     assert tables.expire_snapshots(spark, arch, ["r1"]) == 1 and count("2024-01-01 12:00:00") == 0
+
+
+def test_upsert_touches_only_its_partitions(spark, tmp_dir):
+    path = tmp_dir + "/t"
+    tables.write_table(_ids(spark, 5, 2020).unionByName(_ids(spark, 5, 2021)).withColumn("v", F.lit("a")), path)
+    untouched = tables.files.list_data_files(spark, path + "/ano=2020/*", with_time=True)
+    changes = spark.createDataFrame([(4, 2021, "b"), (9, 2021, "c")], "id long, ano int, v string")
+    assert tables.upsert_partitions(spark, path, changes, ["id"], tmp_dir + "/stage") == [2021]
+    rows = {(r["ano"], r["id"]): r["v"] for r in tables.read_table(spark, path).collect()}
+    assert len(rows) == 11 and rows[2021, 4] == "b" and rows[2021, 9] == "c" and rows[2020, 4] == "a"
+    assert tables.files.list_data_files(spark, path + "/ano=2020/*", with_time=True) == untouched
+    assert tables.upsert_partitions(spark, path, changes.limit(0), ["id"], tmp_dir + "/stage") == []

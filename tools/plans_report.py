@@ -18,15 +18,16 @@ NOTES = {
     "mart_top_industry": "Aggregate to (ano, cod_uf, division) first; the ranking window only sees the "
                          "aggregated rows and is limited by WindowGroupLimit.",
     "gold_all_employment": "Three marts share this one aggregate (conditional aggregation).",
-    "silver_full": "One narrow projection (whole-stage codegen) after the scan; no shuffle of its own. "
-                   "The RoundRobin/hash Exchange under the scan only appears because the test file is a "
-                   "single Parquet row group (spread to the cores); large inputs are not repartitioned.",
+    "silver_full": "One narrow projection (whole-stage codegen) after the joins; no shuffle of its own.",
+    "silver_by_file": "Landed text to silver: a scan and a projection per layout, then a union; no Exchange, no join.",
+    "control_totals": "Two scans of silver: its own totals, and one fine aggregate (written) that all mart totals come from.",
+    "domain_violations": "One scan: (rule, code) pairs counted next to it; only counts meet the literal domains.",
     "null_profile": "One global aggregate over all columns, then an unpivot of the single row and a "
                     "local sort: one scan whatever the column count.",
     "group_avg_per_row": "Aggregate-then-join instead of an unordered window: partial aggregation shrinks "
                          "a hot key, AQE can split the skewed side of the join.",
     "latest_check_status": "max_by over (ts, tie) is an aggregate with a partial step, not a sort window.",
-    "join_kinds": "Each side is reduced to (key, rows) before the full outer join of the counts.",
+    "join_kinds": "The joins of all six kinds run on rows; only counts leave them.",
     "partition_pruned_read": "PartitionFilters on ano: only one year's folder is listed and read.",
     "layer_gate": "One aggregate per layer joined on the year; rules unpivoted into rows.",
     "rank_variants": "Skew-safe ranking: rows reduced to (order, quantity) counts, range-partitioned "
@@ -57,9 +58,7 @@ def main() -> None:
            "Spark's size estimate of these test files is below `autoBroadcastJoinThreshold`; no hint is "
            "set on them, so with large inputs the same logical plan becomes sort-merge joins on "
            "`l_orderkey` / `o_custkey` (AQE splits skewed partitions). The only hinted broadcasts are "
-           "the literal dimensions (`Scan ExistingRDD[cod_uf,uf]`, 27 rows). The `Exchange "
-           "hashpartitioning(l_orderkey, l_linenumber)` under the lineitem scan is the spread of a "
-           "single-row-group test file and disappears when the scan already has enough splits.", ""]
+           "the literal dimensions (`Scan ExistingRDD[cod_uf,uf]`, 27 rows).", ""]
     for name, note in NOTES.items():
         df = qs[name](spark, sf)
         out += [f"## {name}", "", note, "", "```", physical(df), "```", ""]
