@@ -42,9 +42,8 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    probe = "</s>[INST] ok [/INST]"
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(
-        spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(spark.sql(
+        "VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]')"))
     back = chat.read_back(chat.render(chat.fold(chat.message_log(rows))))
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join("loss_texts", "")
