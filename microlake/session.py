@@ -43,9 +43,9 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.files.maxPartitionBytes": "128m",
-        # only what is small beside one task's input is broadcast: a fact table's join partner shuffles,
-        # which also spreads a scan that a single row group keeps in one task
-        "spark.sql.autoBroadcastJoinThreshold": "1m",
+        # unhinted broadcasts stay tiny: a fact table's join partner shuffles, as it does at
+        # scale, which also spreads a scan that a single row group keeps in one task
+        "spark.sql.autoBroadcastJoinThreshold": "256k",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
