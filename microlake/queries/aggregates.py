@@ -3,10 +3,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from microlake.operators import dims, marts, profile
+from microlake.operators import profile
 from microlake.queries import inputs
 from microlake.queries import oracle as o
 from microlake.session import scratch_path
+from microlake.sinks import tables
 
 
 def avg_by_category(spark, sf):
@@ -44,28 +45,28 @@ def active_share(spark, sf):
 def control_totals(spark, sf):
     """Control totals of the layers as (metrica, valor) rows: silver rows, active rows,
     employment-mart total (must equal active), separation-mart total (must equal
-    silver), payroll of silver and of the mart, max rank of the top-industry mart."""
+    silver), payroll of silver and of the mart, max rank of the top-industry mart.
+
+    The gold totals are read back from marts written by the production build, so a wrong
+    filter, a lost group or rows multiplied by a dimension show as a difference."""
     s = inputs.silver(spark, sf)
-    path = scratch_path(spark, "control-facts")
-    (s.groupBy("ano", "cod_uf", "cnae_divisao")
-     .agg(F.count(F.lit(1)).alias("n"), F.count_if("vinculo_ativo").alias("qtd"),
-          F.sum(F.when(F.col("vinculo_ativo"), F.col("remun_dezembro_nom"))).alias("massa"))
-     .write.parquet(path))
-    facts = spark.read.parquet(path)
-    emp = facts.groupBy("ano", "cod_uf").agg(F.sum("n").alias("n"), F.sum("qtd").alias("qtd"), F.sum("massa").alias("massa"))
-    top = marts.top_industry_from_facts(facts.filter("qtd > 0"), dims.state_dim(spark))
+    gold = tables.write_gold(spark, s, scratch_path(spark, "control-gold"))
 
     def rows(df, **metrics):
         one = df.agg(*[v.cast("decimal(38,2)").alias(k) for k, v in metrics.items()])
         pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("metrica"), F.col(k).alias("valor")) for k in metrics]))
         return one.select(pairs.alias("r")).select("r.*")
 
+    def mart(name):
+        return tables.read_table(spark, gold[name])
+
     active = F.col("vinculo_ativo")
     return (rows(s, qtd_silver=F.count(F.lit(1)), qtd_ativos=F.count_if(active),
                  massa_silver_ativos=F.sum(F.when(active, F.col("remun_dezembro_nom"))))
-            .unionByName(rows(emp, qtd_gold_emprego=F.sum("qtd"), massa_gold_emprego=F.sum("massa"),
-                              qtd_gold_desligamento=F.sum("n")))
-            .unionByName(rows(top, max_posicao=F.max("posicao"))))
+            .unionByName(rows(mart("gold_emprego_uf_ano"), qtd_gold_emprego=F.sum("qtd_vinculos"),
+                              massa_gold_emprego=F.sum("massa_salarial_dez_nom")))
+            .unionByName(rows(mart("gold_desligamento_uf_ano"), qtd_gold_desligamento=F.sum("qtd_vinculos_no_ano")))
+            .unionByName(rows(mart("gold_top_cnae_uf_ano"), max_posicao=F.max("posicao"))))
 
 
 QUERIES = {f.__name__: f for f in [

@@ -20,7 +20,7 @@ NOTES = {
     "gold_all_employment": "Three marts share this one aggregate (conditional aggregation).",
     "silver_full": "One narrow projection (whole-stage codegen) after the joins; no shuffle of its own.",
     "silver_by_file": "Landed text to silver: a scan and a projection per layout, then a union; no Exchange, no join.",
-    "control_totals": "Two scans of silver: its own totals, and one fine aggregate (written) that all mart totals come from.",
+    "control_totals": "Three scans of silver: its own totals, and two by the gold build, whose written marts are read back.",
     "domain_violations": "One scan: (rule, code) pairs counted next to it; only counts meet the literal domains.",
     "null_profile": "One global aggregate over all columns, then an unpivot of the single row and a "
                     "local sort: one scan whatever the column count.",
