@@ -206,13 +206,15 @@ def snapshot_retention(spark, sf):
 
 def upsert_by_join(spark, sf):
     """Pending orders become finished with a corrected price; their negated keys are inserted
-    as new orders. Only the years that hold pending orders are read and rewritten."""
+    as new orders. Only the years that hold pending orders are read whole and rewritten; of
+    the others the keys alone are read, to find changed orders that moved."""
     path = _orders_table(spark, sf)
     pend = _orders(spark, sf).filter(F.col("o_orderstatus") == "P")
     upd = pend.withColumn("o_orderstatus", F.lit("F")).withColumn(
         "o_totalprice", (F.col("o_totalprice") + 1).cast("decimal(18,2)"))
     ins = pend.withColumn("o_orderkey", -F.col("o_orderkey"))
-    tables.upsert_partitions(spark, path, upd.unionByName(ins), ["o_orderkey"], scratch_path(spark, "upsert-stage"))
+    tables.upsert_partitions(spark, path, upd.unionByName(ins), ["o_orderkey"], scratch_path(spark, "upsert-stage"),
+                             keys_move=True)
     return tables.read_table(spark, path).drop("ano")
 
 

@@ -198,17 +198,24 @@ def upsert_by_key(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataF
 
 
 def upsert_partitions(spark: SparkSession, path: str, changes: DataFrame, keys: list[str], staging: str,
-                      col: str = PARTITION) -> list[int]:
+                      col: str = PARTITION, keys_move: bool = False) -> list[int]:
     """Upsert ``changes`` into a stored table, reading and writing only the partitions they touch.
 
-    A key belongs to one partition (``changes`` carry it). The merged partitions are written
-    to a staging table and moved into place; the others stay as they are. Returns the years.
+    By default a row is known by its key and partition: the same key in another partition is
+    another row. With ``keys_move`` the key alone names a row of the whole table, and a change
+    may carry it to another partition: those that hold a changed key now are touched too (found
+    by a scan of the key columns alone), and the row leaves its old one. The merged partitions
+    are written to a staging table and moved into place; one left without a row is removed;
+    the others stay as they are. Returns the years.
     """
-    years = sorted(r[0] for r in changes.select(col).distinct().collect())      # a row per touched year
+    stored, places = read_table(spark, path), changes.select(col)
+    if keys_move:
+        places = places.union(stored.select(*keys, col).join(changes.select(*keys), keys, "left_semi").select(col))
+    years = sorted(r[0] for r in places.distinct().collect())       # a row per touched year
     if not years:
         return []
-    touched = read_table(spark, path).filter(F.col(col).isin(years))
-    merged = upsert_by_key(touched, changes, [*keys, col])
+    touched = stored.filter(F.col(col).isin(years))
+    merged = upsert_by_key(touched, changes, keys if keys_move else [*keys, col])
     problems = write_problems(merged, touched, False, col)
     if problems:
         raise SchemaMismatch(f"{path}: {'; '.join(problems)}")

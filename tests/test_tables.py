@@ -121,3 +121,28 @@ def test_upsert_touches_only_its_partitions(spark, tmp_dir):
     assert len(rows) == 11 and rows[2021, 4] == "b" and rows[2021, 9] == "c" and rows[2020, 4] == "a"
     assert tables.files.list_data_files(spark, path + "/ano=2020/*", with_time=True) == untouched
     assert tables.upsert_partitions(spark, path, changes.limit(0), ["id"], tmp_dir + "/stage") == []
+
+
+def test_upsert_moves_a_key_to_its_new_partition(spark, tmp_dir):
+    path = tmp_dir + "/t"
+    rows = [(1, 2020, "a"), (2, 2020, "a"), (3, 2021, "a"), (4, 2022, "a"), (5, 2023, "a")]
+    tables.write_table(spark.createDataFrame(rows, "id long, ano int, v string"), path)
+    untouched = tables.files.list_data_files(spark, path + "/ano=2023/*", with_time=True)
+    # 1 moves, 4 leaves its year empty, 6 is new in a year of its own
+    changes = spark.createDataFrame([(1, 2021, "b"), (4, 2021, "b"), (6, 2024, "c")], "id long, ano int, v string")
+    assert tables.upsert_partitions(spark, path, changes, ["id"], tmp_dir + "/stage", keys_move=True) == [2020, 2021, 2022, 2024]
+    got = sorted((r["id"], r["ano"], r["v"]) for r in tables.read_table(spark, path).collect())
+    assert got == [(1, 2021, "b"), (2, 2020, "a"), (3, 2021, "a"), (4, 2021, "b"), (5, 2023, "a"), (6, 2024, "c")]
+    assert not tables.files.exists(spark, path + "/ano=2022")
+    assert tables.files.list_data_files(spark, path + "/ano=2023/*", with_time=True) == untouched
+
+
+def test_upsert_query_lets_keys_move(spark, monkeypatch):
+    from microlake.queries import tables as queries
+    orders = queries._orders(spark, "/root/testdata/sf0.001")
+    moved = orders.withColumn("ano", F.when(F.col("o_orderstatus") == "P", 2001).otherwise(F.col("ano")))
+    calls = iter([orders])                      # stored as they are, changed with another year
+    monkeypatch.setattr(queries, "_orders", lambda *_: next(calls, moved))
+    out = queries.upsert_by_join(spark, "/root/testdata/sf0.001")
+    n = orders.filter("o_orderstatus = 'P'").count()
+    assert n and out.count() == orders.count() + n == out.select("o_orderkey").distinct().count()
