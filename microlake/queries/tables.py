@@ -112,8 +112,7 @@ def csv_export_roundtrip(spark, sf):
     return tables.read_csv_export(spark, path, emp.schema)
 
 
-def _manifest_for(spark, sf, run_id, ts):
-    paths = lake.stored(spark, sf)
+def _manifest_for(spark, paths, run_id, ts):
     counts = manifest.layer_counts({name: tables.read_table(spark, paths[of]) for name, of in (
         ("bronze", "bronze.vinculos"), ("silver", "silver.vinculos"), ("gold_vinculos_ativos", "gold.emprego_uf_ano"))})
     return manifest.manifest_rows(counts, run_id, ts, ["bronze", "silver", "gold_vinculos_ativos"])
@@ -121,14 +120,19 @@ def _manifest_for(spark, sf, run_id, ts):
 
 def run_manifest(spark, sf):
     path = scratch_path(spark, "manifest")
-    manifest.append_manifest(_manifest_for(spark, sf, "run-1", "2024-01-01 00:00:00"), path)
+    manifest.append_manifest(_manifest_for(spark, lake.stored(spark, sf), "run-1", "2024-01-01 00:00:00"), path)
     return manifest.read_manifest(spark, path).drop("run_id", "ts")
 
 
 def run_history(spark, sf):
+    """Two runs, each of which loads bronze, silver and the employment mart from the inputs
+    into folders of its own; their counts must agree."""
     path = scratch_path(spark, "manifest-history")
     for i in (1, 2):
-        manifest.append_manifest(_manifest_for(spark, sf, f"run-{i}", f"2024-01-0{i} 00:00:00"), path)
+        paths = lake.load(spark, sf) | {"gold.emprego_uf_ano": scratch_path(spark, f"gold-run-{i}")}
+        silver = tables.read_table(spark, paths["silver.vinculos"])
+        tables.write_table(marts.employment(marts.active(silver), dims.state_dim(spark)), paths["gold.emprego_uf_ano"])
+        manifest.append_manifest(_manifest_for(spark, paths, f"run-{i}", f"2024-01-0{i} 00:00:00"), path)
     return manifest.rerun_consistency(manifest.read_manifest(spark, path))
 
 

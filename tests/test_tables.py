@@ -146,3 +146,19 @@ def test_upsert_query_lets_keys_move(spark, monkeypatch):
     out = queries.upsert_by_join(spark, "/root/testdata/sf0.001")
     n = orders.filter("o_orderstatus = 'P'").count()
     assert n and out.count() == orders.count() + n == out.select("o_orderkey").distinct().count()
+
+
+def test_run_history_sees_a_load_that_is_not_repeatable(spark, monkeypatch):
+    from microlake.queries import inputs, lake
+    from microlake.queries import tables as queries
+    raw, loads = inputs.raw(spark, "/root/testdata/sf0.001"), []
+
+    def shrinking(*_):                          # every load after the first lacks rows of 1996
+        loads.append(1)
+        return raw if len(loads) == 1 else raw.filter("ano <> 1996 OR idade > '40'")
+
+    monkeypatch.setattr(lake, "_LAKE", {})
+    monkeypatch.setattr(inputs, "raw", shrinking)
+    got = {r["ano"]: r for r in queries.run_history(spark, "/root/testdata/sf0.001").collect()}
+    assert len(loads) == 2 and {r["execucoes"] for r in got.values()} == {2}
+    assert [y for y, r in got.items() if not r["ok"]] == [1996] and got[1996]["contagens_distintas_silver"] == 2
