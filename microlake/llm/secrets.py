@@ -8,7 +8,9 @@ check are kept only if it holds:
 * ``github``  tokens ``gh?_`` + 30 characters + the CRC-32 of these in 6 base-62 digits
 * ``npm``     tokens ``npm_``, built the same way
 * ``jwt``     three base64url parts, the first two JSON objects, the first with ``alg``
-* ``pem``     private key blocks whose base64 body is one DER sequence of the stated length
+* ``pem``     private key blocks whose base64 body is one DER sequence of the stated length, an
+              ``openssh-key-v1`` record whose length fields add up, or, behind the header lines
+              of an encrypted block, whole cipher blocks
 
 The kinds of the base set have no checksum; for them the stated length decides:
 
@@ -43,9 +45,13 @@ _RULES = {
     "github": ((b"ghp_", b"gho_", b"ghu_", b"ghs_", b"ghr_"), re.compile(rb"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])")),
     "npm": ((b"npm_",), re.compile(rb"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])")),
     "jwt": ((b"eyj",), re.compile(rb"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")),
-    "pem": ((b"-----begin ",), re.compile(rb"-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")),
+    "pem": ((b"-----begin ",), re.compile(rb"-----BEGIN ([A-Z ]*PRIVATE KEY)-----((?:\s*+[A-Za-z][A-Za-z0-9-]*+:[\x20-\x7e]*+(?=\s))*+)"
+                                            rb"([A-Za-z0-9+/=\s]+)-----END \1-----")),
 }
 _HEX = re.compile(rb"[0-9a-f]{24,}")
+_OPENSSH = b"openssh-key-v1\0"
+#: Cipher and initial vector of an encrypted block; the vector is as long as a cipher block.
+_DEK = re.compile(rb"DEK-Info:\s*([A-Za-z0-9-]+),\s*((?:[0-9A-Fa-f]{2})+)")
 _ORDER = {kind: k for k, kind in enumerate(KINDS)}
 
 
@@ -66,11 +72,7 @@ def _json_part(part: bytes) -> dict | None:
     return value if isinstance(value, dict) else None
 
 
-def _der_whole(body: bytes) -> bool:
-    try:
-        der = base64.b64decode(b"".join(body.split()), validate=True)
-    except (ValueError, binascii.Error):
-        return False
+def _der_whole(der: bytes) -> bool:
     if len(der) < 2 or der[0] != 0x30:
         return False
     if der[1] < 0x80:
@@ -79,6 +81,39 @@ def _der_whole(body: bytes) -> bool:
     return 0 < n <= 4 and len(der) == 2 + n + int.from_bytes(der[2:2 + n], "big")
 
 
+def _openssh_whole(record: bytes) -> bool:
+    """Cipher, derivation and its options, the number of keys, their public parts, the private part."""
+    if not record.startswith(_OPENSSH):
+        return False
+    number = lambda at: int.from_bytes(record[at:at + 4], "big")
+    at = len(_OPENSSH)
+    cipher = record[at + 4:at + 4 + number(at)]
+    for _ in range(3):
+        at += 4 + number(at)
+    keys = number(at)
+    if not 0 < keys <= len(record):
+        return False
+    at += 4
+    for _ in range(keys + 1):
+        if at + 4 > len(record):
+            return False
+        at += 4 + number(at)
+    tag = 16 if b"gcm" in cipher or b"poly1305" in cipher else 0
+    return at + tag == len(record)
+
+
+def _pem_whole(headers: bytes, body: bytes) -> bool:
+    try:
+        data = base64.b64decode(b"".join(body.split()), validate=True)
+    except (ValueError, binascii.Error):
+        return False
+    if b"ENCRYPTED" in headers:
+        dek = _DEK.search(headers)
+        block = len(dek[2]) // 2 if dek else 0
+        return bool(data) and block > 0 and (not dek[1].endswith(b"CBC") or len(data) % block == 0)
+    return _der_whole(data) or _openssh_whole(data)
+
+
 def _holds(kind: str, match: re.Match) -> bool:
     """The length or embedded check of a kind."""
     if kind == "assign":
@@ -91,7 +126,7 @@ def _holds(kind: str, match: re.Match) -> bool:
         head, payload, _ = match[0].split(b".")
         first = _json_part(head)
         return first is not None and "alg" in first and _json_part(payload) is not None
-    return _der_whole(match[2])
+    return _pem_whole(match[2], match[3])
 
 
 def _automaton():

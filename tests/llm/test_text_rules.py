@@ -213,6 +213,36 @@ def test_checksums_decide():
         assert kind not in {k for k, _, _ in scanner.spans(f"ünder {broken} end")}
 
 
+def test_openssh_and_encrypted_key_blocks():
+    import base64
+    scanner, part = secrets.Scanner(), lambda x: len(x).to_bytes(4, "big") + x
+
+    def block(label, data, headers=""):
+        lines = base64.encodebytes(data).decode()
+        return f"-----BEGIN {label} KEY-----\n{headers}{lines}-----END {label} KEY-----"
+
+    def openssh(cipher, keys=1, tag=b""):
+        return (b"openssh-key-v1\0" + part(cipher) + part(b"none") + part(b"") + keys.to_bytes(4, "big")
+                + part(b"p" * 51) * keys + part(b"q" * 136) + tag)
+
+    def dek(cipher, vector):
+        return f"Proc-Type: 4,ENCRYPTED\nDEK-Info: {cipher},{vector}\n\n"
+
+    whole = openssh(b"none")
+    good = [block("OPENSSH PRIVATE", whole), block("OPENSSH PRIVATE", openssh(b"aes256-ctr", 2)),
+            block("OPENSSH PRIVATE", openssh(b"aes256-gcm@openssh.com", 1, b"t" * 16)),
+            block("RSA PRIVATE", bytes(range(96)), dek("AES-128-CBC", "0A" * 16)),
+            block("EC PRIVATE", bytes(range(88)), dek("DES-EDE3-CBC", "0A" * 8)).replace("\n", "\r\n")]
+    for text in good:
+        assert ("pem", 4, 4 + len(text)) in scanner.spans(f"see {text} end"), text
+        assert secrets.redact(f"see {text} end", [s for s in scanner.spans(f"see {text} end") if s[0] == "pem"]) == "see [pem] end"
+    bad = [block("OPENSSH PRIVATE", whole[:-1]), block("OPENSSH PRIVATE", whole + b"x"), block("OPENSSH PRIVATE", whole[:40]),
+           block("OPENSSH PRIVATE", openssh(b"none", 0)), block("RSA PRIVATE", bytes(range(95)), dek("AES-128-CBC", "0A" * 16)),
+           block("RSA PRIVATE", bytes(range(96)), "Comment: plain\n\n"), block("RSA PRIVATE", bytes(range(96)), "Proc-Type: 4,ENCRYPTED\n\n")]
+    for text in bad:
+        assert not [s for s in scanner.spans(text) if s[0] == "pem"], text
+
+
 def test_scan_and_redact(spark):
     texts = edge_texts() + ['é password = "hunter22secret" and ' + "a" * 24 + " x", "token=abc", *planted().values(), "token=" + "0" * 30]
     docs = documents(spark, texts)
