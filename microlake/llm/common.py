@@ -1,6 +1,9 @@
 """Small helpers shared by the training-data operators."""
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +48,18 @@ def text_or_empty(col: str = "text"):
 def unsigned_hex(col):
     """16 lowercase hex digits of a signed 64-bit column."""
     return F.lpad(F.lower(F.hex(col)), 16, "0")
+
+
+def per_worker(slot: str, key, make):
+    """What ``make()`` returns, kept by this Python process for its later tasks under ``slot``.
+
+    Spark reuses worker processes, but a function sent to them by value brings fresh module
+    globals each time; what shall outlive a task is kept in an entry of ``sys.modules``. A
+    slot holds one thing at a time: another ``key`` replaces it, so memory stays bounded.
+    """
+    kept = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+    held = kept.get(slot)
+    if held is None or held[0] != key:
+        kept.pop(slot, None)                # the old thing goes before the new one is made
+        held = kept[slot] = (key, make())
+    return held[1]

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import stored
-from .tokens import PieceEncoder, token_path
+from .tokens import token_path, worker_encoder
 
 CAPACITY = 2048
 TOKENIZER, KIND, END_ID = "byte_bpe_50k.json", "byte_level", 0
@@ -163,7 +163,7 @@ def _cut(path: str, kind: str, end_id: int, capacity: int):
                        ("length", pa.int64()), ("ids_crc32", pa.int64()), ("part", pa.int32()), ("rank", pa.int64())])
 
     def run(batches):
-        encoder = PieceEncoder(path, kind)
+        encoder = worker_encoder(path, kind)
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64).tolist()
         end = int(end_id).to_bytes(4, "little")
@@ -190,7 +190,8 @@ def pack(spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY, tokeniz
 
     A document is its ids and ``end_id``; only longer ones are cut, the first piece taking
     the remainder. Returns doc_id, piece, start, length, ids_crc32, sequence_id, offset, one
-    row per piece. Null and empty texts are the end id alone; repeated rows and null doc_ids
+    row per piece. Null and empty texts are the end id alone; strings of special tokens in a
+    text are ordinary text; repeated rows and null doc_ids
     are packed as any other; an empty table gives no rows; other columns are not read.
     """
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import stored
-from .tokens import PieceEncoder, token_path
+from .tokens import token_path, worker_encoder
 
 TOKENIZER, KIND, END_ID = "word_bpe_49k.json", "lower_words", 2
 CHUNK_IDS = 65_536
@@ -126,7 +126,7 @@ def _write_part(path: str, kind: str, end_id: int, planes: str, chunk_ids: int,
                         ("image", pa.binary())])
 
     def run(batches):
-        encoder = PieceEncoder(path, kind)
+        encoder = worker_encoder(path, kind)
         part, seq = TaskContext.get().partitionId(), 0
         end = int(end_id).to_bytes(4, "little")
         held, doc_ids, n_tokens, n = [], [], [], 0
@@ -157,13 +157,18 @@ def write_planes(spark: SparkSession, docs: DataFrame, tokenizer: str | None = N
                  segment_ids: int = SEGMENT_IDS) -> DataFrame:
     """Encode ``docs`` (``doc_id``, ``text``) and write the segments; returns their table.
 
-    Order: ascending doc_id, null ids first, then by text. Null and empty texts are the end
-    id alone; repeated rows are kept; an empty table gives no segment; other columns are not
-    read. A segment closes with the document that takes it to ``segment_ids``, so a task
-    holds one segment and one document at a time.
+    Order: ascending doc_id, null ids first; rows that share one by the first characters of
+    their text, then by the input partition they come from, so that a doc_id of many rows,
+    equal ones too, spans many ranges. Null and empty texts are the end id alone; strings of
+    special tokens in a text are ordinary text; repeated rows are kept; an empty table gives
+    no segment; other columns are not read. A segment closes with the document that takes it to ``segment_ids``, so a
+    task holds one segment and one document at a time.
     """
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # the range keys are sampled to the driver: short prefixes, not texts
+    order = ["doc_id", "head", "place"]
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                          F.substring(F.col("text").cast("string"), 1, 64).alias("head"), F.spark_partition_id().alias("place")) \
+        .repartitionByRange(*order).sortWithinPartitions(*order, "text").select("doc_id", "text")
     images = ordered.mapInArrow(_write_part(tokenizer or token_path(TOKENIZER), kind, end_id, planes, chunk_ids, segment_ids),
                                 SEGMENTS)
     return stored(spark, images, "token-planes", compression="uncompressed")

@@ -11,9 +11,14 @@ pieces joined are the ids of the whole text:
 
 A piece of plain Latin letters, digits and signs is cut further into its pre-tokens, and the
 library's model encodes each; any other piece goes through the library whole. The distinct
-pieces of a worker are few next to its words. The caches hold at most ``max_pieces`` and
-``max_pre_tokens`` entries and start afresh beyond that: memory stays bounded and results
-never change.
+pieces of a worker are few next to its words. Both caches keep two generations: a full young
+one becomes the old one, and an entry found there is young again, so frequent pieces stay and
+rare ones go. Memory stays bounded by twice ``max_pieces`` and ``max_pre_tokens`` entries, and
+results never change. ``worker_encoder`` keeps one encoder per Python worker process: later
+tasks of the process neither load the vocabulary again nor start with cold caches.
+
+Strings of special tokens in a text are ordinary text (``encode_special_tokens``), as the
+description installed with the public vocabulary files gives the call.
 """
 from __future__ import annotations
 
@@ -21,6 +26,8 @@ import os
 import re
 from array import array
 
+from .common import per_worker
+
 #: White space in a row, or any white space or control character but a blank and a line feed.
 _IRREGULAR = re.compile("[ \\n]{2}|[\\x00-\\x09\\x0b-\\x1f\\x7f-\\xa0\\u1680\\u180e\\u2000-\\u206f\\u3000\\ufeff]")
 _BEFORE_WORD = re.compile(r"(?= [!-~])")
@@ -31,8 +38,8 @@ _PRE_TOKENS = {
     "lower_words": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+"),
     "byte_level": re.compile(rf"\n|'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+"),
 }
-MAX_PIECES = 200_000
-MAX_PRE_TOKENS = 600_000
+MAX_PIECES = 200_000            # of one generation
+MAX_PRE_TOKENS = 300_000
 MAX_PIECE_CHARS = 64
 
 
@@ -55,15 +62,23 @@ class PieceEncoder(dict):
         plain = [chr(c) for c in [10, *range(32, 127), *range(0xC0, 0x100)]]
         self._alphabet = str.maketrans({c: in_bytes.pre_tokenize_str(c)[0][0] for c in plain})
         self._known: dict[str, bytes] = {}
+        self._old_pieces: dict[str, bytes] = {}
+        self._old_known: dict[str, bytes] = {}
 
     def _pre_token(self, pre: str) -> bytes:
         ids = self._known.get(pre)
         if ids is None:
-            ids = array("I", [t.id for t in self._model.tokenize(pre.translate(self._alphabet))]).tobytes()
+            ids = self._old_known.get(pre)
+            if ids is None:
+                ids = array("I", [t.id for t in self._model.tokenize(pre.translate(self._alphabet))]).tobytes()
             self._known[pre] = ids
         return ids
 
     def __missing__(self, piece: str) -> bytes:
+        ids = self._old_pieces.get(piece)
+        if ids is not None:
+            self[piece] = ids
+            return ids
         if len(piece) > MAX_PIECE_CHARS or not _PLAIN.fullmatch(piece):
             ids = array("I", self._tok.encode(piece, add_special_tokens=False).ids).tobytes()
         else:
@@ -84,12 +99,18 @@ class PieceEncoder(dict):
         if not text:
             return b""
         if len(self) > self.max_pieces:
+            self._old_pieces = dict(self)
             self.clear()
         if len(self._known) > self.max_pre_tokens:
-            self._known.clear()
+            self._old_known, self._known = self._known, {}
         return b"".join(map(self.__getitem__, self.pieces(text)))
 
 
+def worker_encoder(path: str, kind: str) -> PieceEncoder:
+    """The encoder of this Python process for a vocabulary file, made by its first task."""
+    return per_worker("piece-encoder", (path, kind, os.path.getmtime(path), os.path.getsize(path)), lambda: PieceEncoder(path, kind))
+
+
 def token_path(name: str) -> str:
     """Place of a public tokenizer file on this machine (installed on every executor)."""
     import public_tokenizers

@@ -30,6 +30,45 @@ def test_pieces_encode_like_whole_texts(file, kind):
         assert encoder.ids(text) == array("I", whole(text)).tobytes(), repr(text)
 
 
+def test_caches_keep_two_generations():
+    encoder = PieceEncoder(token_path(FILES[0][0]), FILES[0][1], 3, 3)
+    for text in ("one two three four", "five six", "one seven"):
+        encoder.ids(text)
+        assert len(encoder) <= 3 + 4 and len(encoder._known) <= 3 + 4
+    assert "one" in encoder and "four" not in encoder and "four" in encoder._old_pieces
+
+
+def test_a_worker_builds_its_encoder_once(spark):
+    docs = documents(spark, ["some words here"] * 40).repartition(20)
+    path, kind = token_path(FILES[0][0]), FILES[0][1]
+
+    def seen(batches):
+        import os
+
+        import pyarrow as pa
+
+        from microlake.llm.tokens import worker_encoder
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_pydict({"pid": [os.getpid()], "encoder": [id(worker_encoder(path, kind))]})
+
+    rows = docs.select("doc_id").mapInArrow(seen, "pid long, encoder long").collect()
+    assert len(rows) == 20 and len({(r["pid"], r["encoder"]) for r in rows}) == len({r["pid"] for r in rows}) < 20
+
+
+def test_rows_of_one_doc_id_span_all_ranges(spark):
+    docs = spark.range(0, 6000, 1, 6).selectExpr("CAST(7 AS BIGINT) AS doc_id", "'the same text' AS text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")       # these few bytes would share a task
+    try:
+        segments = token_planes.write_planes(spark, docs)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = {r["part"]: r["n_docs"] for r in segments.groupBy("part").agg({"n_docs": "sum"}).withColumnRenamed("sum(n_docs)", "n_docs").collect()}
+    assert len(sizes) == 4 and max(sizes.values()) <= 3000 and sum(sizes.values()) == 6000
+    back = [r["start"] for r in token_planes.read_planes(segments).collect()]
+    assert len(set(back)) == 6000
+
+
 def test_unknown_kind():
     with pytest.raises(ValueError):
         PieceEncoder(token_path(FILES[0][0]), "other")
