@@ -10,10 +10,11 @@ pieces joined are the ids of the whole text:
   Other white space (runs, tabs, wide blanks) stays inside a piece.
 
 A piece of plain Latin letters, digits and signs is cut further into its pre-tokens, and the
-library's model encodes each; any other piece goes through the library whole. The distinct
-pieces of a worker are few next to its words. Both caches keep two generations: a full young
-one becomes the old one, and an entry found there is young again, so frequent pieces stay and
-rare ones go. Memory stays bounded by twice ``max_pieces`` and ``max_pre_tokens`` entries, and
+library's model encodes each; any other piece goes through the library whole. The pieces of a
+text that are not known yet are cut in one go, so that a text of many rare words does not pay
+for each one. Both caches, of pieces and of pre-tokens, keep two generations: a full young one
+becomes the old one, and what is found there is young again, so frequent entries stay and rare
+ones go. Memory stays bounded by twice ``max_pieces`` and ``max_pre_tokens`` entries, and
 results never change. ``worker_encoder`` keeps one encoder per Python worker process: later
 tasks of the process neither load the vocabulary again nor start with cold caches.
 
@@ -33,22 +34,23 @@ _IRREGULAR = re.compile("[ \\n]{2}|[\\x00-\\x09\\x0b-\\x1f\\x7f-\\xa0\\u1680\\u1
 _BEFORE_WORD = re.compile(r"(?= [!-~])")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"\n| ?[!-~{_LETTERS}]+")
-#: The tokenizers' own pre-token patterns over plain pieces.
+#: The tokenizers' own pre-token patterns over plain pieces, with a zero byte between pieces.
 _PRE_TOKENS = {
-    "lower_words": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+"),
-    "byte_level": re.compile(rf"\n|'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+"),
+    "lower_words": re.compile(rf"\x00|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s\x00{_LETTERS}0-9]+"),
+    "byte_level": re.compile(rf"\x00|\n|'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s\x00{_LETTERS}0-9]+"),
 }
+#: No id: vocabularies stay far below, so these bytes occur in no row of ids.
+_BETWEEN = b"\xff\xff\xff\xff"
 MAX_PIECES = 200_000            # of one generation
 MAX_PRE_TOKENS = 300_000
 MAX_PIECE_CHARS = 64
 
 
-class PieceEncoder(dict):
+class PieceEncoder:
     """text -> ids as little-endian unsigned 32-bit bytes. ``kind``: lower_words or byte_level."""
 
     def __init__(self, path: str, kind: str, max_pieces: int = MAX_PIECES,
                  max_pre_tokens: int = MAX_PRE_TOKENS):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -61,31 +63,31 @@ class PieceEncoder(dict):
         in_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         plain = [chr(c) for c in [10, *range(32, 127), *range(0xC0, 0x100)]]
         self._alphabet = str.maketrans({c: in_bytes.pre_tokenize_str(c)[0][0] for c in plain})
-        self._known: dict[str, bytes] = {}
+        # plain dicts: a set looks its members up in one, but walks through a subclass
+        self._known: dict[str, bytes] = {"\x00": _BETWEEN}
+        self._pieces: dict[str, bytes] = {}
         self._old_pieces: dict[str, bytes] = {}
         self._old_known: dict[str, bytes] = {}
 
-    def _pre_token(self, pre: str) -> bytes:
-        ids = self._known.get(pre)
-        if ids is None:
-            ids = self._old_known.get(pre)
-            if ids is None:
-                ids = array("I", [t.id for t in self._model.tokenize(pre.translate(self._alphabet))]).tobytes()
-            self._known[pre] = ids
-        return ids
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self._old_pieces.get(piece)
-        if ids is not None:
-            self[piece] = ids
-            return ids
-        if len(piece) > MAX_PIECE_CHARS or not _PLAIN.fullmatch(piece):
-            ids = array("I", self._tok.encode(piece, add_special_tokens=False).ids).tobytes()
-        else:
-            ids = b"".join(map(self._pre_token, self._pre_tokens.findall(piece.lower() if self._lower else piece)))
-        if len(piece) <= MAX_PIECE_CHARS:
-            self[piece] = ids
-        return ids
+    def _model_ids(self, pre: str) -> bytes:
+        return array("I", [t.id for t in self._model.tokenize(pre.translate(self._alphabet))]).tobytes()
+
+    def _learn(self, missing: set[str]) -> list[str]:
+        """Put the missing pieces of a text into the young generation; returns those too long to stay there."""
+        unknown = missing.difference(self._old_pieces)
+        again = missing - unknown
+        self._pieces.update(zip(again, map(self._old_pieces.__getitem__, again)))
+        plain = [p for p in unknown if len(p) <= MAX_PIECE_CHARS and _PLAIN.fullmatch(p)]
+        if plain:
+            joined = "\x00".join(plain)
+            pres = self._pre_tokens.findall(joined.lower() if self._lower else joined)
+            for pre in set(pres).difference(self._known):
+                self._known[pre] = self._old_known.get(pre) or self._model_ids(pre)
+            self._pieces.update(zip(plain, b"".join(map(self._known.__getitem__, pres)).split(_BETWEEN)))
+            unknown.difference_update(plain)
+        for p in unknown:
+            self._pieces[p] = array("I", self._tok.encode(p, add_special_tokens=False).ids).tobytes()
+        return [p for p in unknown if len(p) > MAX_PIECE_CHARS]
 
     def pieces(self, text: str) -> list[str]:
         if self._lower:
@@ -98,12 +100,17 @@ class PieceEncoder(dict):
         """Ids of the whole text; null reads as empty."""
         if not text:
             return b""
-        if len(self) > self.max_pieces:
-            self._old_pieces = dict(self)
-            self.clear()
+        if len(self._pieces) > self.max_pieces:
+            self._old_pieces, self._pieces = self._pieces, {}
         if len(self._known) > self.max_pre_tokens:
-            self._old_known, self._known = self._known, {}
-        return b"".join(map(self.__getitem__, self.pieces(text)))
+            self._old_known, self._known = self._known, {"\x00": _BETWEEN}
+        pieces = self.pieces(text)
+        missing = set(pieces).difference(self._pieces)
+        passing = self._learn(missing) if missing else ()
+        ids = b"".join(map(self._pieces.__getitem__, pieces))
+        for p in passing:
+            del self._pieces[p]
+        return ids
 
 
 def worker_encoder(path: str, kind: str) -> PieceEncoder:

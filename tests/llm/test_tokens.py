@@ -34,8 +34,10 @@ def test_caches_keep_two_generations():
     encoder = PieceEncoder(token_path(FILES[0][0]), FILES[0][1], 3, 3)
     for text in ("one two three four", "five six", "one seven"):
         encoder.ids(text)
-        assert len(encoder) <= 3 + 4 and len(encoder._known) <= 3 + 4
-    assert "one" in encoder and "four" not in encoder and "four" in encoder._old_pieces
+        assert len(encoder._pieces) <= 3 + 4 and len(encoder._known) <= 3 + 4 + 1
+    assert "one" in encoder._pieces and "four" not in encoder._pieces and "four" in encoder._old_pieces
+    encoder.ids("x" * 100)
+    assert "x" * 100 not in encoder._pieces
 
 
 def test_a_worker_builds_its_encoder_once(spark):
