@@ -4,8 +4,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, packing, quality_llr, secrets, sharding, simhash, token_planes, toxicity, url_rules
-from .common import table
+from . import (chat, decontam, packing, quality_llr, runs, secrets, sharding, simhash, token_planes, toxicity, url_rules, vector_graph,
+               whitening)
+from .common import WORD_BREAK, table
 
 #: The rules of op4's contract.
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -73,6 +74,43 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         listed(F.col("found")).alias("spans"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op12_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """The contract's rewritten texts: where crc32(doc_id) ends in 0, the words from a place on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split("text", WORD_BREAK), lambda w: w != "")
+    n = F.size(words)
+    a = F.pmod(g, n).cast("int")
+    tail = n - a
+    p = (F.floor(tail / (F.pmod(g, F.lit(8)) + 3)) + 1).cast("int")
+    root = F.slice(words, a + 1, p)
+    again = F.slice(F.flatten(F.array_repeat(root, F.ceil(tail / p).cast("int"))), F.lit(1), tail)
+    chosen = (F.pmod(h, F.lit(10)) == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return docs.select("doc_id", F.when(chosen, F.array_join(F.concat(F.slice(words, F.lit(1), a), again), " "))
+                       .otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_periods(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"),
+                                                                 (-r["period"]).alias("short"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"),
+                                                                             r["period"].cast("string")), F.lit("\n"))), "")
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.back")).alias("start"),
+        F.col("longest.length").alias("length"), (-F.col("longest.short")).alias("period"),
+        F.floor(1000 * F.col("longest.length") / -F.col("longest.short")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
@@ -84,11 +122,29 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
+    "op11_whitening": op11_whitening,
+    "op12_vector_graph": op12_vector_graph,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: DuckDB SQL where it can say the same. op4: of the rules that fit, the longest; op8: the turns in order, with the
-#: template's length and escapes.
+#: template's length and escapes; op12: all pairs, and the least vec_id reachable.
 SQL: dict[str, str] = {
+    "op12_vector_graph": r"""
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND list_max(list_transform(embedding, x -> abs(x))) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+            ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+        reach(vec_id, other) AS (
+            SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+        least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+        degree AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+        SELECT e.vec_id, coalesce(d.n_links, 0) AS n_links, l.component_id, e.vec_id = l.component_id AS kept,
+               CAST(1 AS DOUBLE) AS audit_recall
+        FROM embeddings e JOIN least l USING (vec_id) LEFT JOIN degree d USING (vec_id)""",
     "op8_chat": r"""
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
