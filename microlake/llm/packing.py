@@ -166,18 +166,19 @@ def _cut(path: str, kind: str, end_id: int, capacity: int):
         encoder = worker_encoder(path, kind)
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64).tolist()
-        end = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = memoryview(encoder.ids(text.as_py()) + end)
-                n = len(ids) // 4
-                begin, piece = 0, 0
-                size = n % capacity or capacity
-                while begin < n:
-                    rows.append((doc_id, piece, begin, size, zlib.crc32(ids[4 * begin:4 * (begin + size)]), part, seen[size]))
-                    seen[size] += 1
-                    begin, piece, size = begin + size, piece + 1, capacity
+            rows, names = [], batch.column(0).to_pylist()
+            for first, ids, ends in encoder.blocks(batch.column(1), end_id):
+                octets, a = memoryview(ids.tobytes()), 0
+                for k, b in enumerate(ends.tolist()):
+                    n, begin, piece = b - a, 0, 0
+                    size = n % capacity or capacity
+                    while begin < n:
+                        at = a + begin
+                        rows.append((names[first + k], piece, begin, size, zlib.crc32(octets[4 * at:4 * (at + size)]), part, seen[size]))
+                        seen[size] += 1
+                        begin, piece, size = begin + size, piece + 1, capacity
+                    a = b
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)] if rows
                                              else [pa.array([], f.type) for f in arrow], schema=arrow)
 

@@ -128,24 +128,26 @@ def _write_part(path: str, kind: str, end_id: int, planes: str, chunk_ids: int,
     def run(batches):
         encoder = worker_encoder(path, kind)
         part, seq = TaskContext.get().partitionId(), 0
-        end = int(end_id).to_bytes(4, "little")
         held, doc_ids, n_tokens, n = [], [], [], 0
 
         def segment():
-            image = write_segment(np.frombuffer(b"".join(held), "<u4"), doc_ids, n_tokens, planes, chunk_ids)
+            image = write_segment(np.concatenate(held), doc_ids, n_tokens, planes, chunk_ids)
             return pa.RecordBatch.from_pylist([{"part": part, "seq": seq, "n_docs": len(doc_ids), "n_ids": n, "image": image}],
                                               schema=schema)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.ids(text.as_py()) + end
-                held.append(ids)
-                doc_ids.append(doc_id)
-                n_tokens.append(len(ids) // 4)
-                n += len(ids) // 4
-                if n >= segment_ids:
-                    yield segment()
-                    held, doc_ids, n_tokens, n, seq = [], [], [], 0, seq + 1
+            names = batch.column(0).to_pylist()
+            for first, ids, ends in encoder.blocks(batch.column(1), end_id):
+                begin = done = 0
+                for k, end in enumerate(ends.tolist()):
+                    doc_ids.append(names[first + k])
+                    n_tokens.append(end - begin)
+                    n, begin = n + end - begin, end
+                    if n >= segment_ids:
+                        held.append(ids[done:end])
+                        yield segment()
+                        held, doc_ids, n_tokens, n, seq, done = [], [], [], 0, seq + 1, end
+                held.append(ids[done:])
         if doc_ids:
             yield segment()
 

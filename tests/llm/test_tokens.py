@@ -4,6 +4,7 @@ from array import array
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_inputs import documents, edge_texts, prose
 from tokenizers import Tokenizer
@@ -30,14 +31,25 @@ def test_pieces_encode_like_whole_texts(file, kind):
         assert encoder.ids(text) == array("I", whole(text)).tobytes(), repr(text)
 
 
-def test_caches_keep_two_generations():
-    encoder = PieceEncoder(token_path(FILES[0][0]), FILES[0][1], 3, 3)
+def test_the_cache_keeps_two_generations():
+    encoder = PieceEncoder(token_path(FILES[0][0]), FILES[0][1], 1000, 3)
     for text in ("one two three four", "five six", "one seven"):
         encoder.ids(text)
-        assert len(encoder._pieces) <= 3 + 4 and len(encoder._known) <= 3 + 4 + 1
-    assert "one" in encoder._pieces and "four" not in encoder._pieces and "four" in encoder._old_pieces
-    encoder.ids("x" * 100)
-    assert "x" * 100 not in encoder._pieces
+        assert len(encoder._known) <= 3 + 4 + 1
+    assert "one" in encoder._known and "four" not in encoder._known and "four" in encoder._old_known
+
+
+@pytest.mark.parametrize("file,kind", FILES)
+def test_blocks_of_texts_encode_like_single_ones(file, kind):
+    rng, whole = random.Random(4), library(file)
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 14))) for _ in range(200)] + edge_texts() + [None, "", "y" * 300]
+    encoder, seen = PieceEncoder(token_path(file), kind, 2000, 100), 0
+    for first, ids, ends in encoder.blocks(pa.array(texts, pa.string()), 7):
+        begin = 0
+        for k, end in enumerate(ends.tolist()):
+            assert ids[begin:end].tolist() == [*whole(texts[first + k]), 7]
+            begin, seen = end, seen + 1
+    assert seen == len(texts)
 
 
 def test_a_worker_builds_its_encoder_once(spark):
