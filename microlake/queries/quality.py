@@ -13,7 +13,7 @@ from microlake.session import scratch_path
 from microlake.sinks import tables
 
 # the declared checks of the history stand-in (event types of the events table)
-DECLARED_CHECKS = ["click", "purchase", "signup", "view"]
+DECLARED_CHECKS = ["click", "error", "purchase", "signup", "view"]
 MIN_WAGE_RATIO = 1212.12
 SMALL_CELL_K = 100
 
@@ -148,11 +148,11 @@ WITH h AS (SELECT CAST(user_id AS INT) AS aula, event_type AS "check", ts,
     row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC,
                        'event ' || CAST(event_id AS VARCHAR) DESC) AS rn
   FROM events),
-r AS (SELECT aula, count_if(status = 'passou' AND "check" IN ('click', 'purchase', 'signup', 'view')) AS p,
-    count_if(status = 'falhou' AND "check" IN ('click', 'purchase', 'signup', 'view')) AS f, max(ts) AS ultima
+r AS (SELECT aula, count_if(status = 'passou' AND "check" IN ('click', 'error', 'purchase', 'signup', 'view')) AS p,
+    count_if(status = 'falhou' AND "check" IN ('click', 'error', 'purchase', 'signup', 'view')) AS f, max(ts) AS ultima
   FROM h WHERE rn = 1 GROUP BY aula)
-SELECT CAST(c_custkey AS INT) AS aula, CAST(4 AS BIGINT) AS declarados, CAST(coalesce(p, 0) AS BIGINT) AS passaram,
-  CAST(coalesce(f, 0) AS BIGINT) AS falharam, CAST(4 - coalesce(p, 0) - coalesce(f, 0) AS BIGINT) AS sem_execucao,
+SELECT CAST(c_custkey AS INT) AS aula, CAST(5 AS BIGINT) AS declarados, CAST(coalesce(p, 0) AS BIGINT) AS passaram,
+  CAST(coalesce(f, 0) AS BIGINT) AS falharam, CAST(5 - coalesce(p, 0) - coalesce(f, 0) AS BIGINT) AS sem_execucao,
   ultima AS ultima_execucao
 FROM customer LEFT JOIN r ON aula = CAST(c_custkey AS INT)""",
     "small_cell_suppression": o.with_(*o.BASE_ACTIVE, o.STATES) + f"""

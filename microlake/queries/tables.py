@@ -166,14 +166,15 @@ def _versioned_orders(spark, sf):
             rows = rows.filter(F.col("ano") == year)
         tables.replace_partition(rows, path, years)
         counts = dict(rows.groupBy("ano").count().collect())            # a row per year
-        for y in years:
-            tables.log_write(spark, history, "orders", y, "replace", version, _MOMENTS[version], counts.get(y, 0))
+        tables.log_writes(spark, history, [("orders", y, "replace", version, _MOMENTS[version], counts.get(y, 0)) for y in years])
     return path, archive, history
 
 
 def table_history(spark, sf):
-    """Every write of the table: version, operation, snapshot id, time, rows."""
+    """Every write of the table: version, operation, snapshot id, time, rows. A write logged
+    last with the earliest time gets the next version; the others keep theirs."""
     _, _, history = _versioned_orders(spark, sf)
+    tables.log_write(spark, history, "orders", REPLACED_YEAR, "import", "v0", "2023-12-01 00:00:00", 0)
     return tables.table_history(spark, history)
 
 
@@ -209,14 +210,14 @@ def snapshot_retention(spark, sf):
 
 
 def upsert_by_join(spark, sf):
-    """Pending orders become finished with a corrected price; their negated keys are inserted
-    as new orders. Only the years that hold pending orders are read whole and rewritten; of
+    """Pending orders become finished with a corrected price; new orders under negative keys
+    (-1 - key: key 0 must not be changed twice) are inserted. Only the years that hold pending orders are read whole and rewritten; of
     the others the keys alone are read, to find changed orders that moved."""
     path = _orders_table(spark, sf)
     pend = _orders(spark, sf).filter(F.col("o_orderstatus") == "P")
     upd = pend.withColumn("o_orderstatus", F.lit("F")).withColumn(
         "o_totalprice", (F.col("o_totalprice") + 1).cast("decimal(18,2)"))
-    ins = pend.withColumn("o_orderkey", -F.col("o_orderkey"))
+    ins = pend.withColumn("o_orderkey", -F.col("o_orderkey") - 1)
     tables.upsert_partitions(spark, path, upd.unionByName(ins), ["o_orderkey"], scratch_path(spark, "upsert-stage"),
                              keys_move=True)
     return tables.read_table(spark, path).drop("ano")
@@ -280,9 +281,11 @@ FROM t, LATERAL (SELECT * FROM (VALUES ('o_custkey', c1, nb1, na1), ('o_ordersta
 , w AS (SELECT 'v1' AS snapshot_id, TIMESTAMP '2024-01-01 00:00:00' AS ts, ano, count(*) AS linhas FROM od GROUP BY ano
   UNION ALL SELECT 'v2', TIMESTAMP '2024-02-01 00:00:00', {REPLACED_YEAR}, count(*) FROM od
     WHERE ano = {REPLACED_YEAR} AND o_orderstatus = 'F'
-  UNION ALL SELECT 'v3', TIMESTAMP '2024-03-01 00:00:00', {REPLACED_YEAR}, 0)
+  UNION ALL SELECT 'v3', TIMESTAMP '2024-03-01 00:00:00', {REPLACED_YEAR}, 0),
+n AS (SELECT *, row_number() OVER (ORDER BY ts, snapshot_id, ano) - 1 AS versao FROM w)
 SELECT 'orders' AS tabela, CAST(ano AS INT) AS ano, 'replace' AS operacao, snapshot_id, ts, CAST(linhas AS BIGINT) AS linhas,
-  CAST(row_number() OVER (ORDER BY ts, snapshot_id, ano) - 1 AS BIGINT) AS versao FROM w""",
+  CAST(versao AS BIGINT) AS versao FROM n
+UNION ALL SELECT 'orders', {REPLACED_YEAR}, 'import', 'v0', TIMESTAMP '2023-12-01 00:00:00', 0, count(*) FROM n""",
     "snapshot_as_of": o.with_(_OD) + f"""
 , t AS (SELECT '2024-01-15 00:00:00' AS em, * FROM od
   UNION ALL SELECT '2024-02-15 00:00:00', * FROM od WHERE ano <> {REPLACED_YEAR} OR o_orderstatus = 'F'
@@ -294,7 +297,7 @@ SELECT 's' || ano AS snapshot_id, CAST(ano AS INT) AS ano, CAST(count(*) AS BIGI
     "upsert_by_join": o.with_(_OD) + """
 , ch AS (SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus, CAST(o_totalprice + 1 AS DECIMAL(18,2)) AS o_totalprice,
            o_orderpriority FROM od WHERE o_orderstatus = 'P'
-         UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM od
+         UNION ALL SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM od
          WHERE o_orderstatus = 'P')
 SELECT coalesce(c.o_orderkey, b.o_orderkey) AS o_orderkey,
   CASE WHEN c.o_orderkey IS NOT NULL THEN c.o_custkey ELSE b.o_custkey END AS o_custkey,

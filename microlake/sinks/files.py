@@ -53,16 +53,95 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(Path(path), True))
 
 
-def replace_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Put folder ``source`` in the place of folder ``target`` (renames; no data is read)."""
+SWAP, ASIDE = "_swap-", "_aside-"
+
+
+def _join(path: str, name: str) -> str:
+    return f"{path.rstrip('/')}/{name}"
+
+
+def replace_folder(spark: SparkSession, source: str, target: str, keep: str | None = None, between=lambda step: None) -> None:
+    """Put folder ``source`` in the place of folder ``target`` (renames; no data is read).
+
+    The old folder is moved aside, the new one moved in, the old one removed, or moved to
+    ``keep`` where that is given. An intent
+    record beside the target, written first and removed last, names both, so a load that
+    stops in between is finished or undone by ``recover_swaps``: old or new rows, never
+    none. A missing source leaves the target's place empty. ``between`` is called with the
+    number of each finished step (tests stop there).
+    """
     fs, Path = _fs(spark, target)
+    parent, name = target.rstrip("/").rsplit("/", 1)
+    intent, aside = _join(parent, SWAP + name), _join(parent, ASIDE + name)
+    if fs.exists(Path(intent)):
+        recover_swaps(spark, parent)
+    fs.mkdirs(Path(parent))
+    moves_in = fs.exists(Path(source))
+    out = fs.create(Path(intent), True)
+    out.write(bytearray(f"{'move' if moves_in else 'empty'}\n{source}\n{keep or ''}\n".encode()))
+    out.close()
+    between(1)
     if fs.exists(Path(target)):
-        fs.delete(Path(target), True)
-    fs.mkdirs(Path(target).getParent())
-    if fs.exists(Path(source)) and not fs.rename(Path(source), Path(target)):
+        _rename(fs, Path, target, aside)
+    between(2)
+    if moves_in:
+        _rename(fs, Path, source, target)
+    between(3)
+    _put_away(fs, Path, aside, keep)
+    between(4)
+    fs.delete(Path(intent), True)
+
+
+def _put_away(fs, Path, aside: str, keep: str | None) -> None:
+    if keep and fs.exists(Path(aside)):
+        fs.mkdirs(Path(keep).getParent())
+        _rename(fs, Path, aside, keep)
+    fs.delete(Path(aside), True)
+
+
+def _rename(fs, Path, source: str, target: str) -> None:
+    if not fs.rename(Path(source), Path(target)):
         raise OSError(f"rename failed: {source} -> {target}")
 
 
+def recover_swaps(spark: SparkSession, parent: str) -> dict[str, str]:
+    """Finish or undo the swaps that a stopped load left under ``parent``: name -> what was done.
+
+    A swap whose old folder still stands is undone (nothing had moved); one whose old folder
+    lies aside is finished, or undone if the new folder is gone.
+    """
+    fs, Path = _fs(spark, parent)
+    done = {}
+    for record in list_files(spark, _join(parent, SWAP + "*")):
+        name = record.rsplit("/", 1)[1][len(SWAP):]
+        target, aside = _join(parent, name), _join(parent, ASIDE + name)
+        stream = fs.open(Path(record))
+        text = bytes(stream.readAllBytes()).decode()
+        stream.close()
+        kind, source, keep = (text.split("\n") + ["", "", ""])[:3]
+        if text.count("\n") < 3 or kind not in ("move", "empty"):
+            done[name] = "undone"                           # the record itself was not finished: nothing had moved
+        elif kind == "empty":
+            done[name] = "finished"
+            if not fs.exists(Path(aside)):
+                fs.delete(Path(target), True)
+        elif fs.exists(Path(target)) and fs.exists(Path(source)):
+            done[name] = "undone"
+        elif fs.exists(Path(target)):
+            done[name] = "finished"
+        elif fs.exists(Path(source)):
+            _rename(fs, Path, source, target)
+            done[name] = "finished"
+        elif fs.exists(Path(aside)):
+            _rename(fs, Path, aside, target)
+            done[name] = "undone"
+        else:
+            done[name] = "undone"
+        _put_away(fs, Path, aside, keep if done[name] == "finished" else None)
+        fs.delete(Path(record), True)
+    return done
+
+
 def hidden_files(spark: SparkSession, pattern: str) -> list[str]:
     """Files that Spark's readers pass over because their name begins with '_' (metadata only)."""
     return [p for p in list_files(spark, pattern) if p.rsplit("/", 1)[-1].startswith("_")]

@@ -4,14 +4,16 @@ compaction, retained snapshots, manifest, CSV export and key upserts.
 Without a transactional table format (no Delta jars here) a replace is a dynamic
 partition overwrite: only the partitions present in the written data are replaced,
 other years are untouched. It is not isolated from concurrent readers; history and
-time travel are provided by retained snapshots plus the run manifest.
+time travel are provided by retained snapshots plus the run manifest. Staged years are
+moved into place with an intent record (``files.replace_folder``); every load first
+finishes or undoes what a stopped one left (``recover``).
 """
 from __future__ import annotations
 
 import math
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from microlake.sinks import files
@@ -54,6 +56,7 @@ def replace_partition(df: DataFrame, path: str, ano: int | list[int], merge_sche
     write did not change is removed afterwards.
     """
     spark = df.sparkSession
+    recover(spark, path)
     years = ano if isinstance(ano, (list, tuple)) else [ano]
     folders = {y: f"{path.rstrip('/')}/{col}={y}" for y in years}
     if files.list_data_files(spark, f"{path.rstrip('/')}/{col}=*/*"):
@@ -68,6 +71,11 @@ def replace_partition(df: DataFrame, path: str, ano: int | list[int], merge_sche
             files.delete(spark, p)
 
 
+def recover(spark: SparkSession, path: str) -> dict[str, str]:
+    """Finish or undo the partition swaps that a stopped load left in the table (one listing)."""
+    return files.recover_swaps(spark, path) if files.exists(spark, path) else {}
+
+
 def write_table(df: DataFrame, path: str, col: str = PARTITION, files_per_partition: int | None = None) -> None:
     """Replace the whole table (schema included), partitioned by ``col``."""
     out = df.coalesce(files_per_partition) if files_per_partition else df
@@ -127,6 +135,7 @@ def compact_partition(spark: SparkSession, path: str, ano: int, staging: str,
     copies must agree; then the staged files are moved into the partition's place and the
     staging folder is removed. Returns the new file count.
     """
+    recover(spark, path)
     n = max(1, math.ceil(partition_bytes(spark, path, ano, col) / target_bytes))
     part = read_partition(spark, path, ano, col=col)
     part.repartition(n).write.mode("overwrite").partitionBy(col).parquet(staging)
@@ -143,7 +152,15 @@ def compact_partition(spark: SparkSession, path: str, ano: int, staging: str,
 def archive_snapshot(df: DataFrame, archive_path: str, snapshot_id: str,
                      col: str = PARTITION) -> None:
     """Append the current rows of a partition to the archive, tagged with a snapshot
-    id (partitioned by year and snapshot), before it is replaced."""
+    id (partitioned by year and snapshot), before it is replaced. An id that the archive
+    holds already for one of the years is refused: its rows would mix with the new ones."""
+    spark = df.sparkSession
+    used = files.list_folders(spark, f"{archive_path.rstrip('/')}/{col}=*/snapshot_id={snapshot_id}")
+    if used:
+        years = {str(r[0]) for r in df.select(col).distinct().collect()}            # a row per year
+        clash = sorted(y for y in (f.rsplit("/", 2)[1].split("=", 1)[1] for f in used) if y in years)
+        if clash:
+            raise ValueError(f"snapshot id {snapshot_id!r} is in use for {col} {clash}")
     (df.withColumn("snapshot_id", F.lit(snapshot_id)).write.mode("append")
        .partitionBy(col, "snapshot_id").parquet(archive_path))
 
@@ -186,13 +203,35 @@ def compare_versions(before: DataFrame, after: DataFrame, keys: list[str]) -> Da
         "r.*", F.col("_only_before").alias("so_antes"), F.col("_only_after").alias("so_depois"))
 
 
+def source_problems(changes: DataFrame, keys: list[str], needed: list[str]) -> list[str]:
+    """Why ``changes`` cannot be merged: keys that occur twice (a NULL is a key value like any
+    other), rows without a value in a ``needed`` column. One aggregate; counts reach the driver."""
+    per_key = changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}")
+                                                                         for i, c in enumerate(needed)])
+    row = per_key.agg(F.count_if(F.col("_n") > 1).alias("_twice"), *[F.sum(f"_null_{i}").alias(f"_null_{i}") for i in range(len(needed))]).first()
+    out = [f"{row['_twice']} keys occur more than once"] if row["_twice"] else []
+    return out + [f"{row[f'_null_{i}']} rows without {c}" for i, c in enumerate(needed) if row[f"_null_{i}"]]
+
+
+def match(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on equal keys, a NULL equal to a NULL; the keys stand once, from the side that has them."""
+    names = {k: f"_r_{k}" for k in keys}
+    renamed = right.withColumnsRenamed(names)
+    on = [F.col(k).eqNullSafe(F.col(r)) for k, r in names.items()]
+    joined = left.join(renamed, on, how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    return joined.select(*[F.coalesce(k, r).alias(k) for k, r in names.items()],
+                         *[F.col(c) for c in left.columns if c not in keys], *[F.col(c) for c in right.columns if c not in keys])
+
+
 def upsert_by_key(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """MERGE-like upsert: full outer join on the key, the change wins where present.
-    Deletions are not modelled (the source never deletes)."""
+    """MERGE-like upsert: full outer join on the key (NULLs match), the change wins where
+    present. Deletions and conditions: ``sinks.merge``."""
     cols = [c for c in base.columns if c not in keys]
     ch = changes.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in cols],
                         F.lit(True).alias("_new"))
-    j = base.join(ch, keys, "full")
+    j = match(base, ch, keys, "full")
     return j.select(*keys, *[F.when(F.col("_new"), F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c)
                              for c in cols])
 
@@ -207,23 +246,35 @@ def upsert_partitions(spark: SparkSession, path: str, changes: DataFrame, keys:
     by a scan of the key columns alone), and the row leaves its old one. The merged partitions
     are written to a staging table and moved into place; one left without a row is removed;
     the others stay as they are. Returns the years.
+
+    Changes that name one key twice or lack the partition are refused before anything is
+    written; a NULL key matches the NULL key.
     """
+    recover(spark, path)
+    problems = source_problems(changes, keys if keys_move else [*keys, col], [col])
+    if problems:
+        raise ValueError(f"{path}: changes cannot be merged: {'; '.join(problems)}")
     stored, places = read_table(spark, path), changes.select(col)
     if keys_move:
-        places = places.union(stored.select(*keys, col).join(changes.select(*keys), keys, "left_semi").select(col))
+        places = places.union(match(stored.select(*keys, col), changes.select(*keys), keys, "left_semi").select(col))
     years = sorted(r[0] for r in places.distinct().collect())       # a row per touched year
     if not years:
         return []
     touched = stored.filter(F.col(col).isin(years))
     merged = upsert_by_key(touched, changes, keys if keys_move else [*keys, col])
-    problems = write_problems(merged, touched, False, col)
+    replace_years(spark, merged, path, years, staging, col)
+    return years
+
+
+def replace_years(spark: SparkSession, rows: DataFrame, path: str, years: list[int], staging: str, col: str = PARTITION) -> None:
+    """Write ``rows``, the new content of ``years``, to a staging table and move each year into place."""
+    problems = write_problems(rows, read_table(spark, path), False, col)
     if problems:
         raise SchemaMismatch(f"{path}: {'; '.join(problems)}")
-    merged.write.partitionBy(col).parquet(staging)
+    rows.write.partitionBy(col).parquet(staging)
     for y in years:
         files.replace_folder(spark, f"{staging.rstrip('/')}/{col}={y}", f"{path.rstrip('/')}/{col}={y}")
     files.delete(spark, staging)
-    return years
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -271,12 +322,16 @@ def publish_year(spark: SparkSession, silver: DataFrame, bronze: DataFrame, path
     the gate metrics in that same job (no second scan); the gate compares them with
     the bronze count, and only a passing year is published: its staged files are moved
     into place, nothing is written twice. With ``archive`` the files of the year as it was
-    are moved there first, as snapshot ``snapshot_id``. A failing gate raises and leaves
-    the published table as it was.
+    are moved there in the same swap, as snapshot ``snapshot_id`` (an id used before is refused). A
+    failing gate raises and leaves the published table as it was.
     """
     from pyspark.sql import Observation
 
     from microlake.operators import quality
+    recover(spark, path)
+    kept = f"{archive.rstrip('/')}/{col}={ano}/snapshot_id={snapshot_id}" if archive and snapshot_id else None
+    if kept and files.list_data_files(spark, f"{kept}/*"):
+        raise ValueError(f"snapshot id {snapshot_id!r} is in use for {col} {ano}")
     obs = Observation(f"gate_{ano}")
     replace_partition(silver.observe(obs, *quality.silver_metrics(col)), staging, ano, col=col)
     m = obs.get
@@ -291,9 +346,7 @@ def publish_year(spark: SparkSession, silver: DataFrame, bronze: DataFrame, path
         problems = write_problems(spark.read.parquet(staging), read_table(spark, path, merge_schema=True), False, col)
         if problems:
             raise SchemaMismatch(f"{path}: {'; '.join(problems)}")
-    if archive and snapshot_id and files.list_data_files(spark, f"{folder}/*"):
-        files.replace_folder(spark, folder, f"{archive.rstrip('/')}/{col}={ano}/snapshot_id={snapshot_id}")
-    files.replace_folder(spark, f"{staging.rstrip('/')}/{col}={ano}", folder)
+    files.replace_folder(spark, f"{staging.rstrip('/')}/{col}={ano}", folder, keep=kept)
     files.delete(spark, staging)
     return int(m["qtd_silver"])
 
@@ -333,22 +386,38 @@ def write_gold(spark: SparkSession, silver: DataFrame, root: str, files_per_mart
 
 # --- history and time travel ------------------------------------------------------------
 
-HISTORY = "tabela string, ano int, operacao string, snapshot_id string, ts timestamp_ntz, linhas long"
+HISTORY = "tabela string, ano int, operacao string, snapshot_id string, ts timestamp_ntz, linhas long, versao long"
+
+
+def log_writes(spark: SparkSession, history: str, rows: list[tuple]) -> None:
+    """Append operations (tabela, ano, operacao, snapshot_id, ts, linhas) to the history table: what
+    was written when, and the id under which the archive keeps what the year held before.
+
+    Each gets the next version of its table, counted from 0, in the order given; a version is
+    stored and never changes, whatever times are logged later. One writer at a time.
+    """
+    next_of: dict[str, int] = {}
+    if files.exists(spark, history):
+        past = spark.read.schema(HISTORY).parquet(history).groupBy("tabela").agg(F.max("versao").alias("v"))
+        next_of = {r["tabela"]: r["v"] + 1 for r in past.collect()}                 # a row per table
+    numbered = []
+    for row in rows:
+        v = next_of.get(row[0], 0)
+        next_of[row[0]] = v + 1
+        numbered.append((*row, v))
+    spark.createDataFrame(numbered, HISTORY.replace("timestamp_ntz", "string")).withColumn("ts", F.to_timestamp_ntz("ts")) \
+        .coalesce(1).write.mode("append").parquet(history)
 
 
 def log_write(spark: SparkSession, history: str, tabela: str, ano: int, operacao: str, snapshot_id: str,
               ts: str, linhas: int) -> None:
-    """Append one operation to the history table: what was written when, and the id under
-    which the archive keeps what the year held before."""
-    row = spark.createDataFrame([(tabela, ano, operacao, snapshot_id, ts, linhas)],
-                                HISTORY.replace("timestamp_ntz", "string")).withColumn("ts", F.to_timestamp_ntz("ts"))
-    row.coalesce(1).write.mode("append").parquet(history)
+    """Append one operation to the history table."""
+    log_writes(spark, history, [(tabela, ano, operacao, snapshot_id, ts, linhas)])
 
 
 def table_history(spark: SparkSession, history: str) -> DataFrame:
-    """The history with a version per table, counted from 0 in order of time (one row per load)."""
-    order = Window.partitionBy("tabela").orderBy("ts", "snapshot_id", "ano")
-    return spark.read.schema(HISTORY).parquet(history).withColumn("versao", (F.row_number().over(order) - 1).cast("long"))
+    """The history, with the version each write got."""
+    return spark.read.schema(HISTORY).parquet(history)
 
 
 def read_as_of(spark: SparkSession, path: str, archive: str, history: str, tabela: str, ts: str,
