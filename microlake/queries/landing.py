@@ -69,20 +69,24 @@ def file_name_of(municipio) -> F.Column:
 
 
 def _write_layout(df: DataFrame, staging: str, headers: dict[str, str], sep: str,
-                  quote_all: bool) -> None:
+                  quote_all: bool, last: F.Column | None) -> None:
     cols = [F.col(k).alias(v) for k, v in headers.items()]
-    (df.select("ano", "arquivo", *cols)
-       .repartition("ano", "arquivo")          # one task, hence one file, per output file
+    rows = df.select("ano", "arquivo", *cols, *([last.alias("_last")] if last is not None else [])) \
+        .repartition("ano", "arquivo")         # one task, hence one file, per output file
                                                # (a file name may carry a part suffix, below)
-       .write.mode("overwrite")
+    if last is not None:
+        rows = rows.sortWithinPartitions("ano", "arquivo", "_last", *[F.col(f"`{v}`") for v in headers.values()]).drop("_last")
+    (rows.write.mode("overwrite")
        .partitionBy("ano", "arquivo")
        .option("header", True).option("sep", sep).option("encoding", "ISO-8859-1")
        .option("quoteAll", quote_all).option("escape", '"')
        .csv(staging))
 
 
-def write_landing(spark: SparkSession, raw: DataFrame, root: str, parts_per_file: int = 1) -> str:
-    """root/<ano>/VINCULOS_<REGION>.<ext> with stable names.
+def write_landing(spark: SparkSession, raw: DataFrame, root: str, parts_per_file: int = 1,
+                  last: F.Column | None = None) -> str:
+    """root/<ano>/VINCULOS_<REGION>.<ext> with stable names. With ``last``, rows are sorted
+    within a file, those for which it is true behind the others.
 
     With ``parts_per_file`` > 1 every (year, region) file is split by a row hash into
     that many files (``..._<k>.<ext>``) so a region holding a large share of the rows
@@ -102,7 +106,7 @@ def write_landing(spark: SparkSession, raw: DataFrame, root: str, parts_per_file
     for name, part, headers, sep, quote_all in (
             ("old", old, OLD_HEADERS, ";", False), ("new", new, NEW_HEADERS, ",", True)):
         staging = scratch_path(spark, f"landing-staging-{name}")
-        _write_layout(part, staging, headers, sep, quote_all)
+        _write_layout(part, staging, headers, sep, quote_all, last)
 
         def target(path: str) -> str:
             parts = path.rstrip("/").split("/")

@@ -26,6 +26,25 @@ LINEAGE = "arquivo_origem"
 _NO_SEP = "\u0001"
 
 
+def listed_path(col) -> "F.Column":
+    """A file path as the listing gives it, with one slash behind ``file:``."""
+    return F.regexp_replace(col, "^file:/+", "file:/")
+
+
+def _decoded(col) -> "F.Column":
+    return F.url_decode(F.replace(col, F.lit("+"), F.lit("%2B")))
+
+
+def scanned_path() -> "F.Column":
+    """The path of a scanned file in the listing's form: ``_metadata`` is URL-encoded."""
+    return listed_path(_decoded(F.col("_metadata.file_path")))
+
+
+def scanned_name() -> "F.Column":
+    """The name of a scanned file as the listing gives it."""
+    return _decoded(F.col("_metadata.file_name"))
+
+
 def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ";") -> DataFrame:
     """Header, chosen separator, latin-1, every column a string; quoted fields with
     doubled quotes inside are accepted (``escape='"'``)."""
@@ -51,7 +70,7 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
             .option("encoding", LATIN1)
             .csv(paths)
             .select("line", F.col("_metadata.file_path").alias("caminho"),
-                    F.col("_metadata.file_name").alias("arquivo"),
+                    scanned_name().alias("arquivo"),
                     F.col("_metadata.file_block_start").alias("_block")))
 
 
@@ -137,7 +156,7 @@ def prepare_bronze(df: DataFrame, ano: int | None) -> DataFrame:
     """Normalised and canonical names, lineage, and the year: a constant, or (``None``)
     the year folder of each file. A source column named like the year or the lineage
     gives way to them. One projection, as ``_metadata`` only exists on the scan."""
-    lineage = F.col(LINEAGE) if LINEAGE in df.columns else F.col("_metadata.file_name")
+    lineage = F.col(LINEAGE) if LINEAGE in df.columns else scanned_name()
     year = folder_year() if ano is None else F.lit(ano).cast("int")
     names = normalized_names(df.columns)
     kept = [F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names) if n not in ("ano", LINEAGE)]
@@ -217,7 +236,7 @@ def line_counts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     Every line counts, blank ones too: line ends are the same bytes in any one-byte charset.
     """
     lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("caminho"),
-                                          F.col("_metadata.file_name").alias("arquivo"))
+                                          scanned_name().alias("arquivo"))
     return (lines.groupBy(F.regexp_extract("caminho", r"/(\d{4})/[^/]+$", 1).try_cast("int").alias("ano"), "arquivo")
             .agg((F.count(F.lit(1)) - 1).alias("linhas_dados")))
 
@@ -239,33 +258,54 @@ def line_hash(line) -> "F.Column":
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
 
 
+_AT_BITS = (1 << 33) - 1
+
+
+def line_sums(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Per split of a file (caminho, inicio): lines ``n``, the sum ``soma`` of their hashes in any
+    order, and ``pesada``, the sum of each hash times the line's number within the split.
+
+    Lines are the bytes between line feeds, blank ones too, decoded as latin-1. A task numbers
+    its rows, so with ``first`` the number of a split's first row, sum h (at - first + 1) =
+    sum h at - (first - 1) sum h: partial sums leave a row per split and task, no line is
+    shuffled or sorted.
+    """
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit(_AT_BITS))
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
+        scanned_path().alias("caminho"), F.col("_metadata.file_block_start").alias("inicio"), at.alias("_at"),
+        line_hash(F.decode(F.col("value").cast("binary"), LATIN1)).alias("_h"))
+    sums = lines.groupBy("caminho", "inicio").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_h").alias("soma"), F.min("_at").alias("_first"),
+        F.sum(F.col("_h") * F.col("_at").cast("decimal(10,0)")).alias("_by_at"))
+    first = (F.col("_first") - 1).cast("decimal(11,0)")
+    return sums.select("caminho", "inicio", "n", F.col("soma").cast("decimal(38,0)").alias("soma"),
+                       (F.col("_by_at") - first * F.col("soma")).cast("decimal(38,0)").alias("pesada"))
+
+
+_MODULUS = 2 ** 61 - 1
+
+
 def fingerprints(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Per file (year folder and name): size, modification time, lines, ``checksum`` of the
     lines in any order, and ``sequencia``, a checksum that lines in another order change.
 
-    A distributed scan: multi-GB files are split across tasks (``binaryFile`` + sha2 would
-    load each into one row). Lines are numbered within each split, and the splits of a file
-    start where those before them end.
+    Files come from the listing, so one without a byte has a row of zeros; lines from one
+    scan split across tasks (``line_sums``). The splits of a file start where those before
+    them end: a window over a row per split.
     """
-    lines = (read_lines(spark, paths)
-             .withColumn("_at", F.monotonically_increasing_id()))
-    meta = (spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("caminho"), F.col("_metadata.file_size").alias("tamanho"),
-        F.col("_metadata.file_modification_time").alias("modificado"))
-        .groupBy("caminho").agg(F.max("tamanho").alias("tamanho"), F.max("modificado").alias("modificado")))
-    block = Window.partitionBy("caminho", "_block")
-    numbered = lines.withColumn("_n", F.row_number().over(block.orderBy("_at")))
-    h = line_hash(F.col("line"))
-    per_block = numbered.groupBy("caminho", "arquivo", "_block").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(h).alias("soma"), F.sum(h * F.col("_n").cast("decimal(12,0)")).alias("pesada"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("caminho").orderBy("_block")
+    from microlake.sinks import files
+    found = files.list_data_files(spark, paths, with_time=True)
+    listed = spark.createDataFrame([(f[0], f[1], f[2], f[3]) for f in found], "caminho string, arquivo string, tamanho long, ms long") \
+        .select(listed_path(F.col("caminho")).alias("caminho"), "arquivo", "tamanho", F.timestamp_millis("ms").alias("modificado"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("caminho").orderBy("inicio")
                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    modulus = F.lit(2 ** 61 - 1).cast("decimal(38,0)")
-    moved = per_block.withColumn("antes", before.cast("decimal(12,0)")).withColumn(
+    modulus = F.lit(_MODULUS).cast("decimal(38,0)")
+    placed = line_sums(spark, paths).withColumn("antes", before.cast("decimal(12,0)")).withColumn(
         "pesada", F.pmod(F.pmod(F.col("pesada"), modulus) + F.pmod(F.pmod(F.col("soma"), modulus) * F.col("antes"), modulus), modulus))
-    return (moved.groupBy("caminho", "arquivo")
-            .agg(F.sum("n").alias("linhas"), F.sum("soma").cast("decimal(38,0)").alias("checksum"),
-                 F.pmod(F.sum("pesada"), modulus).cast("decimal(38,0)").alias("sequencia"))
-            .join(meta, "caminho")
-            .select(F.regexp_extract("caminho", r"/(\d{4})/[^/]+$", 1).try_cast("int").alias("ano"), "arquivo",
-                    "tamanho", "modificado", "linhas", "checksum", "sequencia"))
+    sums = placed.groupBy("caminho").agg(F.sum("n").alias("linhas"), F.sum("soma").cast("decimal(38,0)").alias("checksum"),
+                                         F.pmod(F.sum("pesada"), modulus).cast("decimal(38,0)").alias("sequencia"))
+    zero = F.lit(0).cast("decimal(38,0)")
+    return listed.join(sums, "caminho", "left").select(
+        F.regexp_extract("caminho", r"/(\d{4})/[^/]+$", 1).try_cast("int").alias("ano"), "arquivo", "tamanho", "modificado",
+        F.coalesce("linhas", F.lit(0)).alias("linhas"), F.coalesce("checksum", zero).alias("checksum"),
+        F.coalesce("sequencia", zero).alias("sequencia"))
