@@ -8,12 +8,14 @@ bit-parallel algorithm finds the least edit distance of the item to any substrin
 a distance within the budget is a match.
 
 The items are the query set: they are read in blocks of at most ``block_chars`` characters
-(sizes are measured, blocks are formed by Spark), and one block's automaton is what the
-driver and a task hold. A larger benchmark means more passes over the documents, never a
-larger broadcast.
+(sizes are measured, blocks are formed by Spark; rows that repeat an item count once there).
+A Python worker process builds a block's automaton once and keeps it for its later tasks: some
+64 MB per million item characters, so a full block takes about 130 MB. A larger benchmark means
+more passes over the documents, never a larger broadcast.
 """
 from __future__ import annotations
 
+import hashlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -23,11 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import unused_name
+from .common import per_worker, unused_name
 
 ERROR_RATE = 0.08
 MIN_FUZZY_CHARS = 40
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 2_000_000
 
 MATCHES = "doc_id long, item_id long, distance int, budget int, first_char int, last_char int"
 
@@ -79,16 +81,44 @@ def myers(masks: dict[str, int], m: int, text: str, budget: int) -> tuple[int, i
     return (best, end) if best <= budget else None
 
 
+def start_of(item: str, text: str, end: int, distance: int) -> int:
+    """Where a stretch of ``text`` begins that ends at ``end`` and lies ``distance`` edits from ``item``.
+
+    Myers' recurrence over both read backwards, with the text's side tied to ``end``. Of
+    several beginnings the one that makes the stretch as long as the item counts, or next to
+    that, the longer one first.
+    """
+    m, masks = len(item), defaultdict(int)
+    for i, c in enumerate(reversed(item)):
+        masks[c] |= 1 << i
+    full, top = (1 << m) - 1, 1 << (m - 1)
+    plus, minus, score = full, 0, m
+    best = (m, 1, end) if score == distance else None
+    for n in range(1, min(end, m + distance) + 1):
+        eq = masks.get(text[end - n], 0)
+        x = eq | minus
+        d0 = (((eq & plus) + plus) ^ plus) | x
+        up = minus | (full & ~(d0 | plus))
+        down = plus & d0
+        score += bool(up & top) - bool(down & top)
+        up, down = (up << 1) | 1, down << 1
+        plus, minus = (down | ~(d0 | up)) & full, up & d0 & full
+        if score == distance:
+            found = (abs(n - m), n < m, end - n)
+            best = found if best is None else min(best, found)
+    return best[2] if best else max(0, end - m)
+
+
 class Matcher:
     """Pieces of a block of items, and the verification of their hits."""
 
-    def __init__(self, items: Iterable[tuple[int | None, str | None]], error_rate: float = ERROR_RATE,
-                 min_fuzzy: int = MIN_FUZZY_CHARS):
+    def __init__(self, items: Iterable[tuple], error_rate: float = ERROR_RATE, min_fuzzy: int = MIN_FUZZY_CHARS):
+        """``items``: (id, text), or (id, text, times) for a row that occurs so often."""
         ids = defaultdict(list)
-        for item_id, text in items:
+        for item_id, text, *times in items:
             norm = normalise(text)
             if norm:                        # an item without a character occurs nowhere
-                ids[norm].append(item_id)
+                ids[norm].append((item_id, times[0] if times else 1))
         self.items = list(ids.items())
         self.budgets = [budget_of(len(t), error_rate, min_fuzzy) for t, _ in self.items]
         self.masks: list[dict[str, int]] = []
@@ -140,28 +170,40 @@ class Matcher:
                 for a, b in spans:
                     hit = myers(self.masks[k], m, text[a:b], budget)
                     if hit and (best is None or hit[0] < best[0]):
-                        best = (hit[0], max(0, a + hit[1] - m), a + hit[1])
+                        best = (hit[0], None, a + hit[1])
             if best:
-                for item_id in item_ids:
-                    yield item_id, best[0], budget, best[1], best[2]
+                first = best[1] if best[1] is not None else start_of(item, text, best[2], best[0])
+                for item_id, times in item_ids:
+                    for _ in range(times):
+                        yield item_id, best[0], budget, first, best[2]
 
 
-def _blocks(spark: SparkSession, items: DataFrame, block_chars: int) -> Iterator[list[tuple[int | None, str | None]]]:
-    """Items of one block after another; only one is ever on the driver."""
-    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+def _blocks(spark: SparkSession, items: DataFrame, block_chars: int) -> Iterator[list[tuple[int | None, str | None, int]]]:
+    """Items (id, text, times) of one block after another; only one is ever on the driver."""
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")) \
+        .groupBy("item_id", "text").agg(F.count(F.lit(1)).alias("times"))
     total = rows.agg(F.sum(F.length("text") + 1).alias("n")).first()["n"] or 0
     n = max(1, -(-total // block_chars))
     for k in range(n):
         block = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield [(r["item_id"], r["text"]) for r in block.collect()]
+        yield sorted(((r["item_id"], r["text"], r["times"]) for r in block.collect()), key=repr)
+
+
+def _own_matcher(shared, key, error_rate, min_fuzzy):
+    """The block's matcher, built once by a Python worker process and kept for its later tasks."""
+    return per_worker("decontam-matcher", (key, error_rate, min_fuzzy), lambda: Matcher(shared.value, error_rate, min_fuzzy))
+
+
+def _key_of(block: list) -> str:
+    return hashlib.sha256(repr(block).encode("utf-8", "surrogatepass")).hexdigest()
 
 
-def _match_batches(matcher, error_rate, min_fuzzy):
+def _match_batches(matcher, key, error_rate, min_fuzzy):
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32()), ("budget", pa.int32()),
                         ("first_char", pa.int32()), ("last_char", pa.int32())])
 
     def run(batches):
-        own = Matcher(matcher.value, error_rate, min_fuzzy)
+        own = _own_matcher(matcher, key, error_rate, min_fuzzy)
         for batch in batches:
             rows = [(doc_id, *hit) for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1))
                     for hit in own.matches(normalise(text.as_py()))]
@@ -184,14 +226,14 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, error_r
     out = None
     for block in _blocks(spark, items, block_chars):
         shared = spark.sparkContext.broadcast(block)        # at most block_chars characters
-        found = slim.mapInArrow(_match_batches(shared, error_rate, min_fuzzy), MATCHES)
+        found = slim.mapInArrow(_match_batches(shared, _key_of(block), error_rate, min_fuzzy), MATCHES)
         out = found if out is None else out.union(found)
     return out
 
 
-def _flag_batches(at, matcher, error_rate, min_fuzzy, name):
+def _flag_batches(at, matcher, key, error_rate, min_fuzzy, name):
     def run(batches):
-        own = Matcher(matcher.value, error_rate, min_fuzzy)
+        own = _own_matcher(matcher, key, error_rate, min_fuzzy)
         for batch in batches:
             flags = [next(own.matches(normalise(t.as_py())), None) is not None for t in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(flags, pa.bool_())], names=[*batch.schema.names, name])
@@ -211,7 +253,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, er
     out = docs
     for block in _blocks(spark, items, block_chars):
         shared = spark.sparkContext.broadcast(block)
-        out = out.mapInArrow(_flag_batches(fields.index("text"), shared, error_rate, min_fuzzy, flag),
+        out = out.mapInArrow(_flag_batches(fields.index("text"), shared, _key_of(block), error_rate, min_fuzzy, flag),
                              T.StructType([*docs.schema.fields, T.StructField(flag, T.BooleanType())])) \
             .where(~F.col(flag)).drop(flag)
     return out

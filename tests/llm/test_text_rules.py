@@ -3,6 +3,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -48,6 +49,47 @@ def test_myers_equals_the_plain_table():
         assert hit[0] == best_distance(item, text)
 
 
+def whole_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        new = [i]
+        for j, d in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != d)))
+        row = new
+    return row[-1]
+
+
+def test_spans_are_alignments_of_the_stated_distance():
+    rng = random.Random(31)
+    items = [prose(rng, n) for n in (9, 12, 20, 40)]
+    matcher, seen = decontam.Matcher(list(enumerate(items))), 0
+    for _ in range(80):
+        k = rng.randrange(4)
+        text = decontam.normalise(prose(rng, 20) + " " + edited(rng, items[k], rng.randint(0, 5)) + " " + prose(rng, 20))
+        for item, distance, _, first, last in matcher.matches(text):
+            seen += 1
+            norm = decontam.normalise(items[item])
+            assert whole_distance(norm, text[first:last]) == distance
+            # no stretch with that end and distance is nearer to the item's length
+            others = [s for s in range(last + 1) if abs(last - s - len(norm)) < abs(last - first - len(norm))]
+            assert all(whole_distance(norm, text[s:last]) > distance for s in others)
+    assert seen > 60
+    item = "the quick brown fox jumps over the lazy dog and runs away from the farm yard"
+    text = "so the quick big brown fox jumps over the lazy dog and runs away from the farm yard now"
+    (_, distance, _, first, last), = decontam.Matcher([(1, item)]).matches(text)
+    assert distance == 4 and text[first:last] == text[3:-4]
+
+
+def test_repeated_items_count_once_in_a_block_and_repeat_their_matches(spark):
+    item = "a passage that is long enough to be looked for with a few edits in it"
+    docs = documents(spark, ["x " + item + " y", "nothing"])
+    items = spark.createDataFrame([(7, item)] * 3 + [(8, item), (None, None)], "item_id long, text string")
+    got = sorted(r["item_id"] for r in decontam.contaminated(spark, docs, items, block_chars=100).collect())
+    assert got == [7, 7, 7, 8]
+    blocks = list(decontam._blocks(spark, items, 1000))
+    assert len(blocks) == 1 and sorted(x[2] for x in blocks[0]) == [1, 1, 3]
+
+
 def test_matcher_equals_brute_force():
     rng = random.Random(21)
     items = [prose(rng, n) for n in (3, 6, 7, 12, 20, 40)]
@@ -213,6 +255,28 @@ def test_checksums_decide():
         assert kind not in {k for k, _, _ in scanner.spans(f"ünder {broken} end")}
 
 
+@pytest.mark.parametrize("unit", ["eyJ", "eyJhbGciOiJIUzI1NiJ9", "eyJ.", "password ", "-----BEGIN RSA PRIVATE KEY-----\nAAAA", "AKIA", "ghp_"])
+def test_time_grows_with_the_text_alone(unit):
+    scanner = secrets.Scanner()
+
+    def seconds(n):
+        began = time.process_time()
+        scanner.spans(unit * (n // len(unit)))
+        return time.process_time() - began
+
+    seconds(100_000)
+    assert seconds(3_000_000) < 12 * max(seconds(600_000), 0.02)
+
+
+def test_a_token_behind_starts_that_fail_is_still_found():
+    head = base64.urlsafe_b64encode(b'{"alg":"HS256"}').rstrip(b"=").decode()
+    body = base64.urlsafe_b64encode(b'{"sub":"1"}').rstrip(b"=").decode()
+    token = f"{head}.{body}.c2ln"
+    for before in ("eyJeyJeyJ ", "eyjeyJ eyJ.eyJ ", "eyJabc.eyJ ", "EYJ"):
+        found = [x for x in secrets.Scanner().spans(before + token) if x[0] == "jwt"]
+        assert found == [("jwt", len(before), len(before) + len(token))], before
+
+
 def test_openssh_and_encrypted_key_blocks():
     import base64
     scanner, part = secrets.Scanner(), lambda x: len(x).to_bytes(4, "big") + x
