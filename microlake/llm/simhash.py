@@ -7,18 +7,26 @@ summed over the first l segments never exceed l * distance / (distance + 1), rou
 0 in the first, at most 1 in the first two, 2 in the first three, and so on. So
 
 * candidates share the start segment exactly and, as the next two segments together differ
-  in at most two bits, at least one of the three parts these two are cut into. That gives
-  three keys of about 22 bits per start segment, 15 rows per distinct fingerprint;
+  in at most two bits, all but two of the parts these two are cut into. Three parts give
+  three keys of about 22 bits per start segment, 15 rows per distinct fingerprint; more parts
+  give longer keys (six: fifteen of about 30 bits), and their number grows with that of the
+  distinct fingerprints, so that runs of random ones stay short;
 * candidates go on only if their whole chain stays within its budgets; then the full
   Hamming distance decides.
 
 Only distinct fingerprints are linked, so copies cost nothing. Rows of one key meet in a
 sorted run. A task emits the links of a run, or for a longer run a spanning forest of them,
 never all pairs of a group. Runs over ``heavy_run`` are not held: their rows go to a second
-pass, which compares them block against block, each pair of blocks a task of its own.
+pass with the longest keys. What is heavy even there is alike in some thirty bits; its bits
+that vary at all are cut into eight parts, of which any pair within the distance shares all
+but ``distance``. Each pass makes a fixed number of keys a row, so rows and forests grow in
+proportion. Only a run that is heavy under those keys too is compared block against block.
 """
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -31,6 +39,8 @@ from .components import components
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 HEAVY_RUN = 4096
+MORE_PARTS = 3
+_EXPECTED_RUN = 64
 _FOREST_RUN = 16
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _BLOCK = 1 << 16
@@ -93,8 +103,8 @@ def ring(distance: int) -> list[int]:
     return [((1 << (b - a)) - 1) << a for a, b in zip(cuts, cuts[1:])]
 
 
-def key_masks(distance: int) -> list[tuple[int, int]]:
-    """(start segment, bit mask) of each candidate key."""
+def key_masks(distance: int, more: int = 0) -> list[tuple[int, int]]:
+    """(start segment, bit mask) of each candidate key; ``more`` parts than the fewest make longer keys."""
     segments = ring(distance)
     m = len(segments)
     if m < 4:                               # chains too short for parts: the start segment alone
@@ -103,13 +113,20 @@ def key_masks(distance: int) -> list[tuple[int, int]]:
     for start in range(m):
         bits = [b for s in (segments[(start + 1) % m], segments[(start + 2) % m]) for b in range(64) if s >> b & 1]
         budget = 3 * distance // m          # of the first three segments; the first has none
-        parts = budget + 1
-        for k in range(parts):
-            part = bits[len(bits) * k // parts:len(bits) * (k + 1) // parts]
-            masks.append((start, segments[start] | sum(1 << b for b in part)))
+        parts = budget + 1 + more
+        cut = [sum(1 << b for b in bits[len(bits) * k // parts:len(bits) * (k + 1) // parts]) for k in range(parts)]
+        masks += [(start, segments[start] | sum(cut[k] for k in some)) for some in combinations(range(parts), parts - budget)]
     return masks
 
 
+def more_parts(distance: int, n: int) -> int:
+    """The fewest additional parts with which a run of ``n`` random fingerprints is expected to stay short."""
+    for more in range(MORE_PARTS):
+        if n >> min(mask.bit_count() for _, mask in key_masks(distance, more)) < _EXPECTED_RUN:
+            return more
+    return MORE_PARTS
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -125,9 +142,9 @@ def _chain_links(a: np.ndarray, b: np.ndarray, slots: np.ndarray, orders: np.nda
     return alive
 
 
-def _link_runs(distance: int, keys: int, heavy_run: int | None):
+def _link_runs(distance: int, masks: list[tuple[int, int]], keys: int, heavy_run: int | None):
     """Sorted rows (slot, key columns ..., fp) -> links (a, b), and rows of heavy runs (slot, k1, a, at)."""
-    segments, masks = ring(distance), key_masks(distance)
+    segments = ring(distance)
     m = len(segments)
     budgets = [(l + 1) * distance // m for l in range(m)]
     orders = np.array([[segments[(start + l) % m] for l in range(m)] for start, _ in masks], dtype=np.uint64)
@@ -227,32 +244,94 @@ def _link_runs(distance: int, keys: int, heavy_run: int | None):
 _LINKS = "a long, b long, slot int, key long, at long"
 
 
+def _keyed(marks: DataFrame, masks: list[tuple[int, int]], start: str | None = None) -> DataFrame:
+    """Sorted rows (slot, key, fp) of every key of every mark, or of the keys of its ``start`` segment only."""
+    keyed = [F.struct(F.lit(k).alias("slot"), F.col("fp").bitwiseAND(F.lit(_signed(mask))).alias("key"), F.lit(s).alias("start"))
+             for k, (s, mask) in enumerate(masks)]
+    rows = marks.select("*", F.explode(F.array(*keyed)).alias("k"))
+    if start:
+        rows = rows.where(F.col("k.start") == F.col(start))
+    return rows.select("k.slot", "k.key", "fp").repartition("slot", "key").sortWithinPartitions("slot", "key")
+
+
+def _varying_keys(distance: int, more: int = 4):
+    """Rows (slot, key, varying, fp) -> (slot, key, part, sub, fp): ``sub`` has the bits of ``more`` of the
+    ``distance + more`` parts that the run's varying bits are cut into, ``part`` numbers the choice."""
+    schema = pa.schema([("slot", pa.int32()), ("key", pa.int64()), ("part", pa.int32()), ("sub", pa.int64()), ("fp", pa.int64())])
+
+    def masks_of(varying: int) -> list[int]:
+        bits = [b for b in range(64) if varying >> b & 1]
+        n = distance + more
+        cut = [sum(1 << b for b in bits[len(bits) * k // n:len(bits) * (k + 1) // n]) for k in range(n)]
+        return [sum(cut[k] for k in some) for some in combinations(range(n), more)]
+
+    def run(batches):
+        known: dict[int, np.ndarray] = {}
+        for batch in batches:
+            varying = np.asarray(batch.column(2)).astype(np.int64).view(np.uint64)
+            for v in np.unique(varying).tolist():
+                if v not in known:
+                    if len(known) > 10_000:
+                        known.clear()
+                    known[v] = np.array(masks_of(v), np.uint64)
+                rows = np.flatnonzero(varying == v)
+                masks = known[v]
+                for k in range(0, len(rows), 4096):
+                    some = rows[k:k + 4096]
+                    fp = np.asarray(batch.column(3)).astype(np.int64)[some].view(np.uint64)
+                    each = pa.array(np.repeat(some, len(masks)))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(each), batch.column(1).take(each), pa.array(np.tile(np.arange(len(masks), dtype=np.int32), len(some))),
+                         pa.array((fp[:, None] & masks[None, :]).ravel().view(np.int64)), pa.array(np.repeat(fp, len(masks)).view(np.int64))], schema=schema)
+
+    return run
+
+
 def links(spark: SparkSession, marks: DataFrame, distance: int = DISTANCE, heavy_run: int = HEAVY_RUN) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``marks`` (fp) that join all within ``distance`` bits.
 
     Every pair within the distance is linked, directly or through others within it; no link
     joins a pair beyond it.
     """
-    keyed = [F.struct(F.lit(k).alias("slot"), F.col("fp").bitwiseAND(F.lit(_signed(mask))).alias("key"))
-             for k, (_, mask) in enumerate(key_masks(distance))]
-    rows = marks.select("fp", F.explode(F.array(*keyed)).alias("k")).select("k.slot", "k.key", "fp") \
-        .repartition("slot", "key").sortWithinPartitions("slot", "key")
-    found = stored(spark, rows.mapInArrow(_link_runs(distance, 2, heavy_run), _LINKS), "simhash-links")
-    heavy = found.where(F.col("at").isNotNull()) \
-        .select("slot", "key", F.col("a").alias("fp"), F.floor(F.col("at") / heavy_run).alias("block"))
-    blocks = heavy.groupBy("slot", "key").agg(F.max("block").alias("last"))
-    pairs = heavy.join(blocks, ["slot", "key"]).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "last"))) \
+    more = more_parts(distance, marks.count())
+    masks, longest = key_masks(distance, more), key_masks(distance, MORE_PARTS)
+    found = stored(spark, _keyed(marks, masks).mapInArrow(_link_runs(distance, masks, 2, heavy_run), _LINKS), "simhash-links")
+    out = [found.where(F.col("b").isNotNull()).select("a", "b")]
+    if len(longest) > len(masks):
+        # a pair of a heavy run whose chain begins at the run's segment shares a longest key of that segment
+        starts = F.array(*[F.lit(s) for s, _ in masks])
+        again = found.where(F.col("at").isNotNull()).select(F.element_at(starts, F.col("slot") + 1).alias("start"), F.col("a").alias("fp")).distinct()
+        found = stored(spark, _keyed(again, longest, "start").mapInArrow(_link_runs(distance, longest, 2, heavy_run), _LINKS), "simhash-links")
+        out.append(found.where(F.col("b").isNotNull()).select("a", "b"))
+        masks = longest
+    heavy = found.where(F.col("at").isNotNull()).select("slot", "key", F.col("a").alias("fp"))
+    varying = heavy.groupBy("slot", "key").agg(F.bit_or("fp").bitwiseXOR(F.bit_and("fp")).alias("varying"))
+    rows = heavy.join(varying, ["slot", "key"]).select("slot", "key", "varying", "fp") \
+        .mapInArrow(_varying_keys(distance), "slot int, key long, part int, sub long, fp long") \
+        .repartition("slot", "key", "part", "sub").sortWithinPartitions("slot", "key", "part", "sub")
+    found = stored(spark, rows.mapInArrow(_link_runs(distance, masks, 4, heavy_run), _LINKS), "simhash-links")
+    out.append(found.where(F.col("b").isNotNull()).select("a", "b"))
+    heavy = found.where(F.col("at").isNotNull()).select("slot", "key", F.col("a").alias("fp")).distinct()
+    blocks = heavy.groupBy("slot", "key").agg(F.ceil(F.count(F.lit(1)) / heavy_run).alias("blocks"))
+    pairs = heavy.join(blocks, ["slot", "key"]).withColumn("block", F.pmod(F.xxhash64("fp"), "blocks")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
         .select("slot", "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "fp") \
         .repartition("slot", "key", "low", "high").sortWithinPartitions("slot", "key", "low", "high")
-    again = pairs.mapInArrow(_link_runs(distance, 4, None), _LINKS)
-    return found.where(F.col("b").isNotNull()).select("a", "b").union(again.select("a", "b"))
+    out.append(pairs.mapInArrow(_link_runs(distance, masks, 4, None), _LINKS).select("a", "b"))
+    return reduce(DataFrame.union, out)
 
 
-def _classes(spark: SparkSession, marks: DataFrame, distance: int, heavy_run: int) -> DataFrame:
-    """(fp, root): the class of every distinct fingerprint of ``marks`` (fp)."""
-    distinct = stored(spark, marks.select("fp").distinct(), "simhash-marks")
-    linked = components(spark, links(spark, distinct, distance, heavy_run))
-    return distinct.join(linked, distinct["fp"] == linked["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+def _classes(spark: SparkSession, firsts: DataFrame, distance: int, heavy_run: int) -> DataFrame:
+    """(fp, first, root) for ``firsts`` (fp, first): the first row of each distinct fingerprint, and the
+    first row of its component. Components are formed on the first rows themselves, so the root
+    is the answer: no join gathers a component under one key."""
+    firsts = stored(spark, firsts.select("fp", "first"), "simhash-marks")
+    pairs = links(spark, firsts.select("fp"), distance, heavy_run)
+    named = [firsts.select(F.col("fp").alias(f"{x}_fp"), F.col("first").alias(f"{x}_first")) for x in ("a", "b")]
+    pairs = pairs.join(named[0], F.col("a") == F.col("a_fp")).join(named[1], F.col("b") == F.col("b_fp")) \
+        .select(F.col("a_first").alias("a"), F.col("b_first").alias("b"))
+    linked = components(spark, pairs)
+    return firsts.join(linked, firsts["first"] == linked["node"], "left").select("fp", "first", F.coalesce("root", "first").alias("root"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
@@ -265,11 +344,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE
     empty table gives no rows; other columns are not read.
     """
     marks = stored(spark, fingerprints(docs, shingle, seed), "simhash-docs")
-    classes = stored(spark, _classes(spark, marks, distance, heavy_run), "simhash-classes")
-    least = marks.groupBy("fp").agg(F.min("doc_id").alias("least")).join(classes, "fp") \
-        .groupBy("root").agg(F.min("least").alias("component_id"))
-    named = classes.join(least, "root").select("fp", "component_id")
-    return marks.join(named, "fp").select("doc_id", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"))).alias("first")
+    firsts = marks.groupBy("fp").agg(first).select("fp", F.struct("first.no_id", "first.doc_id", "fp").alias("first"))
+    classes = stored(spark, _classes(spark, firsts, distance, heavy_run), "simhash-classes")
+    return marks.join(classes.select("fp", F.col("root.doc_id").alias("component_id")), "fp") \
+        .select("doc_id", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
@@ -286,10 +365,9 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, dista
     # written once: the row numbers are those of the committed files, whatever tasks run again
     marked = stored(spark, marked, "simhash-rows")
     slim = marked.select(F.col(row).alias("row_no"), F.col(fp).alias("fp"), F.col("doc_id").alias("doc_id"))
-    classes = _classes(spark, slim, distance, heavy_run)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_no")).alias("first")
-    kept = slim.groupBy("fp").agg(first).join(classes, "fp").groupBy("root").agg(F.min("first").alias("first")) \
-        .select(F.col("first.row_no").alias(row))
+    classes = _classes(spark, slim.groupBy("fp").agg(first), distance, heavy_run)
+    kept = classes.where(F.col("root") == F.col("first")).select(F.col("first.row_no").alias(row))
     return marked.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in fields])
 
 

@@ -131,3 +131,32 @@ def test_components_of_a_long_path_and_a_hub(spark):
     got = {r["node"]: r["root"] for r in components(spark, links).collect()}
     assert got == {**{k: 100 for k in range(100, 161)}, 7: 7, **{k: 7 for k in range(1000, 1200)}}
     assert components(spark, links.limit(0)).count() == 0
+
+
+def test_longer_keys_lose_no_pair():
+    rng = np.random.default_rng(9)
+    for more in range(4):
+        masks = simhash.key_masks(4, more)
+        for _ in range(400):
+            a = int(rng.integers(0, 1 << 63)) * 2 + int(rng.integers(0, 2))
+            b = a
+            for k in rng.choice(64, 4, replace=False).tolist():
+                b ^= 1 << k
+            assert any((a ^ b) & mask == 0 for _, mask in masks)
+    assert [len(simhash.key_masks(4, k)) for k in range(4)] == [15, 30, 50, 75]
+    assert simhash.more_parts(4, 1 << 20) == 0 and 0 < simhash.more_parts(4, 1 << 30) <= 2 < simhash.more_parts(4, 1 << 35)
+
+
+def test_links_of_a_heavy_run_grow_with_its_rows(spark):
+    # all alike in 48 bits, so even the longest keys are heavy; the rest lies in 16 bits, where many are close
+    rng = np.random.default_rng(10)
+    fps = rng.choice(1 << 16, 8_000, replace=False).astype(np.int64) << 44
+    counts = []
+    for n in (2_000, 8_000):
+        marks = spark.createDataFrame([(int(x),) for x in fps[:n]], "fp long")
+        got = simhash.links(spark, marks, heavy_run=512)
+        counts.append(got.count())
+        assert got.where("bit_count(a ^ b) > 4").isEmpty()
+        linked = {r["node"]: r["root"] for r in components(spark, got).collect()}
+        assert len(linked) == n and set(linked.values()) == {int(min(fps[:n]))}
+    assert counts[1] < 5 * counts[0]
