@@ -304,7 +304,12 @@ def links(spark: SparkSession, marks: DataFrame, distance: int = DISTANCE, heavy
         found = stored(spark, _keyed(again, longest, "start").mapInArrow(_link_runs(distance, longest, 2, heavy_run), _LINKS), "simhash-links")
         out.append(found.where(F.col("b").isNotNull()).select("a", "b"))
         masks = longest
-    heavy = found.where(F.col("at").isNotNull()).select("slot", "key", F.col("a").alias("fp"))
+    # heavy keys of one start segment mostly hold the same rows: one run per value of that segment
+    segments = list(enumerate(ring(distance)))
+    starts, values = (F.array(*[F.lit(x) for x in xs]) for xs in ([s for s, _ in masks], [_signed(x) for _, x in segments]))
+    heavy = found.where(F.col("at").isNotNull()).select(F.element_at(starts, F.col("slot") + 1).alias("slot"), F.col("a").alias("fp")) \
+        .withColumn("key", F.col("fp").bitwiseAND(F.element_at(values, F.col("slot") + 1))).select("slot", "key", "fp").distinct()
+    masks = segments
     varying = heavy.groupBy("slot", "key").agg(F.bit_or("fp").bitwiseXOR(F.bit_and("fp")).alias("varying"))
     rows = heavy.join(varying, ["slot", "key"]).select("slot", "key", "varying", "fp") \
         .mapInArrow(_varying_keys(distance), "slot int, key long, part int, sub long, fp long") \
