@@ -134,7 +134,7 @@ SQL: dict[str, str] = {
         WITH RECURSIVE vectors AS (
             SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
             WHERE embedding IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND list_max(list_transform(embedding, x -> abs(x))) > 0),
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_max(list_transform(embedding, lambda x: abs(x))) > 0),
         links AS (
             SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
             ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
