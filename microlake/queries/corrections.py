@@ -82,7 +82,18 @@ def compare_by_digest(spark, sf):
     return digests.compare_by_digest(spark, before, after, old, new, ["o_orderkey"])
 
 
-QUERIES = {f.__name__: f for f in [release_reload, merge_corrections, compare_by_digest]}
+def sized_write(spark, sf):
+    """Orders of which one year has three fifths, written in files of a tenth of all rows: the hot year
+    in several, small ones in one; ``igual`` says that a year's files differ by less than a factor of two."""
+    path = scratch_path(spark, "orders-sized")
+    od = _orders(spark, sf)
+    hot = od.withColumn("ano", F.when(F.pmod("o_orderkey", F.lit(5)) < 3, REPLACED_YEAR).otherwise(F.col("ano")))
+    tables.write_sized(hot, path, target_bytes=max(1, od.count() // 10), weight=F.lit(1))
+    rows = tables.read_table(spark, path).groupBy("ano", F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("ano").agg(F.sum("n").alias("qtd"), F.count(F.lit(1)).alias("arquivos"), (F.max("n") < 2 * F.min("n")).alias("igual"))
+
+
+QUERIES = {f.__name__: f for f in [release_reload, merge_corrections, compare_by_digest, sized_write]}
 
 _RAW_COLS = sorted(["ano", "municipio", "cnae_2_0_classe", "cbo_ocupacao_2002", "vinculo_ativo_31_12", "sexo_trabalhador",
                     "escolaridade_apos_2005", "raca_cor", "idade", "tempo_emprego", "mes_desligamento", "motivo_desligamento",
@@ -106,6 +117,10 @@ SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'P' THEN 'F' ELSE o_orde
 FROM od WHERE o_orderstatus = 'P' OR NOT (o_orderkey % 97 = 0 AND o_orderkey % 2 = 0)
 UNION ALL SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, ano FROM od WHERE o_orderstatus = 'P'
 UNION ALL SELECT NULL, min(o_custkey), 'O', CAST(0 AS DECIMAL(18,2)), 'found', {REPLACED_YEAR} FROM od WHERE ano = {REPLACED_YEAR}""",
+    "sized_write": o.with_(_OD) + f"""
+, h AS (SELECT CASE WHEN o_orderkey % 5 < 3 THEN {REPLACED_YEAR} ELSE ano END AS ano, count(*) AS n,
+    (SELECT greatest(1, count(*) // 10) FROM od) AS target FROM od GROUP BY 1)
+SELECT CAST(ano AS INT) AS ano, CAST(n AS BIGINT) AS qtd, CAST(greatest(1, round_even(n / target, 0)) AS BIGINT) AS arquivos, true AS igual FROM h""",
     "compare_by_digest": TABLE_SQL["snapshot_compare"].replace(
         "a AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(round(o_totalprice, 0) AS DECIMAL(18,2)) AS o_totalprice,\n"
         "      o_orderpriority, ano FROM od WHERE o_orderstatus <> 'O')",

@@ -83,6 +83,34 @@ def write_table(df: DataFrame, path: str, col: str = PARTITION, files_per_partit
         .partitionBy(col).parquet(path)
 
 
+def write_sized(df: DataFrame, path: str, target_bytes: int = 128 * 1024 * 1024, col: str = PARTITION,
+                weight: Column | None = None) -> dict:
+    """Replace the whole table with files of about ``target_bytes`` each: partition -> files written.
+
+    One aggregate counts the bytes of each partition (``weight`` per row; by default the
+    characters of its values as text, in UTF-8). A partition gets as many files as it has
+    targets, one at least, and every file is a task of its own: a hot year is salted over
+    several, small years take one each. The salt comes from the row and from the input
+    partition it lies in, so rows that repeat are spread as far as their input is.
+    """
+    name = F.coalesce(F.col(col).cast("string"), F.lit("\u0000"))
+    if weight is None:
+        weight = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
+    counted = df.groupBy(F.col(col).alias("part"), name.alias("name")).agg(F.sum(weight.cast("long")).alias("bytes")).collect()     # a row per partition
+    if not counted:
+        write_table(df, path, col)
+        return {}
+    counted = sorted(counted, key=lambda r: r["name"])
+    files_of = [max(1, round((r["bytes"] or 0) / target_bytes)) for r in counted]
+    places = [x for r, first, n in zip(counted, (sum(files_of[:k]) for k in range(len(files_of))), files_of)
+              for x in (F.lit(r["name"]), F.struct(F.lit(first).alias("first"), F.lit(n).alias("n")))]
+    place = F.element_at(F.create_map(*places), name)
+    file_no = place["first"] + F.pmod(F.xxhash64(row_hash(df.columns), F.spark_partition_id()), place["n"])
+    (df.withColumn("_file", file_no.cast("int")).repartitionById(sum(files_of), "_file").drop("_file")
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(col).parquet(path))
+    return {r["part"]: n for r, n in zip(counted, files_of)}
+
+
 def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     """Read a table; with ``merge_schema`` columns added by later partitions appear
     (NULL for older ones) — without it they may be silently missing."""

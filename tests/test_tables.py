@@ -162,3 +162,21 @@ def test_run_history_sees_a_load_that_is_not_repeatable(spark, monkeypatch):
     got = {r["ano"]: r for r in queries.run_history(spark, "/root/testdata/sf0.001").collect()}
     assert len(loads) == 2 and {r["execucoes"] for r in got.values()} == {2}
     assert [y for y, r in got.items() if not r["ok"]] == [1996] and got[1996]["contagens_distintas_silver"] == 2
+
+
+def test_files_follow_the_counted_bytes(spark, tmp_dir):
+    rows = spark.range(0, 10_000, 1, 7).selectExpr("id", "'same text' AS v", "CAST(CASE WHEN id % 10 < 6 THEN 2022 WHEN id % 10 = 9 THEN NULL "
+                                                   "ELSE 2000 + id % 10 END AS INT) AS ano")
+    path = tmp_dir + "/t"
+    made = tables.write_sized(rows.withColumn("id", F.lit(1)), path, target_bytes=14 * 1000)        # equal rows, 14 bytes each
+    sizes = {}
+    for r in tables.read_table(spark, path).groupBy("ano", F.col("_metadata.file_path").alias("f")).count().collect():
+        sizes.setdefault(r["ano"], []).append(r["count"])
+    assert made == {2022: 6, 2006: 1, 2007: 1, 2008: 1, None: 1}
+    assert {y: len(n) for y, n in sizes.items() if y != 2022} == {2006: 1, 2007: 1, 2008: 1, None: 1}
+    assert 2 <= len(sizes[2022]) <= 6                       # equal rows are told apart by their input partition alone
+    assert sum(sizes[2022]) == 6000 and sum(map(sum, sizes.values())) == 10_000
+    assert tables.write_sized(rows, tmp_dir + "/s", target_bytes=1000, weight=F.lit(1))[2022] == 6
+    hot = [r["count"] for r in spark.read.parquet(tmp_dir + "/s").where("ano = 2022").groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert len(hot) == 6 and max(hot) < 2 * min(hot)
+    assert tables.write_sized(rows.limit(0), tmp_dir + "/e") == {}
