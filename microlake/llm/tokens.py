@@ -48,8 +48,8 @@ _PRE_TOKENS = {
 #: No id: vocabularies stay far below, so these bytes occur in no row of ids.
 _NO_ID = 0xFFFFFFFF
 _BETWEEN = b"\xff\xff\xff\xff"
-BLOCK_BYTES = 4 << 20
-MAX_PRE_TOKENS = 400_000        # of one generation
+BLOCK_BYTES = 2 << 20
+MAX_PRE_TOKENS = 200_000        # of one generation
 MAX_PIECE_CHARS = 64
 
 
