@@ -1,8 +1,8 @@
 """Delimited latin-1 text -> all-string bronze, with layouts that drift between files.
 
 Reading plan for a year folder:
-1. files are listed and the first line of every file is read (a tiny header job per
-   file, several at a time — never a pass over all the data);
+1. files are listed and the first line of every file is read (one job over all files,
+   a few KB of each — never a pass over all the data);
 2. files are grouped by (separator, normalised header) — files with the same
    separator but another column order must not be read together, or CSV would
    match columns by position;
@@ -13,6 +13,7 @@ Only file names and header strings reach the driver, never rows.
 """
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -87,16 +88,31 @@ def first_line(spark: SparkSession, path: str) -> str:
     return cols[0] if cols else ""
 
 
+def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """First line of every path: one job whose tasks read a few KB of each file. Files that only
+    Spark can open (viewfs, some compressions) get a tiny job each, several at a time."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from microlake.sources import first_lines as source
+    stores: dict = {}
+    for p in paths:                       # one try per store and file ending stands for all its files
+        stores.setdefault((re.match(r"([^/]*:(//[^/]*)?)?", p).group(), p.rsplit("/", 1)[-1].rpartition(".")[2]), []).append(p)
+    direct = [p for group in stores.values() if source.opens_directly(group[0]) for p in group]
+    out = {} if not direct else {r["caminho"]: r["header"] for r in source.read_first_lines(spark, direct, LATIN1).collect()}
+    rest = [p for p in paths if p not in out]
+    with ThreadPoolExecutor(max_workers=min(HEADER_THREADS, max(1, len(rest)))) as pool:
+        out.update(zip(rest, pool.map(lambda p: first_line(spark, p), rest)))
+    return out
+
+
 def headers(spark: SparkSession, paths: str | list[str], cache: str | None = None) -> DataFrame:
     """First line of each file: (caminho, arquivo, header), '' for a file without a byte.
 
-    Files are listed first (metadata), so every landed file has a row; then each file's
-    first line is read by a tiny job, several at a time: the cost is per file, not per
-    byte, at any input size. ``cache``: a table that keeps headers by path, size and
-    modification time; only files it does not know are opened, and they are added.
+    Files are listed first (metadata), so every landed file has a row; then all first
+    lines are read by one job (``first_lines``): the cost is per file, not per byte, at
+    any input size. ``cache``: a table that keeps headers by path, size and modification
+    time; only files it does not know are opened, and they are added.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
     from microlake.sinks import files
     found = files.list_data_files(spark, paths, with_time=True)
     known: dict = {}
@@ -104,8 +120,8 @@ def headers(spark: SparkSession, paths: str | list[str], cache: str | None = Non
         known = {(r["caminho"], r["tamanho"], r["modificado"]): r["header"]
                  for r in spark.read.schema(_HEADER_CACHE).parquet(cache).collect()}
     new = [f for f in found if (f[0], f[2], f[3]) not in known]
-    with ThreadPoolExecutor(max_workers=min(HEADER_THREADS, max(1, len(new)))) as pool:
-        heads = list(pool.map(lambda f: first_line(spark, f[0]) if f[2] else "", new))
+    lines = first_lines(spark, [f[0] for f in new if f[2]])
+    heads = [lines[f[0]] if f[2] else "" for f in new]
     known.update({(f[0], f[2], f[3]): h for f, h in zip(new, heads)})
     if cache and new:
         spark.createDataFrame([(f[0], f[1], h, f[2], f[3]) for f, h in zip(new, heads)], _HEADER_CACHE) \
