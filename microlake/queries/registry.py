@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["marts", "cleaning", "joins", "windows", "aggregates", "ingestion", "quality", "tables", "dictionary", "misc", "corrections", "estimates", "rules"]
+MODULES = ["marts", "cleaning", "joins", "windows", "aggregates", "ingestion", "quality", "tables", "dictionary", "misc", "corrections", "estimates", "rules", "lifecycle"]
 
 
 def _modules():
