@@ -1,7 +1,7 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling.
 
-A word's input is its hashed word embedding beside the greatest of its hashed character
-4-gram embeddings. Overlapping windows of ``WINDOW`` words, ``STRIDE`` apart, run through a
+A word's input is its hashed word embedding beside the greatest of the hashed embeddings of
+its character grams, 4 to 10 bytes long: the long ones tell words that share a stem. Overlapping windows of ``WINDOW`` words, ``STRIDE`` apart, run through a
 gated recurrent unit in both directions; attention pools the states of a window into one
 logit. The score of a text is its highest window's, calibrated: every window of the whole
 text counts.
@@ -10,7 +10,9 @@ Trained here in numpy from a bounded sample of labelled rows (``SAMPLE_TOXIC`` a
 ``SAMPLE_CLEAN`` rows of at most ``SAMPLE_CHARS`` characters, chosen by digest). A label says that some
 window is toxic, not which: the first epochs learn from the window whose words are most
 particular to toxic texts of the sample, later ones from the window the network itself
-scores highest, beside other windows of non-toxic texts. Scoring runs in Spark's tasks.
+scores highest, beside other windows of non-toxic texts. Only words and grams in at least as
+many texts as ``LEAST_SHARE`` of the toxic ones (and two) are learnt, all others stay near
+zero: what one text alone holds would be learnt by heart. Scoring runs in Spark's tasks.
 """
 from __future__ import annotations
 
@@ -26,7 +28,9 @@ from .common import unused_name
 
 WINDOW, STRIDE = 24, 12
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 900, 2700, 6000
-WORD_SLOTS, GRAM_SLOTS, EMBED, HIDDEN, ATTEND = 1 << 14, 1 << 14, 8, 8, 8
+WORD_SLOTS, GRAM_BITS, EMBED, HIDDEN, ATTEND = 1 << 16, 17, 8, 8, 8
+GRAM_SLOTS = 1 << GRAM_BITS
+LEAST_SHARE = 0.03
 EPOCHS, WARM_SHARE, LEAST_STEPS, BATCH, RATE = 8, 0.4, 300, 128, 0.03
 MAX_WORDS = 150_000
 _SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”‘’„…–—¡¿"
@@ -40,20 +44,21 @@ def words_of(text: str | None) -> list[str]:
 
 
 def inputs_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word slot per word, 4-gram slots one word after another, first gram of each word)."""
+    """(word slot per word, gram slots one word after another, first gram of each word)."""
     raw = [w.strip(_SIGNS).encode("utf-8", "surrogatepass") for w in words]
     slots = np.fromiter((zlib.crc32(w) % WORD_SLOTS for w in raw), np.int64, len(raw))
-    marked = b"".join(b"\x02" + w + b"\x03\x03\x03" for w in raw)
+    marked = b"".join(b"\x02" + w + b"\x03\x03\x03" for w in raw) + bytes(10)
     octets = np.frombuffer(marked, np.uint8).astype(np.uint32)
     sizes = np.fromiter((len(w) + 4 for w in raw), np.int64, len(raw))
     ends = np.cumsum(sizes)
-    n = len(octets) - 3
-    grams = ((octets[:n] * 31 + octets[1:n + 1]) * 31 + octets[2:n + 2]) * 31 + octets[3:]
-    grams = (grams * np.uint32(2654435761) >> np.uint32(18)).astype(np.int64) % GRAM_SLOTS
-    inside = np.ones(n, bool)
-    for back in (1, 2, 3):
-        inside[(ends[:-1] - back)] = False      # grams that would run into the next word
-    counts = sizes - 3
+    n = len(octets) - 10
+    four = ((octets[:-3] * 31 + octets[1:-2]) * 31 + octets[2:-1]) * 31 + octets[3:]
+    eight = four[:n + 2] * np.uint32(1000003) + four[4:n + 6]
+    grams = np.stack([four[:n], four[:n] * np.uint32(8191) + four[2:n + 2], eight[:n], eight[:n] * np.uint32(131071) + four[6:n + 6]], axis=1)
+    grams = (grams * np.uint32(2654435761) >> np.uint32(32 - GRAM_BITS)).astype(np.int64)
+    left = np.repeat(ends, sizes) - np.arange(n)                    # octets of the word from here on, end marks too
+    inside = left[:, None] >= np.array([4, 8, 10, 12])              # grams over 4 octets take one end mark at most
+    counts = np.add.reduceat(inside.sum(axis=1), ends - sizes)
     return slots, grams[inside], np.cumsum(counts) - counts
 
 
@@ -78,7 +83,7 @@ def new_network(seed: int = 7) -> dict[str, np.ndarray]:
         return (rng.standard_normal(shape) * scale).astype(np.float32)
 
     return {
-        "word": normal(WORD_SLOTS, EMBED, scale=0.1), "gram": normal(GRAM_SLOTS, EMBED, scale=0.1),
+        "word": normal(WORD_SLOTS, EMBED, scale=0.005), "gram": normal(GRAM_SLOTS, EMBED, scale=0.005),
         "wx": normal(2, 2 * EMBED, 3 * HIDDEN, scale=0.3), "bx": np.zeros((2, 1, 3 * HIDDEN), np.float32),
         "wh": normal(2, HIDDEN, 3 * HIDDEN, scale=0.3),
         "wa": normal(2 * HIDDEN, ATTEND, scale=0.3), "ba": np.zeros(ATTEND, np.float32), "va": normal(ATTEND, scale=0.3),
@@ -201,18 +206,29 @@ def _learn(net, adagrad, rows, labels, weights, vocab):
     np.add.at(d_gram, back_g, top * d_x[owner, EMBED:])
     for key, grad in g.items():
         adagrad.step(net, key, grad)
-    adagrad.step(net, "word", d_word, where)
-    adagrad.step(net, "gram", d_gram, where_g)
+    for key, grad, at, shared in (("word", d_word, where, vocab.shared_words), ("gram", d_gram, where_g, vocab.shared_grams)):
+        adagrad.step(net, key, grad[shared[at]], at[shared[at]])
+
+
+def _in_texts(keys, size, least):
+    """Whether at least ``least`` of the texts hold a key."""
+    count = np.zeros(size, np.int64)
+    for key in keys:
+        count[np.unique(key)] += 1
+    return count >= least
 
 
 class _Vocabulary:
     """The words of the sample and their inputs."""
 
-    def __init__(self, texts):
+    def __init__(self, texts, least=2):
         self.place: dict[str, int] = {}
         self.texts = [np.fromiter((self.place.setdefault(w, len(self.place)) for w in words_of(t)), np.int64) for t in texts]
         self.slots, self.grams, firsts = inputs_of(list(self.place) or [""])
         self.firsts = np.append(firsts, len(self.grams))
+        held = [self.of(np.unique(t)) for t in self.texts if len(t)]
+        self.shared_words = _in_texts([h[0] for h in held], WORD_SLOTS, least)
+        self.shared_grams = _in_texts([h[1] for h in held], GRAM_SLOTS, least)
 
     def of(self, used):
         sizes = self.firsts[used + 1] - self.firsts[used]
@@ -253,7 +269,7 @@ def train(rows: list[tuple[str | None, int]], epochs: int = EPOCHS, seed: int =
     if not len(rows) or labels.min() == labels.max():
         return None
     rng = np.random.default_rng(seed)
-    vocab = _Vocabulary([t for t, _ in rows])
+    vocab = _Vocabulary([t for t, _ in rows], max(2, int(LEAST_SHARE * labels.sum())))
     windows = [_windows(t) for t in vocab.texts]
     flat = np.concatenate(windows)
     ends = np.cumsum([len(w) for w in windows])
@@ -373,7 +389,7 @@ def with_scores(spark: SparkSession, docs: DataFrame, net, name: str = "score")
 
     Null, empty and blank texts score 0; rows are scored each on their own.
     """
-    shared = spark.sparkContext.broadcast(net)          # a network of fixed size, about 2 MB
+    shared = spark.sparkContext.broadcast(net)          # a network of fixed size, about 6 MB
     fields = docs.schema.fieldNames()
     return docs.mapInArrow(_score_batches(fields.index("text"), shared, [*fields, name]),
                            T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))

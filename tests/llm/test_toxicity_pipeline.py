@@ -177,3 +177,23 @@ def test_entry_without_the_package(monkeypatch):
     found = entry.importlib.util.find_spec
     monkeypatch.setattr(entry.importlib.util, "find_spec", lambda name: None if "llm" in name or name == "corpus_pipeline" else found(name))
     assert not any(k.startswith("op1_") or k == "pipeline" for k in entry.queries())
+
+
+def test_grams_of_a_word_are_its_own():
+    words = ["idiot", "", "réeuxaux", "a", "«Achlichte!»", "achlichte"]
+    slots, grams, firsts = tox.inputs_of(words)
+    ends = np.append(firsts[1:], len(grams))
+    for k, word in enumerate(words):
+        alone = tox.inputs_of([word])
+        assert alone[0][0] == slots[k] and alone[1].tolist() == grams[firsts[k]:ends[k]].tolist()
+        size = len(word.strip(tox._SIGNS).encode())
+        # the word with a start mark: grams of 4 octets reach over three end marks, longer ones over one at most
+        assert ends[k] - firsts[k] == size + 1 + sum(max(0, size + 4 - need + 1) for need in (8, 10, 12))
+    assert grams.min() >= 0 and grams.max() < tox.GRAM_SLOTS
+
+
+def test_only_shared_words_are_learnt():
+    texts = ["good day to all", "good night to all", "bad stray to all"]
+    vocab = tox._Vocabulary(texts, 2)
+    known = {w for w in vocab.place if vocab.shared_words[tox.inputs_of([w])[0][0]]}
+    assert known == {"good", "to", "all"}
