@@ -37,11 +37,13 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, fineness:
     Law ``bytes``: shards near equal in size. Size is the text's UTF-8 bytes plus 8. Null
     and empty texts are one group; repeated rows stay; null doc_ids are placed like any;
     an empty table gives no rows; other columns are not read. Slots run gapless from 0 in
-    each shard, by doc_id within each slice of the shard.
+    each shard; which row of a shard has which slot depends on the places of the rows in the
+    stored files, so that rows repeated without end do not meet in one task.
     """
     text = text_or_empty()
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"),
-                       F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("text_key"))
+                       F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("text_key"),
+                       F.monotonically_increasing_id().alias("place"))
     slim = stored(spark, slim, "shard-rows")
     groups = slim.groupBy("text_key").agg(F.sum("size").alias("bytes"))
     bundles = shards * fineness
@@ -58,20 +60,21 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, fineness:
     placed = slim.withColumn("in_bundle", F.pmod(F.xxhash64("text_key"), F.lit(bundles))) \
         .join(F.broadcast(heavy_map), F.col("text_key") == F.col("heavy_key"), "left") \
         .join(F.broadcast(light_map), F.col("in_bundle") == F.col("bundle"), "left") \
-        .select("doc_id", "size", "text_crc32", F.coalesce("heavy_shard", "light_shard").alias("shard"))
+        .select("doc_id", "size", "text_crc32", "place", F.coalesce("heavy_shard", "light_shard").alias("shard"))
     return _with_slots(spark, placed).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-def _with_slots(spark: SparkSession, placed: DataFrame) -> DataFrame:
+def _with_slots(spark: SparkSession, placed: DataFrame, slice_rows: int = 50_000) -> DataFrame:
     """Gapless slots without one task per shard: rows are numbered within slices of a shard,
-    and the slices start where those before them end."""
+    and the slices start where those before them end. A row's slice comes from its stored place,
+    never from its values: repeated rows spread like any others."""
     rows = placed.count()
-    slices = max(1, -(-rows // 50_000))            # rows of a slice of one shard stay few at any size
-    cut = placed.withColumn("slice", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(slices)))
+    slices = max(1, -(-rows // slice_rows))           # rows of a slice of one shard stay few at any size
+    cut = placed.withColumn("slice", F.pmod(F.xxhash64("place"), F.lit(slices)))
     sizes = cut.groupBy("shard", "slice").agg(F.count(F.lit(1)).alias("n"))
     before = sizes.select("shard", "slice", (F.sum("n").over(Window.partitionBy("shard").orderBy("slice")) - F.col("n")).alias("before"))
     numbered = cut.withColumn("rank", F.row_number().over(
-        Window.partitionBy("shard", "slice").orderBy("doc_id", "text_crc32", "size")))
+        Window.partitionBy("shard", "slice").orderBy("doc_id", "place")))
     return numbered.join(before, ["shard", "slice"]).withColumn("slot", (F.col("before") + F.col("rank") - 1).cast("long"))

@@ -137,6 +137,18 @@ def test_least_loaded():
     assert sharding.least_loaded([], 3) == {}
 
 
+def test_repeated_rows_spread_over_slices(spark):
+    """One row 6,000 times in one shard: no slice of its numbering holds more than its even part."""
+    from pyspark.sql import functions as F
+    placed = spark.range(0, 6000, 1, 8).select(F.lit(7).cast("long").alias("doc_id"), F.lit(12).cast("long").alias("size"),
+                                               F.lit(99).cast("long").alias("text_crc32"), F.lit(3).alias("shard"),
+                                               F.col("id").alias("place"))
+    numbered = sharding._with_slots(spark, placed, slice_rows=500)
+    assert [r["slot"] for r in numbered.orderBy("slot").select("slot").collect()] == list(range(6000))
+    sizes = [r["n"] for r in numbered.groupBy("slice").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 12 and max(sizes) < 2 * 500
+
+
 def test_shard(spark):
     rng = random.Random(6)
     texts = edge_texts() + [prose(rng, rng.randint(1, 60)) for _ in range(400)] + ["hot copy"] * 200
