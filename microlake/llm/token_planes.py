@@ -32,6 +32,8 @@ from .tokens import token_path, worker_encoder
 TOKENIZER, KIND, END_ID = "word_bpe_49k.json", "lower_words", 2
 CHUNK_IDS = 65_536
 SEGMENT_IDS = 1 << 20
+#: Text encoded at a time: the larger, the more pieces of a block are ones it has already.
+BLOCK_BYTES = 8 << 20
 _MAGIC = b"BPS1"
 _HEAD, _TAIL = "<4sHHIQII", "<QQ4s"
 _PLANES = {"byte": 4, "bit": 32}
@@ -126,7 +128,7 @@ def _write_part(path: str, kind: str, end_id: int, planes: str, chunk_ids: int,
                         ("image", pa.binary())])
 
     def run(batches):
-        encoder = worker_encoder(path, kind)
+        encoder = worker_encoder(path, kind, BLOCK_BYTES)
         part, seq = TaskContext.get().partitionId(), 0
         held, doc_ids, n_tokens, n = [], [], [], 0
 

@@ -148,9 +148,10 @@ class PieceEncoder:
         return next(self.blocks(pa.array([text], pa.string())))[1].tobytes()
 
 
-def worker_encoder(path: str, kind: str) -> PieceEncoder:
+def worker_encoder(path: str, kind: str, block_bytes: int = BLOCK_BYTES) -> PieceEncoder:
     """The encoder of this Python process for a vocabulary file, made by its first task."""
-    return per_worker("piece-encoder", (path, kind, os.path.getmtime(path), os.path.getsize(path)), lambda: PieceEncoder(path, kind))
+    return per_worker("piece-encoder", (path, kind, block_bytes, os.path.getmtime(path), os.path.getsize(path)),
+                      lambda: PieceEncoder(path, kind, block_bytes))
 
 
 def token_path(name: str) -> str:

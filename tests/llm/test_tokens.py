@@ -184,3 +184,12 @@ def test_pack(spark):
         assert end <= 256
     assert len(sequences) <= -(-total // 256) * 1.02 + 1
     assert packing.pack(spark, docs.limit(0)).count() == 0
+
+
+def test_block_size_of_a_worker_encoder_is_the_callers():
+    """op3 encodes larger blocks than op6: one process holds an encoder of each size, with equal ids."""
+    from microlake.llm import token_planes
+    from microlake.llm.tokens import BLOCK_BYTES, worker_encoder
+    path = token_path(token_planes.TOKENIZER)
+    small, large = (worker_encoder(path, token_planes.KIND, b) for b in (BLOCK_BYTES, token_planes.BLOCK_BYTES))
+    assert (small.block_bytes, large.block_bytes) == (BLOCK_BYTES, 8 << 20) and small.ids("Some words, 12") == large.ids("Some words, 12")
