@@ -66,7 +66,10 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    j = li.join(od, li.l_orderkey == od.o_orderkey).join(cu, od.o_custkey == cu.c_custkey)
+    # each order's nation first, so that lineitem is shuffled once; the narrow side is hashed, which
+    # spares the sort of lineitem and holds few bytes per order, at any size
+    owners = od.join(cu, od.o_custkey == cu.c_custkey).select("o_orderkey", "c_nationkey")
+    j = li.join(owners.hint("shuffle_hash"), li.l_orderkey == owners.o_orderkey)
 
     key, part, supp = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     is_open = F.col("l_linestatus") == "O"

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from microlake import config
 from microlake.queries import inputs
 from microlake.session import scratch_path
-from microlake.sinks.files import publish_single_files
+from microlake.sinks.files import publish_single_files, unsorted_writes
 
 # fixed values: header text of the two layouts (canonical name -> header as released)
 OLD_HEADERS = {
@@ -68,25 +68,49 @@ def file_name_of(municipio) -> F.Column:
     return F.concat(F.lit("VINCULOS_"), region, ext)
 
 
+def _names(new: bool, parts: int) -> list[str]:
+    """Names of the files that a year can have in one of the layouts."""
+    regions = [v.upper() for k, v in sorted(config.REGIONS.items()) if (k == NEW_LAYOUT_DIGIT) == new]
+    stems = [f"VINCULOS_{r}" for r in regions + ([] if new else [UNKNOWN_REGION])]
+    return [s + (f"_{k}" if parts > 1 else "") + (".COMT" if new else ".txt") for s in stems for k in range(parts)]
+
+
+#: Years in a row whose files get tasks of their own.
+_YEARS = 20
+
+
+def _file_no(arquivos: list[str]) -> tuple[int, F.Column]:
+    """(tasks, task of a row): every file of ``_YEARS`` years has its own, so none waits for another."""
+    index = F.create_map(*[F.lit(x) for k, a in enumerate(arquivos) for x in (a, k)])
+    year = F.pmod(F.coalesce(F.col("ano"), F.lit(0)), F.lit(_YEARS))
+    return _YEARS * len(arquivos), (year * len(arquivos) + F.try_element_at(index, F.col("arquivo"))).cast("int")
+
+
 def _write_layout(df: DataFrame, staging: str, headers: dict[str, str], sep: str,
-                  quote_all: bool, last: F.Column | None) -> None:
+                  quote_all: bool, last: F.Column | None, arquivos: list[str]) -> None:
     cols = [F.col(k).alias(v) for k, v in headers.items()]
-    rows = df.select("ano", "arquivo", *cols, *([last.alias("_last")] if last is not None else [])) \
-        .repartition("ano", "arquivo")         # one task, hence one file, per output file
-                                               # (a file name may carry a part suffix, below)
+    tasks, number = _file_no(arquivos)
+    rows = df.withColumn("_file", number)
+    if last is not None:
+        # by a hash of the row, those for which ``last`` is true above the others: cheap to compare
+        place = F.shiftrightunsigned(F.xxhash64(*[F.col(k) for k in headers]), 1)
+        rows = rows.withColumn("_place", F.when(last, place).otherwise(place + F.lit(-2 ** 63)))
+    rows = rows.select("ano", "arquivo", "_file", *cols, *(["_place"] if last is not None else [])) \
+        .repartitionById(tasks, "_file").drop("_file")      # one task, hence one file, per output file
     if last is not None:
-        rows = rows.sortWithinPartitions("ano", "arquivo", "_last", *[F.col(f"`{v}`") for v in headers.values()]).drop("_last")
-    (rows.write.mode("overwrite")
-       .partitionBy("ano", "arquivo")
-       .option("header", True).option("sep", sep).option("encoding", "ISO-8859-1")
-       .option("quoteAll", quote_all).option("escape", '"')
-       .csv(staging))
+        rows = rows.sortWithinPartitions("_place", *[F.col(f"`{v}`") for v in headers.values()]).drop("_place")
+    with unsorted_writes(df.sparkSession):
+        (rows.write.mode("overwrite")
+           .partitionBy("ano", "arquivo")
+           .option("header", True).option("sep", sep).option("encoding", "ISO-8859-1")
+           .option("quoteAll", quote_all).option("escape", '"')
+           .csv(staging))
 
 
 def write_landing(spark: SparkSession, raw: DataFrame, root: str, parts_per_file: int = 1,
                   last: F.Column | None = None) -> str:
-    """root/<ano>/VINCULOS_<REGION>.<ext> with stable names. With ``last``, rows are sorted
-    within a file, those for which it is true behind the others.
+    """root/<ano>/VINCULOS_<REGION>.<ext> with stable names. With ``last``, rows have a
+    fixed order within a file (by their hash), those for which it is true behind the others.
 
     With ``parts_per_file`` > 1 every (year, region) file is split by a row hash into
     that many files (``..._<k>.<ext>``) so a region holding a large share of the rows
@@ -106,7 +130,7 @@ def write_landing(spark: SparkSession, raw: DataFrame, root: str, parts_per_file
     for name, part, headers, sep, quote_all in (
             ("old", old, OLD_HEADERS, ";", False), ("new", new, NEW_HEADERS, ",", True)):
         staging = scratch_path(spark, f"landing-staging-{name}")
-        _write_layout(part, staging, headers, sep, quote_all, last)
+        _write_layout(part, staging, headers, sep, quote_all, last, _names(name == "new", parts_per_file))
 
         def target(path: str) -> str:
             parts = path.rstrip("/").split("/")

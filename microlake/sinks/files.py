@@ -1,8 +1,40 @@
 """File-level helpers on the cluster file system (driver-side metadata calls only)."""
 from __future__ import annotations
 
+import threading
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+#: Partition values that one task writes side by side; rows of further ones are sorted, as by default.
+OPEN_FILES = 32
+_LOCK, _INSIDE = threading.Lock(), {}
+
+
+@contextmanager
+def unsorted_writes(spark: SparkSession):
+    """Partitioned writes inside keep a file open per partition value instead of sorting all rows of
+    a task by partition first, so a task holds and spills no rows, whatever their number. The
+    session's own setting is back afterwards, also when writes of several threads overlap."""
+    with _LOCK:
+        depth, before = _INSIDE.get(id(spark), (0, None))
+        if not depth:
+            before = spark.conf.get(_WRITERS, None)
+            spark.conf.set(_WRITERS, str(OPEN_FILES))
+        _INSIDE[id(spark)] = (depth + 1, before)
+    try:
+        yield
+    finally:
+        with _LOCK:
+            depth, before = _INSIDE.pop(id(spark))
+            if depth > 1:
+                _INSIDE[id(spark)] = (depth - 1, before)
+            elif before is None:
+                spark.conf.unset(_WRITERS)
+            else:
+                spark.conf.set(_WRITERS, before)
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm

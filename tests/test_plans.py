@@ -51,3 +51,9 @@ def test_latest_per_key_is_an_aggregate(spark):
     out = windows.latest_per_key(h, ["aula", "check"], "ts", "detalhe", ["status"])
     assert "Window" not in inspect.plan_text(out)
     assert out.first()["status"] == "z"
+
+
+def test_raw_rows_shuffle_lineitem_once_and_sort_nothing(spark):
+    plan = inspect.plan_text(inputs.raw(spark, SF))
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.index("ShuffledHashJoin") < plan.index("o_custkey")       # orders meet customer below it
