@@ -64,8 +64,9 @@ def replace_partition(df: DataFrame, path: str, ano: int | list[int], merge_sche
         if problems:
             raise SchemaMismatch(f"{path}: {'; '.join(problems)}")
     before = {y: files.list_data_files(spark, f"{p}/*") for y, p in folders.items()}
-    (guard_partition(df, ano, col).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path))
+    with files.unsorted_writes(spark):
+        (guard_partition(df, ano, col).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path))
     for y, p in folders.items():
         if before[y] and files.list_data_files(spark, f"{p}/*") == before[y]:
             files.delete(spark, p)
@@ -79,8 +80,9 @@ def recover(spark: SparkSession, path: str) -> dict[str, str]:
 def write_table(df: DataFrame, path: str, col: str = PARTITION, files_per_partition: int | None = None) -> None:
     """Replace the whole table (schema included), partitioned by ``col``."""
     out = df.coalesce(files_per_partition) if files_per_partition else df
-    out.write.mode("overwrite").option("partitionOverwriteMode", "static") \
-        .partitionBy(col).parquet(path)
+    with files.unsorted_writes(df.sparkSession):
+        out.write.mode("overwrite").option("partitionOverwriteMode", "static") \
+            .partitionBy(col).parquet(path)
 
 
 def write_sized(df: DataFrame, path: str, target_bytes: int = 128 * 1024 * 1024, col: str = PARTITION,

@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from microlake.sinks import tables
+from microlake.sinks import files, tables
 
 
 def _ids(spark, n, ano):
@@ -180,3 +180,50 @@ def test_files_follow_the_counted_bytes(spark, tmp_dir):
     hot = [r["count"] for r in spark.read.parquet(tmp_dir + "/s").where("ano = 2022").groupBy(F.col("_metadata.file_path")).count().collect()]
     assert len(hot) == 6 and max(hot) < 2 * min(hot)
     assert tables.write_sized(rows.limit(0), tmp_dir + "/e") == {}
+
+
+def _settings_of_writes(monkeypatch, *formats):
+    """What the setting of side-by-side files is whenever a partitioned write starts."""
+    from pyspark.sql import DataFrameWriter
+    seen = []
+    for name in formats:
+        real = getattr(DataFrameWriter, name)
+
+        def write(self, *args, real=real, **kwargs):
+            seen.append(self._spark.conf.get(files._WRITERS, None))
+            return real(self, *args, **kwargs)
+
+        monkeypatch.setattr(DataFrameWriter, name, write)
+    return seen
+
+
+def test_partitioned_writes_do_not_sort_their_rows(spark, tmp_dir, monkeypatch):
+    before = spark.conf.get(files._WRITERS, None)
+    seen = _settings_of_writes(monkeypatch, "parquet")
+    df = spark.range(200).select("id", (F.col("id") % 40 + 1990).cast("int").alias("ano")).coalesce(1)   # more years than open files
+    tables.write_table(df, tmp_dir + "/t")
+    tables.replace_partition(df.where("ano = 1991"), tmp_dir + "/t", 1991)
+    assert seen == [str(files.OPEN_FILES)] * 2 and spark.conf.get(files._WRITERS, None) == before
+    assert {tuple(r) for r in tables.read_table(spark, tmp_dir + "/t").collect()} == {(k, k % 40 + 1990) for k in range(200)}
+
+
+def test_overlapping_unsorted_writes_restore_the_setting(spark):
+    before = spark.conf.get(files._WRITERS, None)
+    a, b = files.unsorted_writes(spark), files.unsorted_writes(spark)
+    a.__enter__(), b.__enter__()
+    a.__exit__(None, None, None)
+    assert spark.conf.get(files._WRITERS) == str(files.OPEN_FILES)
+    b.__exit__(None, None, None)
+    assert spark.conf.get(files._WRITERS, None) == before
+
+
+def test_rows_of_landed_files_are_written_unsorted(spark, tmp_dir, monkeypatch):
+    import os
+
+    from microlake.sources import releases
+    os.makedirs(tmp_dir + "/land/2020")
+    with open(tmp_dir + "/land/2020/a.txt", "w") as f:
+        f.write("x;y\n1;2\n")
+    seen = _settings_of_writes(monkeypatch, "parquet")
+    releases.write_files(spark, releases._listed(spark, tmp_dir + "/land/*/*"), tmp_dir + "/bronze")
+    assert seen == [str(files.OPEN_FILES)]
