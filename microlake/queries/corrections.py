@@ -31,7 +31,10 @@ def release_reload(spark, sf):
     first = raw.withColumn("_late", late).where(~(F.col("_late") & (F.col("ano") == GROWN_YEAR))) \
         .withColumn("escolaridade_apos_2005", F.when(F.col("_late") & (F.col("ano") == REWRITTEN_YEAR), "99")
                     .otherwise(F.col("escolaridade_apos_2005"))).drop("_late")
-    landing.write_landing(spark, first, root, last=F.lit(False))
+    # only the years released again need lines in an order that comes back; the others are not sorted
+    again = F.coalesce(F.col("ano").isin(REWRITTEN_YEAR, GROWN_YEAR), F.lit(False))
+    landing.write_landing(spark, first.where(again), root, last=F.lit(False))
+    landing.write_landing(spark, first.where(~again), root)
     releases.load_releases(spark, root, target, state)
     for year in (REWRITTEN_YEAR, GROWN_YEAR):
         files.delete(spark, f"{root}/{year}")
