@@ -21,6 +21,8 @@ def spark():
          .appName("microlake-tests")
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.ui.enabled", "false")
+         # idle workers of earlier tests are taken in turn: with many, no task finds the worker of another
+         .config("spark.python.factory.idleWorkerMaxPoolSize", "8")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
